@@ -68,44 +68,69 @@ def _half_variants(fp: Column) -> Column:
 
 
 def _full_balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every fingerprint with all its variants of at most half the radius: 2081 rows each."""
+    """The roots of fingerprints with all variants of at most half the radius: 2081 rows each."""
     masks = np.array(_ball(64, RADIUS // 2), np.uint64)
     for batch in batches:
-        fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        fps, roots = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
         for at in range(0, len(fps), 64):
-            part = fps[at : at + 64]
-            keys = (part[:, None] ^ masks[None, :]).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.view(np.int64), len(masks))), pa.array(keys)], names=["fp", "key"])
+            keys = (fps[at : at + 64].view(np.uint64)[:, None] ^ masks[None, :]).ravel().view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(roots[at : at + 64], len(masks))), pa.array(keys)], names=["root", "key"])
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components are those of all pairs of ``fp`` at RADIUS bits or fewer.
+def _near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
+
+
+def groups(fps: DataFrame) -> DataFrame:
+    """``node``, ``root`` for every ``fp`` that has a partner at RADIUS bits or fewer.
 
     Two fingerprints that differ in at most four bits differ in at most two in one of their
     halves, so they meet at a variant one bit from either in that half. Every fingerprint
     emits the 33 variants of each half; those that share a variant are verified over all
-    64 bits. Where more than SMALL share one, comparing all pairs would grow with the
-    square of their number; there each emits its whole ball of radius two (2081 variants
-    of all 64 bits) instead. Whatever shares one of these is at most four bits apart, so a
-    star to the least of them links the same groups, and needs no verification.
+    64 bits. Comparing all pairs of many that share one would grow with the square of their
+    number, so beyond SMALL the work is cut without losing a link:
+
+    1. each is verified against the least of them and its two predecessors;
+    2. where the components so found agree, nothing is left to link;
+    3. else those outside the largest component, if at most SMALL, are verified against all;
+    4. else each emits its whole ball of radius two, 2081 variants of all 64 bits. Whatever
+       shares one of these is at most four bits apart, so a star links them.
     """
     variants = fps.select("fp", F.explode(_half_variants(F.col("fp"))).alias("key"))
-    together = materialize(variants.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"))
-    few = together.where(F.col("n") <= SMALL)
-    pairs = (
-        few.select(F.col("fp").alias("a"), "key").join(few.select(F.col("fp").alias("b"), "key"), "key")
-        .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS))
-        .select("a", "b")
+    same = Window.partitionBy("key")
+    ordered = same.orderBy("fp")
+    met = variants.select("key", "fp", F.count("*").over(same).alias("n"), F.min("fp").over(same).alias("least"), F.lag("fp", 1).over(ordered).alias("prev"), F.lag("fp", 2).over(ordered).alias("before"))
+    met = materialize(met.where("n > 1"))
+    few, many = met.where(F.col("n") <= SMALL), met.where(F.col("n") > SMALL)
+    pairs = few.select(F.col("fp").alias("a"), "key").join(few.select(F.col("fp").alias("b"), "key"), "key").where((F.col("a") < F.col("b")) & _near("a", "b")).select("a", "b")
+    chains = many.select("fp", F.explode(F.array("least", "prev", "before")).alias("b")).where(F.col("b").isNotNull() & (F.col("fp") != F.col("b")) & _near("fp", "b")).select(F.col("fp").alias("a"), "b")
+    roots = connected_components(pairs.union(chains))
+
+    placed = many.select("key", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    placed = materialize(placed)
+    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    placed = materialize(placed.join(split, "key", "left_semi"))
+    if placed.isEmpty():
+        return roots
+    sizes = placed.groupBy("key", "root").count()
+    largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"), (F.sum("count") - F.max("count")).alias("others"))
+    placed = materialize(placed.join(largest, "key"))
+    others = placed.where((F.col("root") != F.col("main")) & (F.col("others") <= SMALL))
+    crossed = (
+        others.select("key", F.col("fp").alias("a"), F.col("root").alias("x")).join(placed.select("key", F.col("fp").alias("b"), F.col("root").alias("y")), "key")
+        .where((F.col("x") != F.col("y")) & _near("a", "b")).select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
-    many = together.where(F.col("n") > SMALL).select("fp").distinct()
-    balls = materialize(many.repartition(200, "fp").mapInArrow(_full_balls, "fp long, key long"))
-    least = balls.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = balls.join(least, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
-    return pairs.union(stars).distinct()
+    scattered = placed.where(F.col("others") > SMALL).select("fp", "root").distinct()
+    balls = materialize(scattered.repartition(200, "fp").mapInArrow(_full_balls, "root long, key long"))
+    least = balls.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+    stars = balls.join(least.select("key", "a"), "key").where("root <> a").select("a", F.col("root").alias("b"))
+    joined = connected_components(crossed.union(stars).distinct()).toDF("inner", "outer")
+    inner = roots.union(placed.select("fp", "root").where("fp = root")).distinct()
+    return inner.join(joined, F.col("root") == F.col("inner"), "left").select("node", F.coalesce("outer", "root").alias("root"))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row for row: id, version (digest of the text), fp (signed long), component_id.
+    """Row for row: id, version (digest of the text), fp (signed long), root (least fp of the component), component_id.
 
     component_id is the least id whose fingerprint can be reached over links of at most
     RADIUS differing bits. A null text counts as empty; texts without words have the
@@ -116,10 +141,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = pick(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     rows = materialize(rows.select("id", F.unhex(F.md5("text")).alias("version"), simhash("text").alias("fp")))
     nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = connected_components(links(nodes.select("fp")))
-    joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = joined.withColumn("component_id", F.min("least").over(Window.partitionBy("root"))).select("fp", "component_id")
-    return rows.join(named, "fp").select("id", "version", "fp", "component_id")
+    roots = groups(nodes.select("fp"))
+    joined = materialize(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    named = joined.join(joined.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("id", "version", "fp", "root", "component_id")
 
 
 def simhash_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,13 +156,12 @@ def simhash_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component one, that of the least id.
 
-    Among rows that share the least id, that of the least text digest stays, and of equal
-    rows one. All columns are returned, whatever their names.
+    A null id comes after all others. Among rows that share the least id, that of the least
+    text digest stays, and of equal rows one. All columns are returned, whatever their names.
     """
     groups = simhash_groups(docs, id_col, text_col)
-    winners = groups.groupBy("component_id").agg(F.min(F.struct("id", "version")).alias("w")).where("component_id is not null").select("w.id", "w.version")
-    nameless = groups.where("component_id is null").groupBy("fp").agg(F.min("version").alias("version")).select(F.lit(None).cast(dict(groups.dtypes)["id"]).alias("id"), "version")
-    keep = winners.union(nameless).toDF("keep_id", "keep_version")
+    winners = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "version")).alias("w"))
+    keep = winners.select(F.col("w.id").alias("keep_id"), F.col("w.version").alias("keep_version"))
     rows = pick_row(docs, id_col, text_col).withColumnRenamed(id_col, "id").withColumnRenamed(text_col, "text")
     rows = rows.withColumn("version", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).drop("text")
     met = rows.join(keep, rows["id"].eqNullSafe(keep["keep_id"]) & (rows["version"] == keep["keep_version"]), "left_semi")
