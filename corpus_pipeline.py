@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanroute.llm.common import materialize, table
 from spanroute.llm.line_dedup import line_dedup
+from spanroute.llm.packing import pack_documents
+from spanroute.llm.quality import score, train
 from spanroute.llm.simhash import simhash_dedup
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from all labelled documents."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(score(docs, model) >= 0.5)
+
+
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup(docs).select(docs.columns)
+    """Documents without boilerplate lines; n_chars follows the new text."""
+    return line_dedup(docs).select(docs.columns).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return simhash_dedup(docs)
 
 
-STAGES = [("line dedup", drop_boilerplate), ("near copies", drop_near_copies)]
+def fill_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of the documents' tokens in training sequences."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_boilerplate),
+    ("near copies", drop_near_copies),
+    ("best-fit packing", fill_sequences),
+]
 
 #: SQL can't express a trained classifier; tests/llm compares the stages with plain versions.
 ORACLE_SQL = None

@@ -14,6 +14,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_report
 
@@ -27,7 +41,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op8_simhash_near_dedup, op9_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_exact_dedup, op4_best_fit_packing, op6_quality_classifier, op8_simhash_near_dedup, op9_line_dedup)
+}
 
 ORACLES = {
     "op2_exact_dedup": r"""
