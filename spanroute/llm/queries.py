@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    done = decode(encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return done.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -28,6 +39,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_report
 
@@ -43,7 +60,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_exact_dedup, op4_best_fit_packing, op6_quality_classifier, op8_simhash_near_dedup, op9_line_dedup)
+    for f in (
+        op1_byte_bpe, op2_exact_dedup, op4_best_fit_packing, op6_quality_classifier, op7_html_extraction,
+        op8_simhash_near_dedup, op9_line_dedup,
+    )
 }
 
 ORACLES = {
