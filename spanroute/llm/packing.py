@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ CAPACITY, END = 4096, 1
 LARGE = 1 / 4
 GROUPS = 320
 #: Words whose ids a task keeps; beyond that it starts anew, so its memory is bounded.
-CACHED = 1_500_000
+CACHED = 700_000
 #: Characters tokenised at a time of a long text.
 SLICE = 1 << 20
 
@@ -58,6 +59,7 @@ class WordTokens:
     def _learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > CACHED:
             self.words.clear()
+        if len(self.pieces) > CACHED:
             self.pieces.clear()
         plain = {w: PIECES.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and "<|" not in w}
         new = list({p for ps in plain.values() for p in ps if p not in self.pieces})
@@ -93,6 +95,12 @@ class WordTokens:
             yield b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a Python worker, so that a task finds the words of those before it."""
+    return WordTokens(path)
+
+
 def _slices(text: str) -> Iterator[str]:
     """A text in parts of about SLICE characters, cut at white space."""
     at = 0
@@ -117,7 +125,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, last = WordTokens(path), np.array([end], "<u4").tobytes()
+        tokens, last = word_tokens(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
