@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from .common import pick
 
 #: Bounds of what a task keeps: pieces with their ids, and transitions; beyond them it starts anew.
-PIECES, ARCS = 1_200_000, 1_500_000
+PIECES, ARCS = 600_000, 700_000
 #: Characters of a text cut into pieces at a time, and rows handed on at a time.
 SLICE, ROWS = 1 << 20, 256
 ROOT = 0
@@ -149,6 +150,17 @@ class Encoder:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    """One for all tasks of a Python worker, so that a task finds what those before it compiled."""
+    return Encoder(load_ranks(path), pattern)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(load_ranks(path))
+
+
 def _slices(text: str) -> Iterator[str]:
     """A text in parts, cut before a lone space between words, where no match goes on."""
     at, gap = 0, re.compile(r"(?<=\S) (?=\S)")
@@ -213,11 +225,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(path), pattern)
+        own = encoder(path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                ids = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
+                ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
     rows = pick(docs, id_col, text_col)
@@ -228,11 +240,11 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """id, ids and decoded (the bytes of the text) of what :func:`encode` gives; null ids count as none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(load_ranks(path))
+        own = decoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                out = [decoder.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(1).to_pylist()]
+                out = [own.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], names=[id_col, "ids", "decoded"])
 
     rows = pick(encoded, id_col, "ids")
