@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .licenses import oracle as license_oracle
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,7 +68,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_byte_bpe, op2_exact_dedup, op4_best_fit_packing, op6_quality_classifier, op7_html_extraction,
+        op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op6_quality_classifier, op7_html_extraction,
         op8_simhash_near_dedup, op9_line_dedup,
     )
 }
@@ -74,6 +81,7 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op3_license_scan": license_oracle(),
     "op9_line_dedup": """
         WITH cut AS (
             SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS parts
