@@ -40,6 +40,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_report
 
@@ -76,7 +82,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op6_quality_classifier, op7_html_extraction,
+        op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_quality_classifier, op7_html_extraction,
         op8_simhash_near_dedup, op9_line_dedup, op10_chat_format,
     )
 }
