@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .bindings import ORACLES, QUERIES, Tables, query
 
-MODULES = ("ranking", "time", "aggregates")
+MODULES = ("ranking", "time", "aggregates", "matching")
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
 
