@@ -42,8 +42,10 @@ def records(t: Tables):
 
 
 def sides(t: Tables):
-    both = records(t)
-    return both.where("is_a").withColumnRenamed("page_id", "a_id"), both.where("is_b").withColumnRenamed("page_id", "b_id")
+    # Catalogue B has moved each fifth record: its current key differs, a past one doesn't.
+    both = records(t).withColumn("past", F.col("bare"))
+    moved = F.when(F.col("page_id") % 5 == 0, F.concat("bare", F.lit("?new"))).otherwise(F.col("bare"))
+    return both.where("is_a").withColumnRenamed("page_id", "a_id"), both.where("is_b").withColumn("bare", moved).withColumnRenamed("page_id", "b_id")
 
 
 @query("P1_identity_url", "SELECT page_id, clean FROM urls")
@@ -204,7 +206,7 @@ def f19(t: Tables):
 
 _UNIQUE = """
     WITH a AS (SELECT bare, min(page_id) AS a_id FROM records WHERE is_a AND clean IS NOT NULL GROUP BY bare HAVING count(DISTINCT page_id) = 1),
-    b AS (SELECT bare, min(page_id) AS b_id FROM records WHERE is_b AND clean IS NOT NULL GROUP BY bare HAVING count(DISTINCT page_id) = 1),
+    b AS (SELECT CASE WHEN page_id % 5 = 0 THEN bare || '?new' ELSE bare END AS bare, min(page_id) AS b_id FROM records WHERE is_b AND clean IS NOT NULL GROUP BY 1 HAVING count(DISTINCT page_id) = 1),
     j1 AS (SELECT DISTINCT a_id, b_id FROM a JOIN b USING (bare)),"""
 _SIMILAR = """
     j2 AS (SELECT a.page_id AS a_id, b.page_id AS b_id, a.host, max(len(list_intersect(a.tokens, b.tokens)) / len(list_distinct(list_concat(a.tokens, b.tokens)))) AS overlap
@@ -251,7 +253,7 @@ _HISTORIC = """
 
 
 def historic_keys(rows):
-    return rows.where("clean is not null").withColumn("key", F.explode(F.array("bare", F.concat(F.lit("https://"), "host", F.lit("/"), "file"))))
+    return rows.where("clean is not null").withColumn("key", F.explode(F.array("past", F.concat(F.lit("https://"), "host", F.lit("/"), "file"))))
 
 
 @query("J5_historic_keys", _UNIQUE + _HISTORIC + " z AS (SELECT 1) SELECT a_id, b_id FROM j5")
