@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from struct import pack
 
@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 
 from .common import pick
 
-#: Bounds of what a task keeps: pieces with their ids, and transitions; beyond them it starts anew.
-PIECES, ARCS = 600_000, 700_000
+#: Bounds of what a task keeps: pieces with their ids, of which those not met again for as many
+#: go; compiled moves; and pairs of tokens that stay or don't.
+PIECES, MOVES, PAIRS = 220_000, 500_000, 400_000
 #: Characters of a text cut into pieces at a time, and rows handed on at a time.
 SLICE, ROWS = 1 << 20, 256
-ROOT = 0
+ROOT, NEVER = 0, 1 << 60
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -31,104 +32,163 @@ class Transducer:
     """Maps the bytes of a piece to the tokens that merging by rank gives.
 
     Merging gives the one sequence of tokens in which every two neighbours, merged by
-    themselves, stay as they are. So the automaton that reads tokens byte by byte, and
-    allows a token only after one that stays beside it, has one path for each text. It is
-    compiled from the merges while reading: a state of the determinised machine holds all
-    ways in which the bytes read last may be the start of a token, each with the tokens
-    before it that aren't settled yet. As a token has a greatest length, one way is left
-    after so many bytes at most, and what all ways have in common is put out at once.
+    themselves, stay as they are. An automaton that may begin a token at every byte, and
+    allows one only after a token that stays beside it, so has one path for each text. It
+    is determinised while reading: a state stands for the longest beginning of a token that
+    the bytes read end in, and so for all shorter ones, and its moves and the tokens that
+    end in it are compiled when first met. Of these tokens exactly one may follow the token
+    that ended where it begins; that one is kept for the place. A place is looked back on
+    for as long as a token may still begin there, which is bounded by the longest token;
+    what all places still open have in common is put out.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.next: dict[int, int] = {}  # of the trie of tokens: node * 256 + byte
-        self.token: list[int] = [-1]
-        self.inner: list[bool] = [False]
+        self.longest = max(map(len, ranks), default=1)
+        self.trie: dict[int, int] = {}  # node * 256 + byte
+        self.token, self.parent, self.depth = [-1], [0], [0]
         for token, rank in ranks.items():
             node = ROOT
             for b in token:
-                self.inner[node] = True
                 key = node << 8 | b
-                if key not in self.next:
-                    self.next[key] = len(self.token)
+                if key not in self.trie:
+                    self.trie[key] = len(self.token)
                     self.token.append(-1)
-                    self.inner.append(False)
-                node = self.next[key]
+                    self.parent.append(key)
+                    self.depth.append(self.depth[node] + 1)
+                node = self.trie[key]
             self.token[node] = rank
-        self.stays: dict[tuple[int, int], bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        start = (-1, (((), ROOT),))
-        self.states, self.number, self.final = [start], {start: 0}, [b""]
-        self.arcs: dict[int, tuple[int, bytes]] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Merge the pair of the least rank, the first of equals, until none has a rank."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
+        self.moves: dict[int, int] = {}
+        self.shorter: dict[int, int] = {ROOT: ROOT}
+        self.ends: dict[int, tuple[tuple[int, int], ...]] = {ROOT: ()}
+        self.stays: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+
+    def move(self, node: int, byte: int) -> int:
+        key = node << 8 | byte
+        to = self.moves.get(key)
+        if to is None:
+            to = self.trie.get(key)
+            if to is None:
+                to = ROOT if node == ROOT else self.move(self.fallback(node), byte)
+            if len(self.moves) > MOVES:
+                self.moves.clear()
+            self.moves[key] = to
+        return to
+
+    def fallback(self, node: int) -> int:
+        """The state of the longest beginning of a token that is shorter."""
+        to = self.shorter.get(node)
+        if to is None:
+            before, byte = self.parent[node] >> 8, self.parent[node] & 255
+            to = self.shorter[node] = ROOT if before == ROOT else self.move(self.fallback(before), byte)
+        return to
+
+    def ending(self, node: int) -> tuple[tuple[int, int], ...]:
+        """Lengths and ids of the tokens that end in a state, the longest first."""
+        found = self.ends.get(node)
+        if found is None:
+            own, token = (), self.token[node]
+            if token >= 0 and self.halves_of(token) != (-1, -1):
+                own = ((self.depth[node], token),)
+            found = self.ends[node] = own + self.ending(self.fallback(node))
+        return found
+
+    def halves_of(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes ``token``; none for one byte, and (-1, -1) if merging never makes it."""
+        if (known := self.halves.get(token, 0)) != 0:
+            return known
+        piece = self.bytes_of[token]
+        parts, known = [piece[i : i + 1] for i in range(len(piece))], None
         while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
-            if parts[best] + parts[best + 1] not in self.ranks:
+            ranks = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            best = ranks.index(min(ranks))
+            if ranks[best] == NEVER:
+                known = (-1, -1)
                 break
+            if len(parts) == 2:
+                known = (self.ranks[parts[0]], self.ranks[parts[1]])
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
-        return [self.ranks[p] for p in parts]
+        self.halves[token] = known
+        return known
 
     def may_follow(self, before: int, token: int) -> bool:
-        key = (before, token)
-        if (known := self.stays.get(key)) is None:
-            if before < 0:
-                known = self.merge(self.bytes_of[token]) == [token]
+        """Whether merging leaves ``token`` and the one before it as they are.
+
+        Merges are undone from the latest on. What then lies on both sides of the boundary
+        would have merged across it if that has a rank below those of the merges undone;
+        of equal ranks the left one comes first.
+        """
+        key = before << 32 | token
+        if (known := self.stays.get(key)) is not None:
+            return known
+        a, b, limit, known = before, token, NEVER, None
+        while known is None:
+            if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], NEVER) < limit:
+                known = False
+                break
+            x, y = self.halves_of(a), self.halves_of(b)
+            if x is None and y is None:
+                known = True
+            elif y is None or (x is not None and a > b):
+                a, limit = x[1], a
             else:
-                known = self.may_follow(-1, token) and self.merge(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
-            self.stays[key] = known
+                b, limit = y[0], b + 1
+        if len(self.stays) > PAIRS:
+            self.stays.clear()
+        self.stays[key] = known
         return known
 
-    def step(self, state: int, byte: int) -> tuple[int, bytes]:
-        settled, ways = self.states[state]
-        on, ends = [], []
-        for open_, node in ways:
-            node = self.next.get(node << 8 | byte, -1)
-            if node < 0:
-                continue
-            token = self.token[node]
-            if token >= 0 and self.may_follow(open_[-1] if open_ else settled, token):
-                ends.append((*open_, token))
-            if self.inner[node]:
-                on.append((open_, node))
-        if len(ends) != 1:
-            raise ValueError("these ranks have no single way of merging")
-        on.append((ends[0], ROOT))
-        shared, tail = 0, ends[0]
-        while all(len(o) > shared and o[shared] == tail[shared] for o, _ in on if o is not tail) and shared < len(tail):
-            shared += 1
-        out = tail[:shared]
-        key = (out[-1] if out else settled, tuple((o[shared:], n) for o, n in on))
-        to = self.number.get(key)
-        if to is None:
-            to = self.number[key] = len(self.states)
-            self.states.append(key)
-            self.final.append(_packed(tail[shared:]))
-        arc = self.arcs[state << 8 | byte] = (to, _packed(out))
-        return arc
+    def stream(self, piece: Iterator[int]) -> Iterator[int]:
+        """Tokens of the bytes of a piece, each as soon as it is settled, looking ahead by a bounded stretch."""
+        node, held, every = ROOT, [-1], 4 * self.longest  # held: the token that ends at each place looked back on
+        moves, ends, stays = self.moves, self.ends, self.stays
+        for byte in piece:
+            node = moves.get(node << 8 | byte) or self.move(node, byte)
+            at = len(held)
+            for length, token in ends.get(node) or self.ending(node):
+                if length > at:
+                    continue
+                before = held[at - length]
+                if before < 0:
+                    if length == at:  # the piece begins here
+                        break
+                elif stays.get(before << 32 | token) or self.may_follow(before, token):
+                    break
+            else:
+                raise ValueError("these ranks have no way of merging")
+            held.append(token)
+            if at > every:
+                out, held = self.settle(held, self.depth[node])
+                yield from out
+        yield from self.path(held, len(held) - 1)
+
+    def path(self, held: list[int], at: int) -> list[int]:
+        out = []
+        while held[at] >= 0 and at > 0:
+            out.append(held[at])
+            at -= len(self.bytes_of[held[at]])
+        return out[::-1]
+
+    def settle(self, held: list[int], depth: int) -> tuple[list[int], list[int]]:
+        """What the paths to all places at which a token may still begin have in common, and what is still held."""
+        last = len(held) - 1
+        paths = [self.path(held, at) for at in range(last - depth, last + 1)]
+        first = paths[0]
+        n = min(map(len, paths))
+        while n and any(p[:n] != first[:n] for p in paths):
+            n -= 1
+        gone = sum(len(self.bytes_of[t]) for t in first[:n])
+        return first[:n], held[gone:]
 
     def encode(self, piece: bytes) -> bytes:
         """The ids of a piece as little-endian unsigned 32-bit integers."""
         whole = self.ranks.get(piece)
-        if whole is not None:
-            return _packed((whole,))
-        if len(self.arcs) > ARCS:
-            self.forget()
-        state, out, arcs = 0, [], self.arcs
-        for b in piece:
-            arc = arcs.get(state << 8 | b) or self.step(state, b)
-            state = arc[0]
-            out.append(arc[1])
-        out.append(self.final[state])
-        return b"".join(out)
+        return _packed((whole,) if whole is not None else [*self.stream(piece)])
 
 
-def _packed(ids: tuple[int, ...]) -> bytes:
+def _packed(ids: Sequence[int]) -> bytes:
     return pack(f"<{len(ids)}I", *ids)
 
 
@@ -136,17 +196,17 @@ class Encoder:
     """Ids of whole texts: each match of a pattern by itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.machine, self.pattern, self.known = Transducer(ranks), regex.compile(pattern), {}
+        self.machine, self.pattern, self.known, self.older = Transducer(ranks), regex.compile(pattern), {}, {}
 
     def encode(self, text: str) -> bytes:
-        out, known = [], self.known
+        out = []
         for part in _slices(text):
-            pieces = self.pattern.findall(part)
+            pieces, known = self.pattern.findall(part), self.known
             for p in set(pieces).difference(known):
-                known[p] = self.machine.encode(p.encode("utf-8", "surrogatepass"))
+                known[p] = self.older.get(p) or self.machine.encode(p.encode("utf-8", "surrogatepass"))
             out.append(b"".join(map(known.__getitem__, pieces)))
             if len(known) > PIECES:
-                known.clear()
+                self.known, self.older = {}, known
         return b"".join(out)
 
 
