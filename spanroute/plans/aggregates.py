@@ -126,15 +126,15 @@ def a16(t: Tables):
 
 @query("A18_unions_over_builds", """
     SELECT place_id, max(n) AS population, list_sort(list_distinct(flatten(list(feeds)))) AS aliases
-    FROM (SELECT place_id, build, count(*) AS n, list(DISTINCT feed_id) AS feeds FROM facts WHERE l_linenumber = 1 GROUP BY ALL) GROUP BY place_id""")
+    FROM (SELECT place_id, build, count(*) AS n, list(DISTINCT feed_id) AS feeds FROM facts GROUP BY ALL) GROUP BY place_id""")
 def a18(t: Tables):
-    builds = t.facts().where("l_linenumber = 1").groupBy("place_id", "build").agg(F.count("*").alias("n"), F.collect_set("feed_id").alias("feeds"))
+    builds = t.facts().groupBy("place_id", "build").agg(F.count("*").alias("n"), F.collect_set("feed_id").alias("feeds"))
     return builds.groupBy("place_id").agg(F.max("n").alias("population"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("feeds")))).alias("aliases"))
 
 
-@query("A19_all_agree", "SELECT feed_id, count(DISTINCT tier || '|' || l_linenumber) AS values FROM facts WHERE l_partkey % 40 = 0 GROUP BY feed_id HAVING count(DISTINCT tier || '|' || l_linenumber) > 1")
+@query("A19_all_agree", "SELECT feed_id, count(DISTINCT tier || '|' || l_linenumber) AS values FROM facts GROUP BY feed_id HAVING count(DISTINCT tier || '|' || l_linenumber) > 1")
 def a19(t: Tables):
-    return A.all_agree(t.facts().where("l_partkey % 40 = 0"), ["feed_id"], ["tier", "l_linenumber"])
+    return A.all_agree(t.facts(), ["feed_id"], ["tier", "l_linenumber"])
 
 
 @query("A20_digests")
@@ -186,18 +186,18 @@ def a25(t: Tables):
 
 
 @query("A26_stop_artefacts", """
-    WITH s AS (SELECT l_partkey, count(DISTINCT country_code) AS n FROM facts f JOIN places p ON f.place_id = p.place_id WHERE l_linenumber = 2 GROUP BY l_partkey)
+    WITH s AS (SELECT l_partkey, count(DISTINCT country_code) AS n FROM facts f JOIN places p ON f.place_id = p.place_id GROUP BY l_partkey)
     SELECT count(*) AS stops, count(*) FILTER (WHERE n > 1) AS in_several, count(*) FILTER (WHERE n = 1) AS in_one FROM s""")
 def a26(t: Tables):
-    stops = t.facts().where("l_linenumber = 2").join(t.places().select("place_id", "country_code"), "place_id").groupBy("l_partkey").agg(F.countDistinct("country_code").alias("n"))
+    stops = t.facts().join(t.places().select("place_id", "country_code"), "place_id").groupBy("l_partkey").agg(F.countDistinct("country_code").alias("n"))
     return stops.agg(F.count("*").alias("stops"), F.count_if(F.col("n") > 1).alias("in_several"), F.count_if(F.col("n") == 1).alias("in_one"))
 
 
 @query("A27_least_squares", """
-    WITH s AS (SELECT l_suppkey, regr_slope(l_extendedprice, l_quantity) AS b1, regr_intercept(l_extendedprice, l_quantity) AS b0, regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem WHERE l_suppkey = 3 GROUP BY 1)
+    WITH s AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b1, regr_intercept(l_extendedprice, l_quantity) AS b0, regr_r2(l_extendedprice, l_quantity) AS r2 FROM lineitem)
     SELECT round(b0, 3) AS b0, round(b1, 3) AS b1, round(r2, 6) AS r2 FROM s""")
 def a27(t: Tables):
-    fit = A.least_squares(t.read("lineitem").where("l_suppkey = 3"), "l_extendedprice", ["l_quantity"])
+    fit = A.least_squares(t.read("lineitem"), "l_extendedprice", ["l_quantity"])
     return fit.select(F.round("b0", 3).alias("b0"), F.round("b1", 3).alias("b1"), F.round("r2", 6).alias("r2"))
 
 
@@ -232,20 +232,20 @@ def x3(t: Tables):
 
 
 @query("X4_token_sets", """
-    WITH d AS (SELECT DISTINCT list_sort(list_distinct(string_split(p_name, ' '))) AS tokens, split_part(p_name, ' ', 1) AS first FROM part WHERE p_partkey < 400)
+    WITH d AS (SELECT DISTINCT list_sort(list_distinct(string_split(p_name, ' '))) AS tokens, split_part(p_name, ' ', 1) AS first FROM part)
     SELECT array_to_string(list_sort(a.tokens), ' ') AS x, array_to_string(list_sort(b.tokens), ' ') AS y, count(*) AS n, round(any_value(len(list_intersect(a.tokens, b.tokens)) / len(list_distinct(list_concat(a.tokens, b.tokens)))), 6) AS jaccard
     FROM d a JOIN d b ON a.first = b.first GROUP BY ALL""")
 def x4(t: Tables):
-    names = t.read("part").where("p_partkey < 400").select(F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("tokens"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("first")).distinct()
+    names = t.read("part").select(F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("tokens"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("first")).distinct()
     pairs = names.select("first", F.col("tokens").alias("a")).join(names.select("first", F.col("tokens").alias("b")), "first")
     jaccard = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
     pairs = pairs.select(F.array_join(F.array_sort("a"), " ").alias("x"), F.array_join(F.array_sort("b"), " ").alias("y"), jaccard.alias("j"))
     return pairs.groupBy("x", "y").agg(F.count("*").alias("n"), F.round(F.any_value("j"), 6).alias("jaccard"))
 
 
-@query("X5_provenance_union", "SELECT place_id, list_sort(list(DISTINCT build)) AS builds FROM facts WHERE l_linenumber = 1 GROUP BY place_id")
+@query("X5_provenance_union", "SELECT place_id, list_sort(list(DISTINCT build)) AS builds FROM facts GROUP BY place_id")
 def x5(t: Tables):
-    lists = t.facts().where("l_linenumber = 1").groupBy("place_id", "feed_id").agg(F.collect_set("build").alias("b"))
+    lists = t.facts().groupBy("place_id", "feed_id").agg(F.collect_set("build").alias("b"))
     return lists.groupBy("place_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("b")))).alias("builds"))
 
 

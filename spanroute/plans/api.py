@@ -151,10 +151,10 @@ def k8(t: Tables):
     return A.feature(areas(t), ["place_id", "label"])
 
 
-@query("K10_map_layer", "SELECT a.place_id, xmin, ymin, xmax, ymax, count(vec_id) > 0 AS served, count(vec_id) AS n FROM areas a LEFT JOIN coordinates c ON c.label = a.label AND vec_id % 3 = 0 GROUP BY ALL")
+@query("K10_map_layer", "SELECT a.place_id, xmin, ymin, xmax, ymax, count(vec_id) > 0 AS served, count(vec_id) AS n FROM areas a LEFT JOIN coordinates c ON c.label = a.label GROUP BY ALL")
 def k10(t: Tables):
     from .matching import coordinates
 
-    counts = coordinates(t).where("vec_id % 3 = 0").groupBy("label").agg(F.count("*").alias("n"))
+    counts = coordinates(t).groupBy("label").agg(F.count("*").alias("n"))
     rows = areas(t).join(counts, "label", "left")
     return rows.select("place_id", "xmin", "ymin", "xmax", "ymax", F.col("n").isNotNull().alias("served"), F.coalesce("n", F.lit(0)).alias("n"))

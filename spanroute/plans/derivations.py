@@ -34,11 +34,11 @@ def f15(t: Tables):
 
 
 @query("F16_id_cascade", """
-    WITH c AS (SELECT l_orderkey, count(DISTINCT l_suppkey % 3) AS n, min('Q' || l_suppkey % 3) AS q FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL)
+    WITH c AS (SELECT l_orderkey, count(DISTINCT l_suppkey % 3) AS n, min('Q' || l_suppkey % 3) AS q FROM lineitem GROUP BY ALL)
     SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'own' WHEN n = 1 THEN q WHEN n > 1 THEN 'conflict' END AS qid FROM orders LEFT JOIN c ON o_orderkey = l_orderkey""")
 def f16(t: Tables):
     q = F.concat(F.lit("Q"), (F.col("l_suppkey") % 3).cast("string"))
-    said = t.read("lineitem").where("l_linenumber < 4").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.countDistinct(q).alias("n"), F.min(q).alias("q"))
+    said = t.read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.countDistinct(q).alias("n"), F.min(q).alias("q"))
     own = F.when(F.col("o_orderkey") % 4 == 0, "own").when(F.col("n") == 1, F.col("q")).when(F.col("n") > 1, "conflict")
     return t.read("orders").select("o_orderkey").join(said, "o_orderkey", "left").select("o_orderkey", own.alias("qid"))
 
@@ -97,10 +97,10 @@ def e7(t: Tables):
     return rows.select("c_custkey", F.coalesce(F.when(k % 3 == 0, F.col("c_mktsegment")), F.when(k % 2 == 0, F.col("n_name")), F.col("r_name")).alias("location"))
 
 
-@query("E8_operator_names", "SELECT l_suppkey, list_sort(list(DISTINCT p_name)) AS names FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1 AND p_size < 10 GROUP BY l_suppkey")
+@query("E8_operator_names", "SELECT l_suppkey, list_sort(list(DISTINCT p_name)) AS names FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 10 GROUP BY l_suppkey")
 def e8(t: Tables):
     few = t.read("part").where("p_size < 10").select("p_partkey", "p_name")
-    return t.read("lineitem").where("l_linenumber = 1").join(few, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_suppkey").agg(F.array_sort(F.collect_set("p_name")).alias("names"))
+    return t.read("lineitem").join(few, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_suppkey").agg(F.array_sort(F.collect_set("p_name")).alias("names"))
 
 
 @query("E9_seeded_centres", """
@@ -210,10 +210,10 @@ def e30(t: Tables):
     return some.withColumn("nth", nth).where("nth <= 10").select("c_custkey", "c_nationkey")
 
 
-@query("R1_reuse_by_digest", "SELECT doc_id FROM documents WHERE doc_id % 2 = 1 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)")
+@query("R1_reuse_by_digest", "SELECT doc_id FROM documents WHERE source = 'src0' AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE source <> 'src0')")
 def r1(t: Tables):
-    docs = t.read("documents").select("doc_id", F.sha2("text", 256).alias("digest"))
-    return docs.where("doc_id % 2 = 1").join(docs.where("doc_id % 2 = 0").select("digest"), "digest", "left_anti").select("doc_id")
+    docs = t.read("documents").select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+    return docs.where("source = 'src0'").join(docs.where("source <> 'src0'").select("digest"), "digest", "left_anti").select("doc_id")
 
 
 @query("R2_request_queue", "SELECT user_id, count(*) AS open FROM events WHERE event_type = 'error' AND event_id NOT IN (SELECT event_id FROM events WHERE value < 20) GROUP BY user_id")

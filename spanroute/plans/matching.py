@@ -13,11 +13,11 @@ _URL = r"""
            regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(.*)$', 4) AS tail FROM pages"""
 SQL["urls"] = _URL
 SQL["records"] = r"""
-    SELECT page_id, page_id % 2 = 0 AS is_a, page_id % 3 <> 0 AS is_b, clean, nullif(lower(regexp_replace(regexp_replace(authority, '^.*@', ''), ':[0-9]*$', '')), '') AS host,
+    SELECT page_id, page_id % 2 = 0 AS is_a, page_id % 4 <> 2 AS is_b, clean, nullif(lower(regexp_replace(regexp_replace(authority, '^.*@', ''), ':[0-9]*$', '')), '') AS host,
            'https://' || lower(authority) || regexp_replace(path, '/$', '') || tail AS form,
-           'https://' || lower(authority) || regexp_replace(path, '/$', '') AS bare, CASE WHEN page_id % 4 < 2 THEN list_sort(list_distinct(regexp_extract_all(lower(d.text[1:60]), '[\p{L}\p{N}]+'))) ELSE [page_id::VARCHAR, 'name'] END AS tokens,
+           'https://' || lower(authority) || regexp_replace(path, '/$', '') AS bare, CASE WHEN page_id % 4 < 2 THEN list_sort(list_distinct(regexp_extract_all(lower(p_name || ' ' || p_brand || ' ' || p_size), '[\p{L}\p{N}]+'))) ELSE [page_id::VARCHAR, 'name'] END AS tokens,
            nullif(lower(string_split(rtrim(path, '/'), '/')[-1]), '') AS file
-    FROM urls u JOIN documents d ON d.doc_id = u.page_id // 2"""
+    FROM urls u JOIN part ON p_partkey = u.page_id // 2"""
 SQL["coordinates"] = """
     SELECT vec_id, label, greatest(-180.0, least(179.9999, embedding[1]::DOUBLE * 300)) AS lon, greatest(-90.0, least(89.9999, embedding[2]::DOUBLE * 150)) AS lat FROM embeddings"""
 
@@ -30,13 +30,14 @@ def coordinates(t: Tables):
 
 
 def records(t: Tables):
-    pages = t.read("pages").select("page_id", "url").withColumn("doc", F.floor(F.col("page_id") / 2))
-    joined = pages.join(t.read("documents").select("doc_id", "text"), F.col("doc") == F.col("doc_id"))
+    pages = t.read("pages").select("page_id", "url").withColumn("half", F.floor(F.col("page_id") / 2))
+    named = t.read("part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", F.col("p_size").cast("string")).alias("named"))
+    joined = pages.join(named, F.col("half") == F.col("p_partkey"))
     form = T.match_url(F.col("url"))
     own = F.array(F.col("page_id").cast("string"), F.lit("name"))
     return joined.select(
-        "page_id", (F.col("page_id") % 2 == 0).alias("is_a"), (F.col("page_id") % 3 != 0).alias("is_b"), T.identity_url(F.col("url")).alias("clean"), T.host_of(F.col("url")).alias("host"), form.alias("form"),
-        F.regexp_replace(form, "[?#].*$", "").alias("bare"), F.when(F.col("page_id") % 4 < 2, F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.substring("text", 1, 60)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))))).otherwise(own).alias("tokens"),
+        "page_id", (F.col("page_id") % 2 == 0).alias("is_a"), (F.col("page_id") % 4 != 2).alias("is_b"), T.identity_url(F.col("url")).alias("clean"), T.host_of(F.col("url")).alias("host"), form.alias("form"),
+        F.regexp_replace(form, "[?#].*$", "").alias("bare"), F.when(F.col("page_id") % 4 < 2, F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("named"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))))).otherwise(own).alias("tokens"),
         T.last_segment(F.col("url")).alias("file"),
     )
 
@@ -118,7 +119,7 @@ def f1(t: Tables):
 
 @query("F1_folded_tokens")
 def f1b(t: Tables):
-    return t.read("documents").select("doc_id", T.folded_tokens(F.substring("text", 1, 80)).alias("tokens"))
+    return t.read("documents").select("doc_id", T.folded_tokens(F.col("text")).alias("tokens"))
 
 
 @query("F2_name_key", r"SELECT c_custkey, regexp_replace(trim(regexp_replace(lower('City of ' || c_name), '[^\p{L}\p{N}]+', ' ', 'g')), '^city of | city$', '', 'g') AS key FROM customer")
@@ -160,9 +161,9 @@ def f8(t: Tables):
 
 
 @query("F9_text_cleaning", r"""
-    SELECT conv_id, turn, left(trim(regexp_replace(text, '[\x00-\x20\x7F]+', ' ', 'g')), 200) AS line, regexp_replace(trim(regexp_replace(left(text, 100), '[\x00-\x20\x7F]+', ' ', 'g')), '([\\|`*_<>\[\]])', '\\\1', 'g') AS cell FROM conversations""")
+    SELECT conv_id, turn, trim(regexp_replace(text, '[\x00-\x20\x7F]+', ' ', 'g')) AS line, regexp_replace(trim(regexp_replace(text, '[\x00-\x20\x7F]+', ' ', 'g')), '([\\|`*_<>\[\]])', '\\\1', 'g') AS cell FROM conversations""")
 def f9(t: Tables):
-    return t.read("conversations").select("conv_id", "turn", F.left(T.one_line(F.col("text")), F.lit(200)).alias("line"), T.markdown_cell(F.left("text", F.lit(100))).alias("cell"))
+    return t.read("conversations").select("conv_id", "turn", T.one_line(F.col("text")).alias("line"), T.markdown_cell(F.col("text")).alias("cell"))
 
 
 @query("F10_lists", "SELECT p_partkey, list_filter(list_transform(string_split(p_type || '| ' || p_brand || '||', '|'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM part")
@@ -236,12 +237,11 @@ def j3(t: Tables):
 
 
 @query("J4_geohash_join", """
-    SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM hashed a JOIN hashed b ON a.label = b.label AND left(a.hash, 2) = left(b.hash, 2)
-    WHERE a.vec_id % 2 = 0 AND b.vec_id % 2 = 1 AND abs(a.vec_id - b.vec_id) < 100""")
+    SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM hashed a JOIN hashed b ON a.label = b.label AND left(a.hash, 2) = left(b.hash, 2) AND a.vec_id < b.vec_id""")
 def j4(t: Tables):
     at = coordinates(t).select("vec_id", "label", T.geohash(F.col("lat"), F.col("lon"), 2).alias("cell"))
-    a, b = at.where("vec_id % 2 = 0").withColumnRenamed("vec_id", "a_id"), at.where("vec_id % 2 = 1").withColumnRenamed("vec_id", "b_id")
-    return a.join(b, ["label", "cell"]).where(F.abs(F.col("a_id") - F.col("b_id")) < 100).select("a_id", "b_id")
+    a, b = at.withColumnRenamed("vec_id", "a_id"), at.withColumnRenamed("vec_id", "b_id")
+    return a.join(b, ["label", "cell"]).where("a_id < b_id").select("a_id", "b_id")
 
 
 _HISTORIC = """
@@ -344,7 +344,7 @@ def h1(t: Tables):
 
 
 @query("H7_co_listing", """
-    WITH l AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0)
+    WITH l AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
     SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM l a JOIN l b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey""")
 def h7(t: Tables):
-    return M.co_listed(t.read("lineitem").where("l_orderkey % 20 = 0"), "l_orderkey", "l_suppkey")
+    return M.co_listed(t.read("lineitem"), "l_orderkey", "l_suppkey")

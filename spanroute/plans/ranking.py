@@ -58,7 +58,7 @@ def w2(t: Tables):
 
 
 @query("W3_stale_set_aside", f"""
-    WITH modes AS (SELECT feed_id, place_id, list_sort(list(DISTINCT p_type)) AS modes FROM facts JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO' AND l_partkey % 3 = 0 GROUP BY ALL),
+    WITH modes AS (SELECT feed_id, place_id, list_sort(list(DISTINCT p_type)) AS modes FROM facts JOIN part ON l_partkey = p_partkey GROUP BY ALL),
     m AS (SELECT p.feed_id, p.place_id, coalesce(modes, []) AS modes, coalesce(date_diff('day', service_end, DATE '{BUILT}') > 30, false) AS stale
           FROM pairs p LEFT JOIN modes USING (feed_id, place_id)),
     fresh AS (SELECT place_id, list_distinct(flatten(list(modes))) AS fresh_modes FROM m WHERE NOT stale GROUP BY place_id)
@@ -67,7 +67,7 @@ def w2(t: Tables):
                                ELSE f.place_id IS NULL END AS active
     FROM m LEFT JOIN fresh f ON m.place_id = f.place_id""")
 def w3(t: Tables):
-    part = t.read("part").where("p_type <> 'PROMO' and p_partkey % 3 = 0").select("p_partkey", "p_type")
+    part = t.read("part").select("p_partkey", "p_type")
     modes = t.facts().join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("feed_id", "place_id").agg(F.sort_array(F.collect_set("p_type")).alias("modes"))
     pairs = marked(t).drop("active").join(modes, ["feed_id", "place_id"], "left").withColumn("modes", F.coalesce("modes", F.array().cast("array<string>")))
     return R.set_aside(pairs).select("feed_id", "place_id", "stale", "active")

@@ -10,14 +10,13 @@ from spanroute.operators import merge as M
 from .aggregates import edge_service
 from .bindings import SQL, Tables, query
 
-SQL["builds"] = "SELECT DISTINCT feed_id, build AS build_id, make_date(build, 1, 1) AS built FROM facts WHERE (l_suppkey + build) % 4 > 0"
-SQL["build_edges"] = "SELECT DISTINCT feed_id, place_id, tier, build AS build_id, make_date(build, 1, 1) AS built FROM facts WHERE (l_suppkey + build) % 4 > 0"
+SQL["builds"] = "SELECT DISTINCT feed_id, build AS build_id, make_date(build, 1, 1) AS built FROM facts"
+SQL["build_edges"] = "SELECT DISTINCT feed_id, place_id, tier, build AS build_id, make_date(build, 1, 1) AS built FROM facts"
 SQL["won"] = "SELECT feed_id, max(build_id) AS build_id FROM builds GROUP BY feed_id"
 
 
 def build_edges(t: Tables):
-    some = t.facts().where("(l_suppkey + build) % 4 > 0")
-    return some.select("feed_id", "place_id", "tier", F.col("build").alias("build_id"), F.make_date("build", F.lit(1), F.lit(1)).alias("built")).distinct()
+    return t.facts().select("feed_id", "place_id", "tier", F.col("build").alias("build_id"), F.make_date("build", F.lit(1), F.lit(1)).alias("built")).distinct()
 
 
 def won(t: Tables):
@@ -47,23 +46,23 @@ def j28(t: Tables):
     return M.merge_places(places, M.merge_edges(edges, won(t))).select("place_id", "build_id", "kept")
 
 
-@query("J29_semi_and_anti", "SELECT feed_id, name FROM feeds WHERE feed_id NOT IN (SELECT feed_id FROM build_edges WHERE build_id = 1999 AND tier = 'local' AND place_id LIKE 'C1-%')")
+@query("J29_semi_and_anti", "SELECT feed_id, name FROM feeds WHERE feed_id NOT IN (SELECT feed_id FROM pairs WHERE stops >= 17)")
 def j29(t: Tables):
-    some = build_edges(t).where("build_id = 1999 and tier = 'local' and place_id like 'C1-%'").select("feed_id")
+    some = t.pairs().where("stops >= 17").select("feed_id")
     return t.feeds().join(some, "feed_id", "left_anti").select("feed_id", "name")
 
 
-SQL["realtime"] = "SELECT 'T' || substr(feed_id, 2) AS feed_id, CASE WHEN substr(feed_id, 2)::INT % 5 = 0 THEN 'X' ELSE feed_id END AS static_feed_id, build_id, built FROM builds WHERE substr(feed_id, 2)::INT % 3 = 0"
+SQL["realtime"] = "SELECT 'T' || substr(feed_id, 2) AS feed_id, CASE WHEN substr(feed_id, 2)::INT % 5 = 0 THEN 'X' ELSE feed_id END AS static_feed_id, build_id, built FROM builds"
 
 
 def realtime(t: Tables):
-    one = build_edges(t).select("feed_id", "build_id", "built").distinct().withColumn("k", F.substring("feed_id", 2, 20).cast("int")).where("k % 3 = 0")
+    one = build_edges(t).select("feed_id", "build_id", "built").distinct().withColumn("k", F.substring("feed_id", 2, 20).cast("int"))
     return one.select(F.concat(F.lit("T"), F.col("k").cast("string")).alias("feed_id"), F.when(F.col("k") % 5 == 0, "X").otherwise(F.col("feed_id")).alias("static_feed_id"), "build_id", "built")
 
 
-@query("J30_propagated_edges", "SELECT DISTINCT r.feed_id, e.place_id, 'unknown' AS tier, 'inferred' AS method FROM realtime r JOIN edges e ON e.feed_id = r.static_feed_id WHERE r.build_id = 2000")
+@query("J30_propagated_edges", "SELECT DISTINCT r.feed_id, e.place_id, 'unknown' AS tier, 'inferred' AS method FROM realtime r JOIN edges e ON e.feed_id = r.static_feed_id")
 def j30(t: Tables):
-    return M.propagate(realtime(t).where("build_id = 2000"), t.edges())
+    return M.propagate(realtime(t), t.edges())
 
 
 @query("J31_companion_routing", """
@@ -82,18 +81,18 @@ def j32(t: Tables):
 
 _EDITS = """
     SELECT s_suppkey AS edit_id, CASE WHEN s_suppkey % 4 <> 1 THEN 'F' || s_suppkey END AS feed_id, CASE WHEN s_suppkey % 4 IN (0, 1) THEN 'C' || s_nationkey || '-MACHINERY' END AS place_id,
-           CASE s_suppkey % 3 WHEN 0 THEN 'remove' ELSE 'set' END AS action, CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE 'regional' END AS tier FROM supplier WHERE s_suppkey < 60
-    UNION ALL SELECT 1000 + s_suppkey, 'F' || s_suppkey, 'N1', 'add', 'national' FROM supplier WHERE s_suppkey >= 90"""
+           CASE s_suppkey % 3 WHEN 0 THEN 'remove' ELSE 'set' END AS action, CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE 'regional' END AS tier FROM supplier
+    UNION ALL SELECT 1000000 + s_suppkey, 'F' || s_suppkey, 'N' || s_nationkey, 'add', 'national' FROM supplier"""
 SQL["edits"] = _EDITS
 
 
 def edits(t: Tables):
     k, at = F.col("s_suppkey"), F.concat(F.lit("C"), "s_nationkey", F.lit("-MACHINERY"))
     feed, s = F.concat(F.lit("F"), "s_suppkey"), t.read("supplier")
-    change = s.where("s_suppkey < 60").select(
+    change = s.select(
         k.alias("edit_id"), F.when(k % 4 != 1, feed).alias("feed_id"), F.when((k % 4).isin(0, 1), at).alias("place_id"), F.when(k % 3 == 0, "remove").otherwise("set").alias("action"), F.when(k % 3 != 0, "regional").alias("tier")
     )
-    return change.union(s.where("s_suppkey >= 90").select(1000 + k, feed, F.lit("N1"), F.lit("add"), F.lit("national")))
+    return change.union(s.select(1000000 + k, feed, F.concat(F.lit("N"), "s_nationkey"), F.lit("add"), F.lit("national")))
 
 
 @query("C1_edge_edits", """
@@ -156,12 +155,12 @@ def c8(t: Tables):
 
 @query("C9_lineage", """
     WITH m AS (SELECT feed_id, build_id, row_number() OVER (PARTITION BY feed_id ORDER BY build_id) AS gen FROM builds)
-    SELECT a.feed_id, a.build_id FROM m a JOIN (SELECT feed_id, max(build_id) AS cur FROM m GROUP BY feed_id) c ON a.feed_id = c.feed_id WHERE a.build_id <> c.cur AND a.gen % 2 = 0""")
+    SELECT a.feed_id, a.build_id FROM m a JOIN (SELECT feed_id, max(build_id) AS cur FROM m GROUP BY feed_id) c ON a.feed_id = c.feed_id WHERE a.build_id <> c.cur AND a.gen > 1""")
 def c9(t: Tables):
     builds = build_edges(t).select("feed_id", "build_id").distinct()
     gens = builds.withColumn("gen", F.row_number().over(Window.partitionBy("feed_id").orderBy("build_id")))
     current = builds.groupBy("feed_id").agg(F.max("build_id").alias("cur"))
-    return gens.join(current, "feed_id").where("build_id <> cur and gen % 2 = 0").select("feed_id", "build_id")
+    return gens.join(current, "feed_id").where("build_id <> cur and gen > 1").select("feed_id", "build_id")
 
 
 _HISTORY = """
@@ -188,13 +187,13 @@ def c10(t: Tables):
 
 
 @query("C11_golden_gate", """
-    WITH got AS (SELECT feed_id, list(DISTINCT tier) AS got FROM edges WHERE place_id LIKE 'C1-%' GROUP BY feed_id),
+    WITH got AS (SELECT feed_id, list(DISTINCT tier) AS got FROM edge_service WHERE stops >= 17 GROUP BY feed_id),
     g AS (SELECT feed_id, ['local', 'regional'] AS tiers, substr(feed_id, 2)::INT % 2 = 0 AS exact FROM feeds)
     SELECT g.feed_id, len(list_filter(tiers, lambda x: NOT list_contains(coalesce(got, []), x)))::BIGINT AS missing, CASE WHEN exact THEN len(list_filter(coalesce(got, []), lambda x: NOT list_contains(tiers, x)))::BIGINT ELSE 0 END AS extra
     FROM g LEFT JOIN got ON g.feed_id = got.feed_id""")
 def c11(t: Tables):
     golden = t.feeds().select("feed_id", F.array(F.lit("local"), F.lit("regional")).alias("tiers"), (F.substring("feed_id", 2, 20).cast("int") % 2 == 0).alias("exact"))
-    return C.gate(golden, t.edges().where("place_id like 'C1-%'"))
+    return C.gate(golden, edge_service(t).where("stops >= 17"))
 
 
 @query("C12_partition_completeness", "SELECT o_orderkey, count(DISTINCT l_suppkey % 3) AS labels FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey HAVING count(DISTINCT l_suppkey % 3) <> 1")
@@ -212,11 +211,11 @@ def c13(t: Tables):
 
 
 @query("P16_skip_predicate", """
-    SELECT feed_id, count(DISTINCT tier) = 1 AND count(DISTINCT country_code) = 1 AND count(DISTINCT f.place_id) = 1 AS skip FROM facts f JOIN places p ON f.place_id = p.place_id WHERE l_partkey % 60 = 0 AND l_linenumber < 3 GROUP BY feed_id""")
+    SELECT feed_id, build, l_partkey, count(DISTINCT tier) = 1 AND count(DISTINCT country_code) = 1 AND count(DISTINCT f.place_id) = 1 AS skip FROM facts f JOIN places p ON f.place_id = p.place_id GROUP BY feed_id, build, l_partkey""")
 def p16(t: Tables):
-    rows = t.facts().where("l_partkey % 60 = 0 and l_linenumber < 3").join(t.places().select("place_id", "country_code"), "place_id")
+    rows = t.facts().join(t.places().select("place_id", "country_code"), "place_id")
     one = (F.countDistinct("tier") == 1) & (F.countDistinct("country_code") == 1) & (F.countDistinct("place_id") == 1)
-    return rows.groupBy("feed_id").agg(one.alias("skip"))
+    return rows.groupBy("feed_id", "build", "l_partkey").agg(one.alias("skip"))
 
 
 @query("P17_access", "SELECT event_id, CASE event_type WHEN 'error' THEN CASE WHEN value > 20 THEN 'key' ELSE 'refused' END WHEN 'view' THEN 'open' END AS access FROM events")

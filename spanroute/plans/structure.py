@@ -74,24 +74,25 @@ def h8(t: Tables):
 
 
 @query("H9_majority_country", """
-    WITH n AS (SELECT m.metro_id, p.country_code, count(*) AS n FROM membership m JOIN places p ON m.place_id = p.place_id WHERE p.country_code IN ('R0', 'R1') AND p.place_id NOT LIKE 'C1-%' GROUP BY ALL)
+    WITH n AS (SELECT m.metro_id, CASE WHEN p.country_code IN ('R0', 'R1', 'R2') THEN 'R0' ELSE p.country_code END AS country_code, count(*) AS n FROM membership m JOIN places p ON m.place_id = p.place_id GROUP BY ALL)
     SELECT metro_id, country_code FROM (SELECT *, n / sum(n) OVER (PARTITION BY metro_id) AS s FROM n) WHERE s > 0.5""")
 def h9(t: Tables):
-    city = t.places().where("country_code in ('R0', 'R1') and place_id not like 'C1-%'").select("place_id", "country_code")
+    three = F.when(F.col("country_code").isin("R0", "R1", "R2"), "R0").otherwise(F.col("country_code"))
+    city = t.places().select("place_id", three.alias("country_code"))
     return H.majority(membership(t).join(city, "place_id"), "metro_id", "country_code")
 
 
 @query("H10_identify", """
-    WITH r AS (SELECT p_partkey AS key, unnest([p_brand || p_size, 'x' || p_partkey]) AS value FROM part WHERE p_partkey < 600),
-    c AS (SELECT value, place_id FROM (SELECT p_brand || p_size AS value, 'tp_' || (p_partkey % 50) AS place_id FROM part WHERE p_partkey >= 1700 UNION SELECT 'x' || p_partkey, 'tp_' || (p_partkey % 40) FROM part WHERE p_partkey % 5 = 0)),
+    WITH r AS (SELECT p_partkey AS key, unnest([p_brand || p_size, 'x' || p_partkey]) AS value FROM part),
+    c AS (SELECT value, place_id FROM (SELECT p_brand || p_size AS value, 'tp_' || (p_partkey % 50) AS place_id FROM part WHERE p_size > 48 UNION SELECT 'x' || p_partkey, 'tp_' || (p_partkey % 40) FROM part WHERE p_size < 12)),
     f AS (SELECT key, count(DISTINCT place_id) AS n, min(place_id) AS one FROM r LEFT JOIN c USING (value) GROUP BY key)
     SELECT key, CASE n WHEN 0 THEN 'tp_' || (1000 + row_number() OVER (PARTITION BY n ORDER BY key) - 1) WHEN 1 THEN one END AS place_id, CASE n WHEN 0 THEN 'minted' WHEN 1 THEN 'identified' ELSE 'conflict' END AS outcome FROM f""")
 def h10(t: Tables):
     part, key, size = t.read("part"), F.col("p_partkey"), F.concat("p_brand", F.col("p_size").cast("string"))
     own = F.concat(F.lit("x"), key.cast("string"))
-    known = part.where("p_partkey >= 1700").select(size.alias("value"), F.concat(F.lit("tp_"), (key % 50).cast("string")).alias("place_id"))
-    known = known.union(part.where("p_partkey % 5 = 0").select(own, F.concat(F.lit("tp_"), (key % 40).cast("string")))).distinct()
-    return H.identify(part.where("p_partkey < 600").select(key.alias("key"), F.array(size, own).alias("values")), known, 1000)
+    known = part.where("p_size > 48").select(size.alias("value"), F.concat(F.lit("tp_"), (key % 50).cast("string")).alias("place_id"))
+    known = known.union(part.where("p_size < 12").select(own, F.concat(F.lit("tp_"), (key % 40).cast("string")))).distinct()
+    return H.identify(part.select(key.alias("key"), F.array(size, own).alias("values")), known, 1000)
 
 
 @query("H11_municipality_outcomes", """
@@ -129,19 +130,18 @@ def j26(t: Tables):
     return up.union(declared.join(membership(t), "place_id").select("feed_id", "metro_id")).distinct()
 
 
-SQL["points"] = "SELECT DISTINCT feed_id, l_partkey % 60 AS point FROM facts WHERE l_linenumber <= CASE WHEN l_suppkey % 10 = 0 THEN 7 WHEN l_suppkey % 3 = 0 THEN 1 ELSE 2 END AND (l_suppkey % 10 = 0 OR l_partkey % 60 < 18)"
-SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey % 12 AS line FROM facts WHERE l_suppkey % 10 = 0 OR l_partkey % 12 < 6"
+SQL["points"] = "SELECT DISTINCT feed_id, l_partkey % 60 AS point FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
+SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey % 12 AS line FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
 
 
 def points(t: Tables):
-    k, few = F.col("l_suppkey"), F.col("l_partkey") % 60
-    most = F.when(k % 10 == 0, 7).when(k % 3 == 0, 1).otherwise(2)
-    return t.facts().where((F.col("l_linenumber") <= most) & ((k % 10 == 0) | (few < 18))).select("feed_id", few.alias("point")).distinct()
+    # Large feeds stop everywhere, others only where many board.
+    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", (F.col("l_partkey") % 60).alias("point")).distinct()
 
 
 def lines(t: Tables):
     line = F.col("l_partkey") % 12
-    return t.facts().where((F.col("l_suppkey") % 10 == 0) | (line < 6)).select("feed_id", line.alias("line")).distinct()
+    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", line.alias("line")).distinct()
 
 
 @query("J20_containment", """
@@ -156,11 +156,11 @@ def j20(t: Tables):
 
 
 @query("J21_near_duplicates", """
-    WITH c AS (SELECT doc_id, source, lang, sha256(left(text, 12)) AS head, sha256(text) AS body FROM documents)
+    WITH c AS (SELECT doc_id, source, lang, sha256(n_chars::VARCHAR) AS head, sha256(text) AS body FROM documents)
     SELECT head, lang, list_sort(list(DISTINCT doc_id)) AS members, list_filter([CASE WHEN count(DISTINCT body) > 1 THEN 'body' END, CASE WHEN count(DISTINCT source) > 1 THEN 'source' END], lambda x: x IS NOT NULL) AS differ
     FROM c GROUP BY head, lang HAVING count(DISTINCT doc_id) > 1""")
 def j21(t: Tables):
-    docs = t.read("documents").select("doc_id", "source", "lang", F.sha2(F.left("text", F.lit(12)), 256).alias("head"), F.sha2("text", 256).alias("body"))
+    docs = t.read("documents").select("doc_id", "source", "lang", F.sha2(F.col("n_chars").cast("string"), 256).alias("head"), F.sha2("text", 256).alias("body"))
     return O.near_duplicates(docs, "doc_id", ["head", "lang"], ["body", "source"])
 
 
@@ -209,10 +209,10 @@ def j25(t: Tables):
 
 
 @query("J33_pairs_within_route", """
-    WITH s AS (SELECT l_orderkey, l_linenumber AS i, max(l_partkey) AS p FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY ALL)
+    WITH s AS (SELECT l_orderkey, l_linenumber AS i, max(l_partkey) AS p FROM lineitem GROUP BY ALL)
     SELECT l_orderkey, count(*) AS pairs, max(abs(a.p - b.p)) AS span FROM s a JOIN s b USING (l_orderkey) WHERE a.i < b.i GROUP BY l_orderkey""")
 def j33(t: Tables):
-    stops = t.read("lineitem").where("l_orderkey % 10 = 0").groupBy("l_orderkey", F.col("l_linenumber").alias("i")).agg(F.max("l_partkey").alias("p"))
+    stops = t.read("lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("i")).agg(F.max("l_partkey").alias("p"))
     met = stops.join(stops.select("l_orderkey", F.col("i").alias("j"), F.col("p").alias("q")), "l_orderkey").where("i < j")
     return met.groupBy("l_orderkey").agg(F.count("*").alias("pairs"), F.max(F.abs(F.col("p") - F.col("q"))).alias("span"))
 

@@ -11,8 +11,8 @@ SQL["calendar"] = """
     SELECT 'S' || l_suppkey AS service_id, min(day) AS start, min(day) + 60 + any_value(l_suppkey)::INT % 40 AS "end",
            [(any_value(l_suppkey) + w) % 3 <> 0 FOR w IN range(7)] AS weekdays, count(DISTINCT l_orderkey) % 9 + 1 AS trips FROM facts GROUP BY l_suppkey"""
 SQL["exceptions"] = """
-    SELECT DISTINCT 'S' || l_suppkey AS service_id, day, l_linenumber = 7 AS added FROM facts
-    WHERE l_linenumber IN (6, 7) AND l_partkey % 10 = 1 AND day < DATE '1996-03-01'"""
+    SELECT DISTINCT 'S' || l_suppkey AS service_id, day, l_quantity = 50 AS added FROM facts
+    WHERE l_quantity IN (1, 50)"""
 SQL["walked"] = """
     SELECT service_id, trips, day FROM (SELECT *, unnest(generate_series(start, "end", INTERVAL 1 DAY))::DATE AS day FROM calendar) c
     WHERE weekdays[isodow(day)] AND NOT EXISTS (FROM exceptions e WHERE e.service_id = c.service_id AND e.day = c.day AND NOT added)
@@ -32,8 +32,8 @@ def calendar(t: Tables):
 
 
 def exceptions(t: Tables):
-    some = t.facts().where("l_linenumber in (6, 7) and l_partkey % 10 = 1 and day < date'1996-03-01'")
-    return some.select(F.concat(F.lit("S"), "l_suppkey").alias("service_id"), "day", (F.col("l_linenumber") == 7).alias("added")).distinct()
+    some = t.facts().where("l_quantity in (1, 50)")
+    return some.select(F.concat(F.lit("S"), "l_suppkey").alias("service_id"), "day", (F.col("l_quantity") == 50).alias("added")).distinct()
 
 
 def daily(t: Tables):
