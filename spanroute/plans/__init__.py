@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .bindings import ORACLES, QUERIES, Tables, query
 
-MODULES = ("ranking", "time", "aggregates", "matching", "structure", "space", "snapshots", "api", "derivations")
+MODULES = ("ranking", "time", "aggregates", "matching", "structure", "space", "snapshots", "api", "derivations", "sources")
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
 
