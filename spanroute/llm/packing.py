@@ -158,40 +158,81 @@ class Bins:
 
 
 def _best_pattern(sizes: np.ndarray, duals: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The multiset of sizes within the capacity of the greatest dual value."""
-    most = int(capacity // sizes.min())
-    value, took = np.zeros(capacity + 1), []
-    for _ in range(most):
-        new, by = value.copy(), np.full(capacity + 1, -1)
-        for g, (s, y) in enumerate(zip(sizes, duals, strict=True)):
-            if y > 1e-12:
-                more = value[: capacity + 1 - s] + y
-                better = more > new[s:] + 1e-12
-                new[s:][better] = more[better]
-                by[s:][better] = g
-        if (by < 0).all():
-            break
-        value, took = new, [*took, by]
-    pattern, c = np.zeros(len(sizes), int), capacity
+    """The multiset of sizes within the capacity of the greatest dual value.
+
+    Layer k holds, for every room, the best value of at most k pieces and the last of them;
+    the last layer is needed for the whole capacity only.
+    """
+    order = np.flatnonzero(duals > 1e-12)
+    pattern = np.zeros(len(sizes), int)
+    if not len(order):
+        return 0.0, pattern
+    by = np.full(capacity + 1, -1)
+    for g in order[np.argsort(duals[order], kind="stable")]:  # the most valuable of those that fit
+        by[sizes[g] :] = g
+    value, took = np.where(by >= 0, duals[by], 0.0), [by]
+    for _ in range(int(capacity // sizes.min()) - 2):
+        more, last = value.copy(), np.full(capacity + 1, -1)
+        for g in order:
+            new = value[: capacity + 1 - sizes[g]] + duals[g]
+            better = new > more[sizes[g] :] + 1e-12
+            more[sizes[g] :][better] = new[better]
+            last[sizes[g] :][better] = g
+        value, took = more, [*took, last]
+    at = duals[order] + value[capacity - sizes[order]]
+    best, room = int(at.argmax()), capacity
+    total = float(at[best])
+    if total > value[capacity] + 1e-12:
+        pattern[order[best]] += 1
+        room -= sizes[order[best]]
+    else:
+        total = float(value[capacity])
     for by in reversed(took):
-        if by[c] >= 0:
-            pattern[by[c]] += 1
-            c -= sizes[by[c]]
-    return float(value[capacity]), pattern
-
-
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 1500) -> list[tuple[np.ndarray, float]]:
-    """Patterns of few sizes and how often to use each: the linear relaxation, by column generation."""
-    basis = np.diag(capacity // sizes).astype(float)
-    for _ in range(rounds):
-        x = np.linalg.solve(basis, demand)
-        duals = np.linalg.solve(basis.T, np.ones(len(sizes)))
-        value, pattern = _best_pattern(sizes, duals, capacity)
+        if by[room] >= 0:
+            pattern[by[room]] += 1
+            room -= sizes[by[room]]
+    return total, pattern
+
+
+def _first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+    """Patterns that fill up with the largest sizes left, each used until one of its sizes is used up.
+
+    No later pattern holds that size, so these columns are independent, and their use isn't negative.
+    """
+    left, alive, basis = demand.astype(float), list(np.argsort(-sizes, kind="stable")), np.zeros((len(sizes), len(sizes)))
+    while alive:
+        room, pattern = capacity, np.zeros(len(sizes))
+        for g in alive:
+            pattern[g], room = room // sizes[g], room % sizes[g]
+        held = np.flatnonzero(pattern)
+        out = held[int((left[held] / pattern[held]).argmin())]
+        left -= left[out] / pattern[out] * pattern
+        basis[:, out] = pattern
+        alive.remove(out)
+    return basis
+
+
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 600) -> list[tuple[np.ndarray, float]]:
+    """Patterns of few sizes and how often to use each: the linear relaxation, by column generation.
+
+    It starts from patterns filled largest first and ends at the optimum, or after ``rounds``.
+    """
+    basis = _first_basis(sizes, demand, capacity)
+    inverse = np.linalg.inv(basis)
+    for turn in range(rounds):
+        if turn % 64 == 63:  # what rounding has gathered
+            inverse = np.linalg.inv(basis)
+        x = inverse @ demand
+        value, pattern = _best_pattern(sizes, inverse.sum(0), capacity)
         if value <= 1 + 1e-7:
             break
-        move = np.linalg.solve(basis, pattern.astype(float))
+        move = inverse @ pattern
         ratio = np.where(move > 1e-9, np.maximum(x, 0) / np.where(move > 1e-9, move, 1), np.inf)
-        basis[:, int(ratio.argmin())] = pattern
+        out = int(ratio.argmin())
+        basis[:, out] = pattern
+        row = inverse[out] / move[out]
+        inverse -= np.outer(move, row)
+        inverse[out] = row
     x = np.linalg.solve(basis, demand)
     return [(basis[:, i].round().astype(int), float(v)) for i, v in enumerate(x) if v >= 1]
 
