@@ -130,17 +130,17 @@ def j26(t: Tables):
     return up.union(declared.join(membership(t), "place_id").select("feed_id", "metro_id")).distinct()
 
 
-SQL["points"] = "SELECT DISTINCT feed_id, l_partkey % 60 AS point FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
-SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey % 12 AS line FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
+SQL["points"] = "SELECT DISTINCT feed_id, l_partkey % 200 AS point FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
+SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey // 2 % 200 AS line FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
 
 
 def points(t: Tables):
     # Large feeds stop everywhere, others only where many board.
-    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", (F.col("l_partkey") % 60).alias("point")).distinct()
+    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", (F.col("l_partkey") % 200).alias("point")).distinct()
 
 
 def lines(t: Tables):
-    line = F.col("l_partkey") % 12
+    line = F.floor(F.col("l_partkey") / 2) % 200
     return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", line.alias("line")).distinct()
 
 
