@@ -132,3 +132,57 @@ def deepest(met: DataFrame, depth: DataFrame) -> DataFrame:
     kinds = F.array_position(F.array(F.lit("city"), F.lit("metro"), F.lit("region"), F.lit("country")), F.col("kind"))
     order = F.struct(-F.col("depth"), kinds, F.col("place_id"))
     return met.join(depth, "place_id").groupBy("thing_id").agg(F.min_by("place_id", order).alias("place_id"))
+
+
+def _rings(rings: pd.Series) -> Iterator[np.ndarray]:
+    for ring in rings:
+        yield np.array([(p["x"], p["y"]) for p in ring])
+
+
+@F.pandas_udf(DoubleType())
+def ring_area_km2(rings: pd.Series) -> pd.Series:
+    return pd.Series([G.area_km2(r) for r in _rings(rings)], dtype="float64")
+
+
+@F.pandas_udf(BooleanType())
+def ring_valid(rings: pd.Series) -> pd.Series:
+    return pd.Series([G.valid(r) for r in _rings(rings)], dtype="bool")
+
+
+def simplified(tolerance: float):
+    """A function of a ring: its corners that stray more than ``tolerance``."""
+
+    @F.pandas_udf(RING)
+    def run(rings: pd.Series) -> pd.Series:
+        return pd.Series([[{"x": x, "y": y} for x, y in G.simplify(r, tolerance).tolist()] for r in _rings(rings)])
+
+    return run
+
+
+@F.pandas_udf(DoubleType())
+def shared_area(rings: pd.Series, xmin: pd.Series, ymin: pd.Series, xmax: pd.Series, ymax: pd.Series) -> pd.Series:
+    """The area of a ring within a box, in square degrees."""
+    boxes = zip(xmin, ymin, xmax, ymax, strict=True)
+    cut = [G.clip(r, b) for r, b in zip(_rings(rings), boxes, strict=True)]
+    return pd.Series([G.area(c) if len(c) > 2 else 0.0 for c in cut], dtype="float64")
+
+
+POINT = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
+
+
+@F.pandas_udf(POINT)
+def point_within(rings: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([G.representative(r) for r in _rings(rings)], columns=["x", "y"])
+
+
+def border_clear(points: DataFrame, areas: DataFrame, owner: str, id_col: str, margin: float) -> DataFrame:
+    """id and owner of points that only one owner's boxes, grown by ``margin``, hold."""
+    grown = areas.withColumns({"xmin": F.col("xmin") - margin, "ymin": F.col("ymin") - margin, "xmax": F.col("xmax") + margin, "ymax": F.col("ymax") + margin})
+    held = points_in_boxes(points, grown).groupBy(id_col).agg(F.countDistinct(owner).alias("n"), F.min(owner).alias(owner))
+    return held.where("n = 1").select(id_col, owner)
+
+
+def core_of(met: DataFrame, sizes: DataFrame, least: float = 0.5) -> DataFrame:
+    """right_id, core: the largest of the left areas that lie in it by ``least`` and are no larger, ties to the lower id."""
+    inside = met.where(F.col("shared") >= least * F.col("own")).join(sizes, F.col("right_id") == F.col("id")).where(F.col("own") <= F.col("area"))
+    return inside.groupBy("right_id").agg(F.min_by("left_id", F.struct(-F.col("own"), F.col("left_id"))).alias("core"))

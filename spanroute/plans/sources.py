@@ -103,3 +103,19 @@ def k1(t: Tables):
     for n in (2, 3):
         K.publish({"places": t.places().limit(n) if n == 2 else t.places()}, root, keep=2)
     return K.resolve(t.spark, root)["places"]
+
+
+@query("K2_resolved_generation", "SELECT feed_id, count(*) AS edges FROM edges GROUP BY feed_id")
+def k2(t: Tables):
+    root = fresh_path(t.spark)
+    K.publish({"edges": t.edges()}, root, {"edges": "tier"})
+    return K.resolve(t.spark, root)["edges"].groupBy("feed_id").agg(F.count("*").alias("edges"))
+
+
+@query("K9_report_lines", "SELECT '| ' || replace(name, '_', chr(92) || '_') || ' | ' || n || ' |' AS line FROM places p JOIN (SELECT place_id, count(*) AS n FROM edges GROUP BY place_id) e ON e.place_id = p.place_id")
+def k9(t: Tables):
+    from spanroute.functions.text import markdown_cell
+
+    counts = t.edges().groupBy("place_id").agg(F.count("*").alias("n"))
+    rows = t.places().join(counts, "place_id")
+    return rows.select(F.concat(F.lit("| "), markdown_cell(F.col("name")), F.lit(" | "), F.col("n").cast("string"), F.lit(" |")).alias("line"))

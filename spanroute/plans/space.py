@@ -190,3 +190,73 @@ def e20(t: Tables):
 @query("G2_hulls")
 def g2(t: Tables):
     return S.hulls(coordinates(t), "label")
+
+
+def polygons(t: Tables):
+    return S.hulls(coordinates(t), "label")
+
+
+@query("F20_ring_areas")
+def f20(t: Tables):
+    return polygons(t).select("label", F.round(S.ring_area_km2("ring"), 3).alias("km2"))
+
+
+@query("G1_points_covered")
+def g1(t: Tables):
+    return S.points_in_polygons(coordinates(t).withColumnRenamed("label", "own"), polygons(t)).groupBy("label").agg(F.count("*").alias("points"))
+
+
+@query("G3_simplified_rings")
+def g3(t: Tables):
+    return polygons(t).select("label", F.size("ring").alias("corners"), F.size(S.simplified(2.0)("ring")).alias("left"))
+
+
+@query("G4_valid_rings")
+def g4(t: Tables):
+    return polygons(t).select("label", S.ring_valid("ring").alias("valid"))
+
+
+@query("G7_shared_areas")
+def g7(t: Tables):
+    boxes = areas(t).select(F.col("place_id"), F.col("label").alias("box"), "xmin", "ymin", "xmax", "ymax")
+    rings = polygons(t).select("label", "ring")
+    met = rings.join(boxes, F.pmod(F.col("label") + 1, F.lit(10)) == F.col("box"))
+    return met.select("label", "place_id", F.round(S.shared_area("ring", "xmin", "ymin", "xmax", "ymax"), 6).alias("shared"))
+
+
+@query("G8_points_within")
+def g8(t: Tables):
+    inner = polygons(t).withColumn("p", S.point_within("ring"))
+    return inner.select("label", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y"), S.covered(F.col("p.x"), F.col("p.y"), F.col("ring")).alias("covered"))
+
+
+@query("G9_boundary_source", """
+    SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'own' WHEN p_partkey IS NOT NULL THEN 'lender' WHEN n_nationkey IS NOT NULL THEN 'centre' ELSE 'none' END AS source
+    FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey LEFT JOIN part ON p_partkey = c_custkey AND p_size > 25 LEFT JOIN nation ON n_nationkey = c_nationkey AND n_regionkey < 3""")
+def g9(t: Tables):
+    own = t.read("supplier").select(F.col("s_suppkey").alias("c_custkey"), F.lit("own").alias("own"))
+    lender = t.read("part").where("p_size > 25").select(F.col("p_partkey").alias("c_custkey"), F.lit("lender").alias("lender"))
+    centre = t.read("nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("c_nationkey"), F.lit("centre").alias("centre"))
+    rows = t.read("customer").select("c_custkey", "c_nationkey").join(own, "c_custkey", "left").join(lender, "c_custkey", "left").join(centre, "c_nationkey", "left")
+    return rows.select("c_custkey", F.coalesce("own", "lender", "centre", F.lit("none")).alias("source"))
+
+
+@query("G10_settled_centres")
+def g10(t: Tables):
+    centres = coordinates(t).groupBy("label").agg(F.round(F.avg("lon"), 3).alias("lon"), F.round(F.avg("lat"), 3).alias("lat"))
+    met = centres.join(polygons(t).select("label", "ring"), "label")
+    kept = S.covered(F.col("lon"), F.col("lat"), F.col("ring"))
+    return met.select("label", F.when(kept, F.col("lon")).alias("lon"), F.when(kept, F.col("lat")).alias("lat"))
+
+
+@query("G11_border_clear", """
+    SELECT vec_id, min(a.label) AS owner FROM coordinates c JOIN areas a ON lon BETWEEN xmin - 0.2 AND xmax + 0.2 AND lat BETWEEN ymin - 0.2 AND ymax + 0.2 GROUP BY vec_id HAVING count(DISTINCT a.label) = 1""")
+def g11(t: Tables):
+    return S.border_clear(coordinates(t).drop("label"), areas(t).withColumnRenamed("label", "owner"), "owner", "vec_id", 0.2)
+
+
+@query("H12_core_selection", _OVER + """, z AS (SELECT place_id, (xmax - xmin) * (ymax - ymin) AS area FROM areas)
+    SELECT right_id, arg_min(left_id, (-own, left_id)) AS core FROM o JOIN z ON right_id = place_id WHERE shared >= 0.5 * own AND own <= area + 100 GROUP BY right_id""")
+def h12(t: Tables):
+    sizes = areas(t).select(F.col("place_id").alias("id"), ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) + 100).alias("area"))
+    return S.core_of(overlapping(t), sizes)
