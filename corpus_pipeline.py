@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from spanroute.llm.common import materialize, table
 from spanroute.llm.line_dedup import line_dedup
 from spanroute.llm.packing import pack_documents
-from spanroute.llm.quality import score, train
+from spanroute.llm.quality import held_out, score, train
 from spanroute.llm.simhash import simhash_dedup
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from all labelled documents."""
-    model = train(docs, table(spark, sf_dir, "labels"))
+    """Documents that the quality classifier accepts; a third of the labels stays held out of its training."""
+    model = train(docs, table(spark, sf_dir, "labels"), where=lambda i: ~held_out(i))
     return docs.where(score(docs, model) >= 0.5)
 
 
