@@ -24,15 +24,13 @@ def frequent(rows: DataFrame, support: float) -> DataFrame:
     """
     counters = rows.select(F.xxhash64("digest").alias("k")).stat.freqItems(["k"], support)
     candidates = counters.select(F.explode("k_freqItems").alias("k"))
-    total = rows.agg(F.count("*").alias("total"))
+    total = rows.agg(F.count("*")).scalar()
     return (
         rows.withColumn("k", F.xxhash64("digest"))
         .join(F.broadcast(candidates), "k", "left_semi")
         .groupBy("digest")
         .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-        .join(F.broadcast(total))
-        .where(F.col("group_size") >= F.lit(support) * F.col("total"))
-        .select("digest", "keep_id", "group_size")
+        .where(F.col("group_size") >= F.lit(support) * total)
     )
 
 
