@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanroute.sinks.scratch import written
+
 MAX_DEPTH = 8
 
 
@@ -98,7 +100,7 @@ def rewrite_keys(rows: DataFrame, mapping: DataFrame, columns: list[str], lists:
     for c in columns:
         rows = rows.join(mapping.select(F.col("old").alias(c), F.col("new").alias("_new")), c, "left").withColumn(c, F.coalesce("_new", c)).drop("_new")
     for c in lists:
-        rows = rows.withColumn("_row", F.monotonically_increasing_id())
+        rows = written(rows.withColumn("_row", F.monotonically_increasing_id()))  # ids stay as they are
         parts = rows.select("_row", F.posexplode(c).alias("_at", "old")).join(mapping, "old", "left").select("_row", "_at", F.coalesce("new", "old").alias("id"))
         done = parts.groupBy("_row").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("_at", "id"))), lambda x: x["id"])).alias("_list"))
         rows = rows.join(done, "_row", "left").withColumn(c, F.coalesce("_list", c)).drop("_row", "_list")
@@ -114,8 +116,9 @@ def identify(rows: DataFrame, concordance: DataFrame, next_id: int) -> DataFrame
     hits = rows.select("key", F.explode_outer("values").alias("value")).join(concordance, "value", "left")
     found = hits.groupBy("key").agg(F.countDistinct("place_id").alias("n"), F.min("place_id").alias("one"))
     fresh = found.where("n = 0").select("key")
-    # Numbers without a global window: counts of ranges of keys, then rows within a range.
-    ranges = fresh.repartitionByRange(max(1, fresh.rdd.getNumPartitions()), "key").sortWithinPartitions("key").withColumn("part", F.spark_partition_id())
+    # Numbers without a global window: counts of ranges of keys, then rows within a range. The
+    # ranges are written once, as another run could part the keys elsewhere.
+    ranges = written(fresh.repartitionByRange("key").withColumn("part", F.spark_partition_id()))
     ranges = ranges.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("key")))
     sizes = ranges.groupBy("part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")

@@ -52,8 +52,8 @@ def page(rows: DataFrame, sort: str, key: str, descending: bool = False, offset:
     if sort not in rows.columns:
         raise ValueError(f"no column {sort}")
     order = F.col(sort).desc_nulls_last() if descending else F.col(sort).asc_nulls_last()
-    total = rows.agg(F.count("*").alias("total"))
-    return rows.orderBy(order, key).offset(offset).limit(limit).join(F.broadcast(total))
+    total = rows.agg(F.count("*")).scalar()
+    return rows.orderBy(order, key).offset(offset).limit(limit).withColumn("total", total)
 
 
 def search(rows: DataFrame, text: str, limit: int, name: str = "name") -> DataFrame:
