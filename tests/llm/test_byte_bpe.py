@@ -77,3 +77,14 @@ def test_nulls_names_and_empty(spark):
     got = B.decode(B.encode(docs, PATH, PATTERN), PATH).select("doc_id", F.length("ids"), F.decode("decoded", "UTF-8")).collect()
     assert sorted(map(tuple, got), key=str) == [(1, 0, ""), (1, 0, ""), (None, 4 * len(REAL.encode("hello")), "hello")]
     assert B.encode(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_every_code_point():
+    """All characters, in runs and between letters, are cut as the library cuts them."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(every), 4096):
+        text = "".join(every[at : at + 4096])
+        assert "".join(ENCODER.pieces(text)) == text
+    for at in range(0, len(every), 256):
+        text = "a".join(every[at : at + 256])
+        assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == REAL.encode_ordinary(text)
