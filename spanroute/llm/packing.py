@@ -23,8 +23,9 @@ CAPACITY, END = 4096, 1
 #: Lengths above this share of the capacity are large, and are grouped.
 LARGE = 1 / 4
 GROUPS = 320
-#: Words whose ids a task keeps; beyond that it starts anew, so its memory is bounded.
-CACHED = 700_000
+#: Words, and pieces of words, whose ids a worker keeps; beyond that it starts anew, so its memory
+#: is bounded. A word is soon put together from its pieces, while a piece takes the tokenizer.
+CACHED, KEPT_PIECES = 400_000, 1_000_000
 #: Characters tokenised at a time of a long text.
 SLICE = 1 << 20
 
@@ -59,7 +60,7 @@ class WordTokens:
     def _learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > CACHED:
             self.words.clear()
-        if len(self.pieces) > CACHED:
+        if len(self.pieces) > KEPT_PIECES:
             self.pieces.clear()
         plain = {w: PIECES.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and "<|" not in w}
         new = list({p for ps in plain.values() for p in ps if p not in self.pieces})

@@ -26,7 +26,7 @@ def test_tokens_are_the_tokenizers(spark, sf_small, monkeypatch):
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     want = ids_of(texts)
     for cached, size in ((P.CACHED, P.SLICE), (50, 300)):
-        monkeypatch.setattr(P, "CACHED", cached), monkeypatch.setattr(P, "SLICE", size)
+        monkeypatch.setattr(P, "CACHED", cached), monkeypatch.setattr(P, "KEPT_PIECES", cached), monkeypatch.setattr(P, "SLICE", size)
         assert [np.frombuffer(x, "<u4").tolist() for x in P.WordTokens(PATH).encode(texts)] == want
 
 
