@@ -127,3 +127,28 @@ def agreed_location(rows: DataFrame, key: str, levels: list[str]) -> DataFrame:
         good = good & (F.col("n_" + c) == 1)
         out.append(F.when(good, F.col(c)).alias(c))
     return agg.select(*out)
+
+
+def name_lookup(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """key, place_id, outcome of names (key, country, name, subdivision) among places (place_id, country, variants, parent_id).
+
+    A place of the country that has the name as a variant is a candidate. The only one is
+    taken (``unique``), as is the only one below the subdivision that is asked for
+    (``corroborated``); several stay ``ambiguous``, none is ``unknown``.
+    """
+    named = known.select("country", F.explode(F.array_distinct("variants")).alias("name"), "place_id", "parent_id")
+    met = asked.join(named, ["country", "name"], "left")
+    below = F.when(F.col("parent_id") == F.col("subdivision"), F.col("place_id"))
+    found = met.groupBy("key").agg(F.countDistinct("place_id").alias("n"), F.min("place_id").alias("one"), F.countDistinct(below).alias("n_below"), F.min(below).alias("below"))
+    outcome = F.when(F.col("n") == 0, "unknown").when(F.col("n") == 1, "unique").when(F.col("n_below") == 1, "corroborated").otherwise("ambiguous")
+    return found.select("key", F.when(F.col("n") == 1, F.col("one")).when(F.col("n_below") == 1, F.col("below")).alias("place_id"), outcome.alias("outcome"))
+
+
+def canonical_ids(rows: DataFrame, feeds: DataFrame, column: str) -> DataFrame:
+    """Rows with ``canonical``, the feed (feed_id, aliases) that ``column`` names by id or alias; null for none.
+
+    An id of its own comes before an alias, and of aliases that several feeds claim the lowest feed.
+    """
+    names = feeds.select(F.col("feed_id").alias("_name"), F.lit(0).alias("_rank"), "feed_id").union(feeds.select(F.explode("aliases"), F.lit(1), "feed_id"))
+    best = names.groupBy("_name").agg(F.min_by("feed_id", F.struct("_rank", "feed_id")).alias("canonical"))
+    return rows.join(best, F.col(column) == F.col("_name"), "left").drop("_name")

@@ -348,3 +348,31 @@ def h1(t: Tables):
     SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM l a JOIN l b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey""")
 def h7(t: Tables):
     return M.co_listed(t.read("lineitem"), "l_orderkey", "l_suppkey")
+
+
+@query("J11_name_lookup", """
+    WITH k AS (SELECT place_id, country_code AS country, parent_id, unnest(list_distinct([lower(split_part(name, ' ', 1)), lower(name)])) AS name FROM places WHERE kind = 'city'),
+    a AS (SELECT c_custkey AS key, 'R' || n_regionkey AS country, CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) || ' ' || lower(n_name) ELSE 'nowhere' END AS name, CASE WHEN c_custkey % 2 = 0 THEN 'N' || c_nationkey END AS sub
+          FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    f AS (SELECT key, count(DISTINCT place_id) AS n, min(place_id) AS one, count(DISTINCT CASE WHEN parent_id = sub THEN place_id END) AS nb, min(CASE WHEN parent_id = sub THEN place_id END) AS below FROM a LEFT JOIN k USING (country, name) GROUP BY key)
+    SELECT key, CASE WHEN n = 1 THEN one WHEN nb = 1 THEN below END AS place_id, CASE WHEN n = 0 THEN 'unknown' WHEN n = 1 THEN 'unique' WHEN nb = 1 THEN 'corroborated' ELSE 'ambiguous' END AS outcome FROM f""")
+def j11(t: Tables):
+    known = t.places().where("kind = 'city'").select(
+        "place_id", F.col("country_code").alias("country"), F.array(F.lower(F.split_part("name", F.lit(" "), F.lit(1))), F.lower("name")).alias("variants"), "parent_id"
+    )
+    rows, k = t.read("customer").join(t.read("nation"), F.col("c_nationkey") == F.col("n_nationkey")), F.col("c_custkey")
+    name = F.when(k % 3 == 0, F.lower("c_mktsegment")).when(k % 3 == 1, F.concat(F.lower("c_mktsegment"), F.lit(" "), F.lower("n_name"))).otherwise("nowhere")
+    asked = rows.select(k.alias("key"), F.concat(F.lit("R"), "n_regionkey").alias("country"), name.alias("name"), F.when(k % 2 == 0, F.concat(F.lit("N"), "c_nationkey")).alias("subdivision"))
+    return M.name_lookup(asked, known)
+
+
+@query("J12_canonical_ids", """
+    SELECT l_orderkey, l_linenumber, named, CASE WHEN s_suppkey IS NOT NULL THEN 'F' || s_suppkey END AS canonical
+    FROM (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'F' || l_suppkey WHEN 1 THEN 'A' || l_suppkey ELSE 'B' || l_suppkey END AS named, l_suppkey FROM lineitem)
+    LEFT JOIN supplier ON l_suppkey = s_suppkey AND named[1] IN ('F', 'A')""")
+def j12(t: Tables):
+    key = F.col("s_suppkey").cast("string")
+    feeds = t.read("supplier").select(F.concat(F.lit("F"), key).alias("feed_id"), F.array(F.concat(F.lit("A"), key)).alias("aliases"))
+    n, at = F.col("l_linenumber") % 3, F.col("l_suppkey").cast("string")
+    named = F.concat(F.when(n == 0, "F").when(n == 1, "A").otherwise("B"), at)
+    return M.canonical_ids(t.read("lineitem").select("l_orderkey", "l_linenumber", named.alias("named")), feeds, "named")
