@@ -23,9 +23,10 @@ CAPACITY, END = 4096, 1
 #: Lengths above this share of the capacity are large, and are grouped.
 LARGE = 1 / 4
 GROUPS = 320
-#: Words, and pieces of words, whose ids a worker keeps; beyond that it starts anew, so its memory
-#: is bounded. A word is soon put together from its pieces, while a piece takes the tokenizer.
-CACHED, KEPT_PIECES = 400_000, 1_000_000
+#: Words, and pieces of words, whose ids a worker keeps, so that its memory is bounded. Beyond that
+#: words start anew, as they are soon put together from pieces; of pieces, which take the tokenizer,
+#: those go that weren't met again among as many others.
+CACHED, KEPT_PIECES = 350_000, 350_000
 #: Characters tokenised at a time of a long text.
 SLICE = 1 << 20
 
@@ -33,6 +34,12 @@ SLICE = 1 << 20
 # lower-casing and composing here agree with the vocabulary's normaliser.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 PLAIN = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-ÿ]+")
+# Several plain words with a space between, their pieces with the spaces as pieces of their
+# own, and what stands for a space among ids: every id has zeros in its upper bytes.
+PLAIN_WORDS, SPACED = re.compile(r"[\x20-\x7EÀ-ÖØ-öø-ÿ]+"), re.compile(f"{PIECES.pattern}| ")
+# Separators that only Python takes for white space.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+GAP = b"\xff\xff\xff\xff"
 
 
 class WordTokens:
@@ -52,7 +59,7 @@ class WordTokens:
         ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             ends[i] = token.endswith("</w>")
-        self.ends, self.words, self.pieces = ends, {}, {}
+        self.ends, self.words, self.pieces, self.older = ends, {}, {}, {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -61,28 +68,39 @@ class WordTokens:
         if len(self.words) + len(words) > CACHED:
             self.words.clear()
         if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        plain = {w: PIECES.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and "<|" not in w}
-        new = list({p for ps in plain.values() for p in ps if p not in self.pieces})
+            self.pieces, self.older = {}, self.pieces
+        plain, odd = list(words), []
+        joined = " ".join(plain)
+        if "<|" in joined or not PLAIN_WORDS.fullmatch(joined):
+            plain = [w for w in words if PLAIN.fullmatch(w) and "<|" not in w]
+            odd = list(words.difference(plain))
+            joined = " ".join(plain)
+        pieces, new = SPACED.findall(joined.lower()), []
+        self.pieces[" "] = GAP
+        for p in set(pieces).difference(self.pieces):
+            if ids := self.older.pop(p, None):
+                self.pieces[p] = ids
+            else:
+                new.append(p)
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            ids = np.frombuffer(self._whole([" ".join(part)])[0], "<u4")
+            raw = self._whole([" ".join(part)])[0]
             # Each piece ends in the one token that carries the end of a word.
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part) and (not len(cuts) or cuts[-1] == len(ids)):
-                self.pieces.update(zip(part, (x.tobytes() for x in np.split(ids, cuts)), strict=False))
+            cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 4).tolist()
+            if len(cuts) == len(part) and cuts[-1] == len(raw):
+                self.pieces.update(zip(part, (raw[i:j] for i, j in zip([0, *cuts], cuts, strict=False)), strict=True))
             else:
                 self.pieces.update(zip(part, self._whole(part), strict=True))
-        for w, ps in plain.items():
-            self.words[w] = b"".join(map(self.pieces.__getitem__, ps))
-        odd = [w for w in words if w not in plain]
-        self.words.update(zip(odd, self._whole(odd), strict=True))
+        if plain:
+            self.words.update(zip(plain, b"".join(map(self.pieces.__getitem__, pieces)).split(GAP), strict=True))
+        if odd:
+            self.words.update(zip(odd, self._whole(odd), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for text in texts:
             text = text or ""
-            if re.search("[\x1c-\x1f]", text):
+            if SEPARATORS.search(text):
                 yield self._whole([text])[0]
                 continue
             out = []
