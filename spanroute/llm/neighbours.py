@@ -49,12 +49,31 @@ def _top(a: np.ndarray, b: np.ndarray, sims: np.ndarray, keep: int) -> pd.DataFr
     return pd.DataFrame({"a": a[i[near]], "b": b[j[near]], "cosine": sims[i[near], j[near]]})
 
 
+def _forest(ids: np.ndarray, sims: np.ndarray) -> pd.DataFrame:
+    """Links that hold together all that the links of a block hold together: fewer than it has vectors."""
+    near, seen, a, b = sims >= THRESHOLD, np.zeros(len(ids), bool), [], []
+    for first in range(len(ids)):
+        todo = [] if seen[first] else [first]
+        seen[first] = True
+        while todo:
+            v = todo.pop()
+            new = np.nonzero(near[v] & ~seen)[0]
+            seen[new] = True
+            a += [v] * len(new)
+            b += new.tolist()
+            todo += new.tolist()
+    return pd.DataFrame({"a": ids[a], "b": ids[b], "cosine": sims[a, b]}) if a else pd.DataFrame({"a": [], "b": [], "cosine": []})
+
+
 def _compare(block: pd.DataFrame) -> pd.DataFrame:
+    """Lists of the nearest in a block and, where links don't fit in a list, a forest of all its links."""
     block = block.drop_duplicates("node")
     ids, x = block["node"].to_numpy(), _unit(block["vec"])
     sims = x @ x.T
     np.fill_diagonal(sims, -1)
-    return _top(ids, ids, sims, NEIGHBOURS)
+    lists = _top(ids, ids, sims, NEIGHBOURS)
+    full = ((sims >= THRESHOLD).sum(1) > NEIGHBOURS).any()
+    return pd.concat([lists, _forest(ids, sims)]) if full else lists
 
 
 def _codes(seed: int):

@@ -54,5 +54,20 @@ def test_groups_larger_than_lists(spark, monkeypatch, tile):
     assert run(spark, rows) == plain(rows)
 
 
+@pytest.mark.parametrize("size", [20, 120])
+def test_tight_groups_that_link_across(spark, monkeypatch, size):
+    """Every list is full of members of its own group; links between the groups stand in no list."""
+    monkeypatch.setattr(N, "audit", lambda *a: (0, 0))
+    rng = np.random.default_rng(4)
+    left = rng.standard_normal(24)
+    right = rng.standard_normal(24)
+    right -= left * (left @ right) / (left @ left)
+    right = 0.9825 * left + math.sqrt(1 - 0.9825**2) * right * np.linalg.norm(left) / np.linalg.norm(right)
+    rows = [(i, (c + 0.02 * rng.standard_normal(24)).astype(np.float32).tolist(), 1) for i, c in enumerate([left] * size + [right] * size)]
+    want = plain(rows)
+    assert len({r[2] for r in want}) == 1
+    assert run(spark, rows) == want
+
+
 def test_empty(spark):
     assert run(spark, []) == []
