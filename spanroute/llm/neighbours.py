@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,10 @@ THRESHOLD, RELAXED = 0.98, 0.85
 #: Neighbours in a list, vectors compared in a starting block, members joined around one vector, tables of starting blocks.
 NEIGHBOURS, BLOCK, LOCAL, TABLES = 16, 256, 64, 10
 ROUNDS, REPEATS = 4, 3
-#: So many vectors are compared with all others to audit recall, which must reach RECALL or the search goes on.
+#: So many vectors at first, drawn from all, are compared with all others to audit recall, which must reach RECALL or the search goes on.
 AUDIT, RECALL = 512, 0.995
+#: More are drawn, up to MOST times AUDIT at once, until so many have links; fewer don't tell whether RECALL is reached.
+ENOUGH, MOST = 200, 16
 #: Members of a component compared at a time.
 TILE = 256
 PLANES = 24
@@ -133,35 +136,40 @@ def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
     return parted.join(nodes.select("node", "vec"), "node").groupBy("v", "part").applyInPandas(_compare, EDGES)
 
 
-def audit(nodes: DataFrame, roots: DataFrame) -> tuple[int, int]:
-    """Links of AUDIT vectors by comparison with all others: how many there are, and how many components hold both ends of.
+def audit(placed: DataFrame, draws: int, first: int, last: int) -> tuple[DataFrame, int, int]:
+    """Compare the vectors of draws ``first`` to ``last`` (of ``draws``, parted by chance) with all others.
 
-    Half of these vectors have links, as far as there are any; they reach the driver, being few.
+    ``placed`` has node, label, vec and root. Gives links to other components (a, b,
+    cosine; one for each vector drawn and component met), how many vectors have links, and
+    how many of these have all of them in their own component. The vectors reach the driver,
+    being some ``AUDIT`` a draw.
     """
-    order = F.xxhash64("node", F.lit(1))
-    linked = nodes.join(roots, "node", "left_semi")
-    some = nodes.orderBy(order).limit(AUDIT // 2).union(linked.orderBy(order).limit(AUDIT // 2)).select("node", "label", "vec").dropDuplicates(["node"]).collect()
-    if not some:
-        return 0, 0
+    spark = placed.sparkSession
+    draw = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(draws))
     by_key: dict = {}
-    for r in some:
-        by_key.setdefault((r["label"], len(r["vec"])), []).append((r["node"], list(r["vec"])))
-    sent = nodes.sparkSession.sparkContext.broadcast({k: (np.array([n for n, _ in v]), _unit(pd.Series([x for _, x in v]))) for k, v in by_key.items()})
+    for r in placed.where(draw.between(first, last)).select("node", "label", "vec", "root").toLocalIterator():
+        by_key.setdefault((r["label"], len(r["vec"])), []).append((r["node"], r["root"], np.array(r["vec"], np.float32)))
+    sent = spark.sparkContext.broadcast({k: (np.array([n for n, _, _ in v]), np.array([x for _, x, _ in v]), _unit(pd.Series([x for _, _, x in v]))) for k, v in by_key.items()})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for key, part in b.groupby([b["label"], b["vec"].map(len)]) if len(b) else []:
-                ids, x = sent.value.get(key, (np.empty(0), None))
-                if len(ids):
-                    i, j = np.nonzero(_unit(part["vec"]) @ x.T >= THRESHOLD)
-                    a, c = part["node"].to_numpy()[i], ids[j]
-                    yield pd.DataFrame({"a": a[a != c], "b": c[a != c]})
-
-    found = nodes.select("node", "label", "vec").mapInPandas(run, "a long, b long")
-    left, right = roots.toDF("a", "x"), roots.toDF("b", "y")
-    both = found.join(left, "a", "left").join(right, "b", "left")
-    r = both.agg(F.count("*").alias("all"), F.count_if(F.col("x") == F.col("y")).alias("met")).first()
-    return r["all"], r["met"]
+                if key not in sent.value:
+                    continue
+                ids, own, x = sent.value[key]
+                a, root, sims = part["node"].to_numpy(), part["root"].to_numpy(), _unit(part["vec"]) @ x.T
+                near = (sims >= THRESHOLD) & (a[:, None] != ids[None, :])
+                some = ids[near.any(0)]
+                yield pd.DataFrame({"a": some, "b": some, "cosine": np.ones(len(some)), "root": own[near.any(0)]})
+                i, j = np.nonzero(near & (root[:, None] != own[None, :]))
+                yield pd.DataFrame({"a": a[i], "b": ids[j], "cosine": sims[i, j], "root": root[i]}).drop_duplicates(["b", "root"])
+
+    met = placed.select("node", "label", "vec", "root").mapInPandas(run, EDGES + ", root long")
+    met = materialize(met.groupBy("b", "root").agg(F.min_by(F.struct("a", "cosine"), "a").alias("x")).select("x.a", "b", "x.cosine"))
+    sent.unpersist()
+    lost = met.where("a <> b")
+    r = met.agg(F.count_distinct("b").alias("linked"), F.count_distinct(F.when(F.col("a") != F.col("b"), F.col("b"))).alias("short")).first()
+    return lost, r["linked"], r["linked"] - r["short"]
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +213,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     """
     rows = materialize(vectors(rows, id_col, vec_col, label_col))
     nodes = materialize(rows.where("node is not null").groupBy("node").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count("*").alias("copies"), F.min("id").alias("least")))
-    found = None
+    found, lost, at, draws = None, None, 0, max(1, math.ceil(nodes.count() / AUDIT))
     for seed in range(REPEATS):
         edges = materialize(first_lists(nodes, seed))
         found = edges if found is None else found.union(edges)
@@ -220,9 +228,18 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
             size = r["s"] or 0.0
         links = found.where(F.col("cosine") >= THRESHOLD).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         roots = connected_components(links)
-        there, met = audit(nodes, roots)
-        if met >= RECALL * there:
+        placed = materialize(nodes.join(roots, "node", "left").select("node", "label", "vec", F.coalesce("root", "node").alias("root")))
+        # Each search is audited on vectors not drawn before. Where even the last is short, all the others follow, which finds every link.
+        step, there, met, short = 1, 0, 0, False
+        while at < draws and (there < ENOUGH or short and seed == REPEATS - 1):
+            more, n, whole = audit(placed, draws, at, at + step - 1)
+            lost = more if lost is None else lost.union(more)
+            there, met, at, step = there + n, met + whole, at + step, min(MOST, step * 4)
+            short = short or met < RECALL * there
+        if not short or at >= draws:
             break
+    if not lost.isEmpty():
+        roots = connected_components(links.union(lost.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
     counted = materialize(count_links(nodes, roots))
     least = roots.join(counted.where("links > 0"), "node").join(nodes.select("node", "least"), "node")
     named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "links", "component_id")

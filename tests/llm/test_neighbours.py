@@ -57,7 +57,7 @@ def test_groups_larger_than_lists(spark, monkeypatch, tile):
 @pytest.mark.parametrize("size", [20, 120])
 def test_tight_groups_that_link_across(spark, monkeypatch, size):
     """Every list is full of members of its own group; links between the groups stand in no list."""
-    monkeypatch.setattr(N, "audit", lambda *a: (0, 0))
+    monkeypatch.setattr(N, "audit", lambda placed, *a: (placed.selectExpr("node a", "node b", "1D cosine").limit(0), 0, 0))
     rng = np.random.default_rng(4)
     left = rng.standard_normal(24)
     right = rng.standard_normal(24)
@@ -69,5 +69,17 @@ def test_tight_groups_that_link_across(spark, monkeypatch, size):
     assert run(spark, rows) == want
 
 
+def test_what_the_search_loses_is_found(spark, monkeypatch):
+    """A search that finds nothing, over few twins: no audit of a few vectors passes it."""
+    first = N.first_lists
+    monkeypatch.setattr(N, "AUDIT", 20), monkeypatch.setattr(N, "ENOUGH", 4), monkeypatch.setattr(N, "REPEATS", 2), monkeypatch.setattr(N, "MOST", 4)
+    monkeypatch.setattr(N, "first_lists", lambda *a: first(*a).limit(0))
+    rng = np.random.default_rng(5)
+    rows = [(rng.standard_normal(24), int(label)) for label in rng.integers(1, 4, 200)]
+    rows += [(v + 0.01 * rng.standard_normal(24), label) for v, label in rows[:8]]
+    rows = [(i, v.astype(np.float32).tolist(), label) for i, (v, label) in enumerate(rows)]
+    assert run(spark, rows) == plain(rows)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
