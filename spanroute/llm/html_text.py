@@ -19,8 +19,8 @@ from .common import pick
 FEED = 1 << 16
 #: Width of the Gaussian, in lines, and the share of the smoothed ratios' deviation from which a line is content.
 SIGMA, LEAST = 1.5, 0.5
-#: A container is entered while it holds this share of the content.
-MOST = 0.85
+#: A container is entered while it holds this share of the content; articles beside an article count from the other share.
+MOST, FAIR = 0.85, 0.05
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
@@ -124,8 +124,8 @@ def main_text(html: str | None) -> str:
 
     Lines, cut at block tags, have a ratio of characters to tags. Smoothed over neighbours,
     ratios from a share of their deviation on mark content. The region is the innermost
-    container that holds most of the content and no less than its headlines; an article
-    isn't entered further. All of the region's text counts, short lines too, except for
+    container that holds most of the content and no less than its headlines, or the articles
+    side by side that do together; an article isn't entered further. All of the region's text counts, short lines too, except for
     elements that their tag, role, class or id names as menus, adverts and the like.
     """
     parser = _Lines()
@@ -149,9 +149,16 @@ def main_text(html: str | None) -> str:
             if len(path) > depth:
                 sizes[path[depth]] += w
         best = max(sizes, key=lambda n: (sizes[n], -n), default=None)
-        if best is None or sizes[best] < MOST * sum(weights) and parser.kinds[best] not in ("article", "main", "body"):
+        if best is None:
             break
-        inside = [len(x[2]) > depth and x[2][depth] == best for x in lines]
+        articles = {n for n in sizes if parser.kinds[n] == "article"}
+        kept = {best}
+        if parser.kinds[best] == "article":
+            # Parts of one text, or a text with others of a fair share; with a text that holds most, teasers don't count.
+            kept |= {n for n in articles if sizes[best] < MOST * sum(weights) or sizes[n] >= FAIR * sum(weights)}
+        if sum(sizes[n] for n in kept) < MOST * sum(weights) and parser.kinds[best] != "body":
+            break
+        inside = [len(x[2]) > depth and x[2][depth] in kept for x in lines]
         if parser.kinds[best] not in ("article", "main", "body") and any(x[4] and not i for x, i in zip(lines, inside, strict=True)):
             break
         lines, weights = [x for x, i in zip(lines, inside, strict=True) if i], [w for w, i in zip(weights, inside, strict=True) if i]

@@ -31,6 +31,9 @@ PAGES = {
     "scripts": (f"<article><script>var a='<p>no</p>'</script><style>p{{}}</style><p>{LONG}<!-- no --></p><form>no<input></form></article>", LONG),
     "cut off": (f"<html><body><article><p>{LONG}<p>and <b>th", f"{LONG}and th"),
     "cookie": (f"<div class='cookie-notice'>{LONG}</div><main><p>{LONG}</p></main>", LONG),
+    "teaser": (f"<body><h1>T</h1><p>{LONG * 3}</p><article><p>{LONG}</p></article></body>", f"T {LONG * 3}{LONG}"),
+    "teaser in main": (f"<main><p>{LONG * 3}</p><article><p>{LONG}</p></article></main>", LONG * 4),
+    "parts": (f"<main><article><p>1 {LONG}</p></article><article><p>2 {LONG * 2}</p></article><article><p>Short.</p></article></main>", f"1 {LONG}2 {LONG * 2}Short."),
     "item list": (f"<article><p>{LONG}</p><ul><li>one<li>two</ul><table><tr><td>3<td>4</table></article>", f"{LONG}one two 3 4"),
 }
 
