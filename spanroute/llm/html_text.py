@@ -35,9 +35,9 @@ NOISE = frozenset(
 )
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NOISE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|byline-links|comments?|consent|cookies?|disclaimer|disqus|footer|gdpr|header|masthead"
+    r"(?:^|[\s_-])(ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|byline-links|comments?|consent|cookies?|disclaimer|disqus|footer|gdpr|header|masthead"
     r"|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promo\w*|related|replies|responses|share|sharing|sidebar"
-    r"|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?:$|[\s_-])",
+    r"|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?=$|[\s_-])",
     re.IGNORECASE,
 )
 
@@ -47,8 +47,9 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, noise, container's number or -1
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, noise, container's number or -1, suspect's number or -1
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool, tuple[int, ...]]] = []
+        self.suspects: list[frozenset[str]] = []  # words for which an element may be noise, if it isn't for sure
         self.kinds: dict[int, str] = {}
         self.text: list[str] = []
         self.tags, self.noise, self.count = 0, 0, 0
@@ -57,13 +58,15 @@ class _Lines(HTMLParser):
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                path = tuple(n for _, _, n in self.open if n >= 0)
-                self.lines.append((text, max(1, self.tags), path, self.noise > 0, any(t in HEADINGS for t, _, _ in self.open)))
+                path = tuple(n for _, _, n, _ in self.open if n >= 0)
+                sure = self.noise > 0 and any(noise and s < 0 for _, noise, _, s in self.open)
+                suspects = tuple(s for _, _, _, s in self.open if s >= 0) if self.noise else ()
+                self.lines.append((text, max(1, self.tags), path, sure, any(t in HEADINGS for t, *_ in self.open), suspects))
             self.text = []
         self.tags = 0
 
     def _pop(self, at: int) -> None:
-        if gone := sum(noise for _, noise, _ in self.open[at:]):
+        if gone := sum(noise for _, noise, *_ in self.open[at:]):
             self.end_line()
             self.noise -= gone
         del self.open[at:]
@@ -83,16 +86,22 @@ class _Lines(HTMLParser):
             return
         own = dict(attrs)
         named = " ".join(filter(None, (own.get("class"), own.get("id"))))
-        inside = any(t == "article" for t, _, _ in self.open)
-        noise = tag in NOISE or (tag == "header" and not inside) or (own.get("role") or "").lower() in NOISE_ROLES or "hidden" in own
-        noise = noise or (tag not in ("html", "body", "article", "main") and bool(NOISE_NAMES.search(named)))
+        inside = any(t == "article" for t, *_ in self.open)
+        noise = tag in NOISE and tag != "form" or (tag == "header" and not inside) or (own.get("role") or "").lower() in NOISE_ROLES or "hidden" in own
+        suspect = -1
+        words = frozenset(w.lower() for w in NOISE_NAMES.findall(named)) if tag not in ("html", "body", "article", "main") else frozenset()
+        words |= {"<form>"} if tag == "form" else frozenset()
+        if words and not noise:
+            suspect = len(self.suspects)
+            self.suspects.append(words)
+            noise = True
         if noise:
             self.end_line()
         number = -1
         if tag in CONTAINERS:
             self.count, number = self.count + 1, self.count
             self.kinds[number] = tag
-        self.open.append((tag, noise, number))
+        self.open.append((tag, noise, number, suspect))
         self.noise += noise
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -119,6 +128,27 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[inner] / np.convolve(np.ones(len(ratios)), kernel)[inner]
 
 
+def _cleared(parser: _Lines, weights: list[int]) -> list[bool]:
+    """Which lines aren't noise. An element that holds most of the content isn't noise for its
+    name or for being a form, and where all elements of a name hold it together none is; where
+    nothing else is left, no name counts."""
+    sure = [x[3] for x in parser.lines]
+    weights = [0 if s else w for s, w in zip(sure, weights, strict=True)]
+    if not any(weights):
+        weights = [0 if s else len(x[0]) for s, x in zip(sure, parser.lines, strict=True)]
+    least = MOST * sum(weights)
+    held: Counter = Counter()
+    for x, w in zip(parser.lines, weights, strict=True):
+        held.update(dict.fromkeys(x[5], w))
+    guilty = {s for s in held if held[s] < least}
+    by_word: Counter = Counter()
+    for x, w in zip(parser.lines, weights, strict=True):
+        by_word.update(dict.fromkeys({word for s in x[5] if s in guilty for word in parser.suspects[s]}, w))
+    guilty = {s for s in guilty if any(by_word[word] < least for word in parser.suspects[s])}
+    clear = [not s and guilty.isdisjoint(x[5]) for s, x in zip(sure, parser.lines, strict=True)]
+    return clear if any(clear) else [not s for s in sure]
+
+
 def main_text(html: str | None) -> str:
     """The article's text.
 
@@ -126,7 +156,8 @@ def main_text(html: str | None) -> str:
     ratios from a share of their deviation on mark content. The region is the innermost
     container that holds most of the content and no less than its headlines, or the articles
     side by side that do together; an article isn't entered further. All of the region's text counts, short lines too, except for
-    elements that their tag, role, class or id names as menus, adverts and the like.
+    elements that their tag, role, class or id names as menus, adverts and the like; a class,
+    id or form that holds most of the content doesn't count as one.
     """
     parser = _Lines()
     html = html or ""
@@ -134,18 +165,19 @@ def main_text(html: str | None) -> str:
         parser.feed(html[at : at + FEED])
     parser.close()
     parser.end_line()
-    lines = [x for x in parser.lines if not x[3]]
-    if not lines:
+    if all(x[3] for x in parser.lines):
         return ""
     ratios = smoothed(np.array([len(t) / n for t, n, *_ in parser.lines]))
-    content = {i for i, r in enumerate(ratios) if r >= LEAST * ratios.std()}
-    weights = [len(x[0]) if i in content else 0 for i, x in enumerate(parser.lines) if not x[3]]
+    content = ratios >= LEAST * ratios.std()
+    weights = [len(x[0]) if c else 0 for x, c in zip(parser.lines, content, strict=True)]
+    clear = _cleared(parser, weights)
+    lines, weights = [x for x, c in zip(parser.lines, clear, strict=True) if c], [w for w, c in zip(weights, clear, strict=True) if c]
     if not any(weights):
         weights = [len(x[0]) for x in lines]
     depth = 0
     while True:
         sizes: Counter = Counter()
-        for (_, _, path, _, _), w in zip(lines, weights, strict=True):
+        for (_, _, path, *_), w in zip(lines, weights, strict=True):
             if len(path) > depth:
                 sizes[path[depth]] += w
         best = max(sizes, key=lambda n: (sizes[n], -n), default=None)

@@ -34,6 +34,9 @@ PAGES = {
     "teaser": (f"<body><h1>T</h1><p>{LONG * 3}</p><article><p>{LONG}</p></article></body>", f"T {LONG * 3}{LONG}"),
     "teaser in main": (f"<main><p>{LONG * 3}</p><article><p>{LONG}</p></article></main>", LONG * 4),
     "parts": (f"<main><article><p>1 {LONG}</p></article><article><p>2 {LONG * 2}</p></article><article><p>Short.</p></article></main>", f"1 {LONG}2 {LONG * 2}Short."),
+    "named wrapper": (f"<div class='page has-sidebar'><div><p>{LONG * 9}</p></div><div class=sidebar>Side {LONG}</div></div>", LONG * 9),
+    "form": (f"<body><form id=aspnetForm><nav>Home</nav><p>{LONG}</p></form></body>", LONG),
+    "widgets": (f"<p>x</p>" + f"<div class='elementor-widget elementor-widget-text-editor'><p>{LONG}</p></div>" * 3, "x " + LONG * 3),
     "item list": (f"<article><p>{LONG}</p><ul><li>one<li>two</ul><table><tr><td>3<td>4</table></article>", f"{LONG}one two 3 4"),
 }
 
