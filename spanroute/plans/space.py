@@ -49,8 +49,8 @@ def j13(t: Tables):
 
 @query("J13_points_in_polygons")
 def j13b(t: Tables):
-    even = S.hulls(coordinates(t).where("vec_id % 2 = 0"), "label").withColumnRenamed("label", "place")
-    return S.points_in_polygons(coordinates(t), even).select("vec_id", "place")
+    hulls = S.hulls(coordinates(t), "label").withColumnRenamed("label", "place")
+    return S.points_in_polygons(coordinates(t), hulls).select("vec_id", "place")
 
 
 _OVER = """
@@ -218,10 +218,13 @@ def g4(t: Tables):
 
 @query("G7_shared_areas")
 def g7(t: Tables):
-    boxes = areas(t).select(F.col("place_id"), F.col("label").alias("box"), "xmin", "ymin", "xmax", "ymax")
+    boxes = areas(t).select(F.col("place_id"), "xmin", "ymin", "xmax", "ymax")
     rings = polygons(t).select("label", "ring")
-    met = rings.join(boxes, F.pmod(F.col("label") + 1, F.lit(10)) == F.col("box"))
-    return met.select("label", "place_id", F.round(S.shared_area("ring", "xmin", "ymin", "xmax", "ymax"), 6).alias("shared"))
+    points = rings.select("label", F.explode("ring").alias("p")).groupBy(F.col("label").alias("id"))
+    around = points.agg(F.min("p.x").alias("xmin"), F.min("p.y").alias("ymin"), F.max("p.x").alias("xmax"), F.max("p.y").alias("ymax"))
+    met = S.overlaps(around, boxes.withColumnRenamed("place_id", "id")).select(F.col("left_id").alias("label"), F.col("right_id").alias("place_id"))
+    shared = F.round(S.shared_area("ring", "xmin", "ymin", "xmax", "ymax"), 6)
+    return met.join(rings, "label").join(boxes, "place_id").select("label", "place_id", shared.alias("shared")).where("shared > 0")
 
 
 @query("G8_points_within")
