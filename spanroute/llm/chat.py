@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick
 
+#: Elements whose running totals gather together.
+STEP = 256
 TURNS = "array<struct<role:string,text:string>>"
 
 # The template's control strings. Each begins with < or [, holds none of
@@ -47,13 +51,21 @@ LAYOUTS = [
 ]
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def schema_paths(record: Column) -> Column:
     """The sorted nested field paths of a JSON record with their types, as one text.
 
     The record's schema, as the variant functions give it, lists fields by name; a layout
     is told by the schema text of its paths alone, whatever the order of a record's fields.
+    Strings are cut to some 64 characters first, as a schema doesn't depend on more, and
+    the parser takes no string of 20 million characters.
     """
-    return F.schema_of_variant(F.try_parse_json(record))
+    short = F.regexp_replace(record, r'"((?:[^"\\]|\\u[0-9a-fA-F]{4}|\\[^u]){0,64}+)[^"\\]*+(?:\\.[^"\\]*+)*+"', r'"$1"')
+    return F.schema_of_variant(F.try_parse_json(short))
 
 
 def _schema_text(paths: list[str]) -> str:
@@ -81,15 +93,19 @@ def canonical_role(role: Column) -> Column:
     return F.coalesce(F.try_element_at(known, F.lower(F.trim(role))), role, F.lit("user"))
 
 
-def _turns(record: Column, layout: dict) -> Column:
+#: All fields of all layouts, each as its layout has it; absent ones are null.
+FIELDS = {name: f"array<struct<`{x['list'][1]}`:string,`{x['list'][2]}`:string>>" for x in LAYOUTS if "list" in x for name in x["list"][:1]}
+FIELDS |= {p.partition(":")[0]: "string" for x in LAYOUTS if "fields" in x for p in x["paths"]}
+READ = f"struct<{','.join(f'`{n}`:{kind}' for n, kind in FIELDS.items())}>"
+
+
+def _turns(read: Column, layout: dict) -> Column:
     if "list" in layout:
         name, role, text = layout["list"]
-        inner = F.get_json_object(record, f"$.{name}")
-        rows = F.from_json(inner, f"array<struct<`{role}`:string,`{text}`:string>>")
-        return F.transform(rows, lambda t: F.struct((canonical_role(t[role]) if "roles" in layout else F.coalesce(t[role], F.lit("user"))).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
+        return F.transform(read[name], lambda t: F.struct((canonical_role(t[role]) if "roles" in layout else F.coalesce(t[role], F.lit("user"))).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
     turns = []
     for role, names in layout["fields"]:
-        parts = [F.coalesce(F.get_json_object(record, f"$.{n}"), F.lit("")) for n in names]
+        parts = [F.coalesce(read[n], F.lit("")) for n in names]
         text = parts[0] if len(parts) == 1 else F.array_join(F.filter(F.array(*parts), lambda p: p != ""), "\n\n")
         turns.append(F.struct(F.lit(role).alias("role"), text.alias("text")))
     return F.array(*turns).cast(TURNS)
@@ -100,18 +116,29 @@ def to_turns(records: DataFrame, id_col: str = "id", record_col: str = "record")
 
     The hash of a record's nested field paths selects the mapping from LAYOUTS. Turns are
     null where no layout has that fingerprint, or the record is null or no JSON. Null texts
-    count as empty, null roles as user. Other columns are left out.
+    count as empty, null roles as user. Texts may be as long as a row. Other columns are
+    left out.
     """
     rows = pick(records, id_col, record_col).toDF("id", "record").withColumn("fingerprint", fingerprint(F.col("record")))
-    turns = F.lit(None).cast(TURNS)
-    for layout in reversed(LAYOUTS):
-        own = F.sha2(F.lit(_schema_text(layout["paths"])), 256)
-        turns = F.when(F.col("fingerprint") == own, _turns(F.col("record"), layout)).otherwise(turns)
+
+    def mapped(read: Column) -> Column:
+        turns = F.lit(None).cast(TURNS)
+        for layout in reversed(LAYOUTS):
+            own = F.sha2(F.lit(_schema_text(layout["paths"])), 256)
+            turns = F.when(F.col("fingerprint") == own, _turns(read, layout)).otherwise(turns)
+        return turns
+
+    turns = _let(F.from_json("record", READ, {"maxStringLen": str((1 << 31) - 1)}), mapped)
     return rows.select(F.col("id").alias(id_col), "fingerprint", turns.alias("turns"))
 
 
-def records_of(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """A JSON record ``{"messages": [...]}`` per conversation from a row per turn.
+def records_of(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", mixed: bool = False) -> DataFrame:
+    """A JSON record per conversation from a row per turn.
+
+    Records are ``{"messages": [...]}``; with ``mixed`` they are of various layouts, as the
+    files of several sources are: a prompt and its answer as two or three fields, other
+    conversations as one of three lists, by the id's digest. A layout whose names of roles
+    are mapped is only taken where all roles are those that come back.
 
     Turns come by number; rows that repeat a number are each kept, by role and text; a null
     number comes first. A null id is a conversation like others. A conversation is one
@@ -119,8 +146,24 @@ def records_of(conversations: DataFrame, id_col: str = "conv_id", turn_col: str
     """
     rows = pick(conversations, id_col, turn_col, role_col, text_col).toDF("id", "turn", "role", "text")
     one = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("rows"))
-    messages = F.transform("rows", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
-    return one.select("id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+
+    def as_list(name: str, role: str, text: str, roles: Callable[[Column], Column] = lambda r: r) -> Column:
+        return F.to_json(F.struct(F.transform("rows", lambda t: F.struct(roles(t["role"]).alias(role), t["text"].alias(text))).alias(name)))
+
+    def as_fields(*names: str) -> Column:
+        return F.to_json(F.struct(*[F.element_at("rows", i + 1)["text"].alias(n) for i, n in enumerate(names)]))
+
+    record = as_list("messages", "role", "content")
+    if mixed:
+        roles, deal = F.transform("rows", lambda t: t["role"]), F.pmod(F.xxhash64("id"), F.lit(3))
+        plain = F.forall(roles, lambda r: r.isin(*MARKS))
+        other = F.create_map(*[F.lit(x) for pair in (("user", "human"), ("assistant", "gpt"), ("system", "system")) for x in pair])
+        record = (
+            F.when(roles == F.array(F.lit("user"), F.lit("assistant")), F.when(deal == 0, as_fields("prompt", "completion")).when(deal == 1, as_fields("question", "answer")).otherwise(as_fields("instruction", "output")))
+            .when(roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")), as_fields("system", "prompt", "output"))
+            .when(plain & (deal == 0), as_list("conversations", "from", "value", lambda r: F.element_at(other, r))).when(deal == 1, as_list("turns", "role", "text")).otherwise(record)
+        )
+    return one.select("id", record.alias("record"))
 
 
 # --- template --------------------------------------------------------------------------
@@ -134,22 +177,45 @@ def _formatted(turn: Column) -> Column:
     return out
 
 
+def _running(sizes: Column) -> Column:
+    """The total before each element. Totals gather in blocks of STEP elements and then over
+    blocks, as each step copies what it has gathered."""
+
+    def before(values: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("before"))
+        return F.aggregate(values, start, lambda done, n: F.struct((done["total"] + n).alias("total"), F.concat(done["before"], F.array(done["total"])).alias("before")))
+
+    def joined(blocks: Column) -> Column:
+        own = before(F.transform(blocks, lambda b: b["total"]))["before"]
+        return F.flatten(F.zip_with(blocks, own, lambda b, at: F.transform(b["before"], lambda x: x + at)))
+
+    starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(1), F.size(sizes), F.lit(STEP))).otherwise(F.array().cast("array<int>"))
+    return _let(F.transform(starts, lambda s: before(F.slice(sizes, s, STEP))), joined)
+
+
 def format_turns(rows: DataFrame, id_col: str = "id") -> DataFrame:
-    """id, formatted, loss_spans: the text of all turns and where the loss applies.
+    """id, formatted, loss_spans, loss_bytes: the text of all turns and where the loss applies.
 
     Spans (start, length, in code points from 0) cover the escaped text of every assistant
-    turn without its marks. Null turns give a null text and null spans.
+    turn without its marks; loss_bytes gives the same spans in bytes of the UTF-8 text, by
+    which a part is found without counting through all before it. Null turns give a null
+    text and null spans.
     """
     head, tail = (len(m) for m in MARKS["assistant"])
-    parts = F.transform("turns", lambda t: F.struct(_formatted(t).alias("text"), (t["role"] == "assistant").alias("loss")))
-    rows = rows.select(F.col(id_col), F.transform(parts, lambda p: F.struct(p["text"].alias("text"), p["loss"].alias("loss"), F.length(p["text"]).cast("long").alias("n"))).alias("parts"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
 
-    def on(done: Column, p: Column) -> Column:
-        span = F.array(F.struct((done["at"] + head).alias("start"), (p["n"] - head - tail).alias("length")))
-        return F.struct((done["at"] + p["n"]).alias("at"), F.when(p["loss"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+    def spans(parts: Column, size: str) -> Column:
+        at = _running(F.transform(parts, lambda p: p[size]))
+        both = F.zip_with(parts, at, lambda p, a: F.struct(p["loss"].alias("loss"), (a + head).alias("start"), (p[size] - head - tail).alias("length")))
+        return F.transform(F.filter(both, lambda x: x["loss"]), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
+
+    def part(turn: Column) -> Column:
+        return _let(_formatted(turn), lambda text: F.struct(text.alias("text"), (turn["role"] == "assistant").alias("loss"), F.length(text).cast("long").alias("n"), F.octet_length(text).cast("long").alias("bytes")))
+
+    def whole(parts: Column) -> Column:
+        return F.struct(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("formatted"), spans(parts, "n").alias("loss_spans"), spans(parts, "bytes").alias("loss_bytes"))
 
-    return rows.select(F.col(id_col), F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("formatted"), F.aggregate("parts", start, on)["spans"].alias("loss_spans"))
+    done = rows.select(F.col(id_col), F.when(F.col("turns").isNotNull(), _let(F.transform("turns", part), whole)).alias("done"))
+    return done.select(id_col, "done.*")
 
 
 def read_back(formatted: Column) -> Column:
@@ -171,18 +237,22 @@ def read_back(formatted: Column) -> Column:
     return F.transform(segments, turn)
 
 
-def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the spans, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+def loss_text(formatted: Column, loss_bytes: Column) -> Column:
+    """All text under the spans (start, length in bytes), unescaped, nothing between."""
+    texts = _let(formatted.cast("binary"), lambda raw: F.transform(loss_bytes, lambda s: unescape(F.substring(raw, (s["start"] + 1).cast("int"), s["length"].cast("int")).cast("string"))))
+    return F.array_join(texts, "")
 
 
 def format_report(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """A row per conversation, read back from its formatted text: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
-    See :func:`records_of` for odd rows; an empty table gives no rows.
+    The rows become records of various layouts first. See :func:`records_of` for odd rows;
+    an empty table gives no rows. No count is ever null: a record without turns is an error.
     """
-    done = format_turns(to_turns(records_of(conversations, id_col)))
-    back = done.select("id", "formatted", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    turns = to_turns(records_of(conversations, id_col, mixed=True))
+    missing = F.raise_error(F.concat(F.lit("no layout has the fields of conversation "), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+    done = format_turns(turns.select("id", F.when(F.col("turns").isNull(), missing.cast(TURNS)).otherwise(F.col("turns")).alias("turns")))
+    back = done.select("id", "formatted", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_bytes")).alias("loss"))
     digest = F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256)
     return back.select(
         F.col("id").alias(id_col), F.size("turns").cast("long").alias("n_turns"), digest.alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import time
 
 from pyspark.sql import functions as F
 from spanroute.llm import chat as C
@@ -76,3 +77,33 @@ def test_nulls_ties_and_empty(spark):
     assert (got[1].n_turns, got[1].loss_chars, got[None].n_turns) == (3, 1, 2)
     assert got[1].turns_sha256 == sha("assistant\nb\nuser\n\nuser\n\n")
     assert C.format_report(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_layouts_of_rows(spark):
+    """Rows become records of many layouts, each of which comes back whole."""
+    pair, odd = [("user", "q </s>"), ("assistant", "a")], [("gpt", "x"), ("human", "y"), ("assistant", "z")]
+    shapes = [pair, [("system", "s"), *pair], pair * 2, odd, [("assistant", "a")], [("user", ""), ("assistant", "")]]
+    rows = [(c, t, r, x) for c in range(90) for t, (r, x) in enumerate(shapes[c % len(shapes)])]
+    convs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted(tuple(r)[:5] for r in C.format_report(convs).collect()) == plain(rows)
+    assert C.to_turns(C.records_of(convs, mixed=True)).where("turns is not null").select("fingerprint").distinct().count() == 7
+
+
+def test_very_long_texts_and_very_many_turns(spark):
+    """Texts beyond the parsers' limit of a string, and time in proportion to the number of turns."""
+    spans = {}
+    for n in (25_000_000, 60_000_000):
+        word = '<s>word\\ "é'
+        text = (word * (n // 10))[:n]
+        one = spark.range(3).select(
+            F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 1, "assistant").otherwise("user").alias("role"),
+            F.when(F.col("id") == 0, "q").when(F.col("id") == 1, F.substring(F.repeat(F.lit(word), n // 10), 1, n)).alias("text"),
+        )
+        assert sorted(tuple(r)[:5] for r in C.format_report(one).collect()) == plain([(1, 0, "user", "q"), (1, 1, "assistant", text), (1, 2, "user", None)])
+    for n in (10_000, 100_000):
+        rows = [(1, t, "assistant" if t % 2 else "user", f"t{t} </s>") for t in range(n)]
+        table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        began = time.time()
+        assert sorted(tuple(r)[:5] for r in C.format_report(table).collect()) == plain(rows)
+        spans[n] = time.time() - began
+    assert spans[100_000] < 20 * max(spans[10_000], 1)
