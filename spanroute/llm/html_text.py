@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -19,89 +20,128 @@ from .common import pick
 FEED = 1 << 16
 #: Width of the Gaussian, in lines, and the share of the smoothed ratios' deviation from which a line is content.
 SIGMA, LEAST = 1.5, 0.5
+#: The share of the mean from which a line is content by its own ratio.
+FIRM = 0.25
 #: A container is entered while it holds this share of the content; articles beside an article count from the other share.
 MOST, FAIR = 0.85, 0.05
+#: The share that an article needs if it has all headlines.
+HEADED = 0.25
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("article body center div main section table tbody td tr".split())
+BOXES = frozenset("article body center div main section".split())
+CONTAINERS = BOXES | frozenset("table tbody td tr".split())
 HEADINGS = frozenset("h1 h2".split())
 NOISE = frozenset(
-    "aside audio button canvas datalist dialog embed fieldset footer form head iframe input map menu nav noscript object script select"
+    "aside audio button canvas datalist dialog embed fieldset footer head iframe input map menu nav noscript object script select"
     " style svg template textarea title video".split()
 )
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+#: Names of elements that are noise unless they hold most of the content, and names that are so only where no line of theirs is content by its own ratio.
 NOISE_NAMES = re.compile(
-    r"(?:^|[\s_-])(ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|byline-links|comments?|consent|cookies?|disclaimer|disqus|footer|gdpr|header|masthead"
-    r"|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promo\w*|related|replies|responses|share|sharing|sidebar"
-    r"|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(ad|ads|advert|adverti\w+|adsense|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|masthead"
+    r"|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|pager|popup|promo|promotion|replies|responses|share|sharing|sidebar"
+    r"|skip|social|sponsor|sponsored|subscribe|toolbar)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+WEAK_NAMES = re.compile(r"(?:^|[\s_-])(adv|byline-links|disclaimer|header|related|tags|widget)(?=$|[\s_-])", re.IGNORECASE)
+
+
+@dataclass
+class Node:
+    """A container, or an element whose names or tag may make it noise; nodes are numbered as they open."""
+
+    parent: int
+    tag: str
+    words: frozenset[str] = frozenset()
+    weak: bool = False
+    last: int = 0  # greatest number inside
+
+
+@dataclass
+class Line:
+    text: str
+    ratio: float  # characters outside links to tags
+    linked: bool  # most of it is links
+    node: int
+    noise: bool  # by its tags alone
+    heading: bool
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines at block tags; each with its text, tags, containers and whether it is noise."""
+    """Cuts a page into lines at block tags, and keeps the tree of what holds them.
+
+    Every tag costs a fixed time, and every element is left once, so that a page costs time
+    in proportion to its length however deep it is.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, int]] = []  # tag, noise, container's number or -1, suspect's number or -1
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, bool, tuple[int, ...]]] = []
-        self.suspects: list[frozenset[str]] = []  # words for which an element may be noise, if it isn't for sure
-        self.kinds: dict[int, str] = {}
+        self.open: list[tuple[str, bool, int]] = []  # tag, noise, number of its node or -1
+        self.held: Counter = Counter()  # open elements by tag
+        self.nodes, self.path, self.lines = [Node(-1, "")], [0], []
         self.text: list[str] = []
-        self.tags, self.noise, self.count = 0, 0, 0
+        self.tags, self.noise, self.links = 0, 0, 0
 
     def end_line(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                path = tuple(n for _, _, n, _ in self.open if n >= 0)
-                sure = self.noise > 0 and any(noise and s < 0 for _, noise, _, s in self.open)
-                suspects = tuple(s for _, _, _, s in self.open if s >= 0) if self.noise else ()
-                self.lines.append((text, max(1, self.tags), path, sure, any(t in HEADINGS for t, *_ in self.open), suspects))
+                links = min(self.links, len(text))
+                heading = any(self.held[h] for h in HEADINGS)
+                self.lines.append(Line(text, 0.0 if self.noise else (len(text) - links) / max(1, self.tags), 2 * links > len(text), self.path[-1], self.noise > 0, heading))
             self.text = []
-        self.tags = 0
+        self.tags = self.links = 0
 
     def _pop(self, at: int) -> None:
-        if gone := sum(noise for _, noise, *_ in self.open[at:]):
+        if any(noise for _, noise, _ in self.open[at:]):
             self.end_line()
-            self.noise -= gone
+        for tag, noise, node in reversed(self.open[at:]):
+            self.held[tag] -= 1
+            self.noise -= noise
+            if node >= 0:
+                self.nodes[node].last = len(self.nodes) - 1
+                self.path.pop()
         del self.open[at:]
 
+    def _close_before(self, tag: str) -> None:
+        """A block ends an open paragraph, an item the item before it."""
+        ends = ("p", "li") if tag == "li" else ("p",) if tag != "br" else ()
+        if not any(self.held[t] for t in ends):
+            return
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] in ends:
+                self._pop(i)
+                return
+            if self.open[i][0] in CONTAINERS or self.open[i][0] in ("ul", "ol"):
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_line()
-            # A block ends an open paragraph, an item the item before it.
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == "p" and tag != "br" or self.open[i][0] == tag == "li":
-                    self._pop(i)
-                    break
-                if self.open[i][0] in CONTAINERS or self.open[i][0] in ("ul", "ol"):
-                    break
+            self._close_before(tag)
         self.tags += 1
         if tag in VOID:
             return
         own = dict(attrs)
-        named = " ".join(filter(None, (own.get("class"), own.get("id"))))
-        inside = any(t == "article" for t, *_ in self.open)
-        noise = tag in NOISE and tag != "form" or (tag == "header" and not inside) or (own.get("role") or "").lower() in NOISE_ROLES or "hidden" in own
-        suspect = -1
-        words = frozenset(w.lower() for w in NOISE_NAMES.findall(named)) if tag not in ("html", "body", "article", "main") else frozenset()
-        words |= {"<form>"} if tag == "form" else frozenset()
-        if words and not noise:
-            suspect = len(self.suspects)
-            self.suspects.append(words)
-            noise = True
-        if noise:
+        noise = tag in NOISE or (tag == "header" and not self.held["article"]) or (own.get("role") or "").lower() in NOISE_ROLES or "hidden" in own
+        words, weak = frozenset(), False
+        if not noise and tag not in ("html", "body", "article", "main"):
+            named = " ".join(filter(None, (own.get("class"), own.get("id"))))
+            words = frozenset(w.lower() for w in NOISE_NAMES.findall(named)) | ({"<form>"} if tag == "form" else frozenset())
+            weak = not words and bool(WEAK_NAMES.search(named))
+        if noise or words or weak:
             self.end_line()
-        number = -1
-        if tag in CONTAINERS:
-            self.count, number = self.count + 1, self.count
-            self.kinds[number] = tag
-        self.open.append((tag, noise, number, suspect))
+        node = -1
+        if tag in CONTAINERS or words or weak:
+            node = len(self.nodes)
+            self.nodes.append(Node(self.path[-1], tag, words, weak))
+            self.path.append(node)
+        self.open.append((tag, noise, node))
+        self.held[tag] += 1
         self.noise += noise
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -111,13 +151,25 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         self.tags += 1
+        if not self.held[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
+                if self.open[i][2] >= 0:
+                    self.end_line()
                 self._pop(i)
                 break
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.held["a"]:
+            self.links += len(data)
+
+    def finish(self) -> None:
+        self.close()
+        self.end_line()
+        for node in self.path:
+            self.nodes[node].last = len(self.nodes) - 1
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -128,76 +180,125 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[inner] / np.convolve(np.ones(len(ratios)), kernel)[inner]
 
 
-def _cleared(parser: _Lines, weights: list[int]) -> list[bool]:
-    """Which lines aren't noise. An element that holds most of the content isn't noise for its
-    name or for being a form, and where all elements of a name hold it together none is; where
-    nothing else is left, no name counts."""
-    sure = [x[3] for x in parser.lines]
-    weights = [0 if s else w for s, w in zip(sure, weights, strict=True)]
-    if not any(weights):
-        weights = [0 if s else len(x[0]) for s, x in zip(sure, parser.lines, strict=True)]
-    least = MOST * sum(weights)
-    held: Counter = Counter()
-    for x, w in zip(parser.lines, weights, strict=True):
-        held.update(dict.fromkeys(x[5], w))
-    guilty = {s for s in held if held[s] < least}
+def _within(nodes: list[Node], lines: list[Line], values: list[int]) -> np.ndarray:
+    """The sum of the lines' values in each node and all nodes inside."""
+    out = np.zeros(len(nodes), np.int64)
+    np.add.at(out, [x.node for x in lines], values)
+    for i in range(len(nodes) - 1, 0, -1):  # what is inside has a greater number
+        out[nodes[i].parent] += out[i]
+    return out
+
+
+def _guilty(nodes: list[Node], weights: np.ndarray, strong: np.ndarray) -> list[bool]:
+    """Which nodes lie in an element that is noise by its names, or is one.
+
+    Names only tell the odds: an element that holds most of the content isn't noise for its
+    names or for being a form, and where all elements of a name hold it together none is;
+    a weak name counts only where no line is content by its own ratio.
+    """
+    least = MOST * weights[0]
+    own = [bool(n.words) and w < least or n.weak and not c and w < least for n, w, c in zip(nodes, weights, strong, strict=True)]
     by_word: Counter = Counter()
-    for x, w in zip(parser.lines, weights, strict=True):
-        by_word.update(dict.fromkeys({word for s in x[5] if s in guilty for word in parser.suspects[s]}, w))
-    guilty = {s for s in guilty if any(by_word[word] < least for word in parser.suspects[s])}
-    clear = [not s and guilty.isdisjoint(x[5]) for s, x in zip(sure, parser.lines, strict=True)]
-    return clear if any(clear) else [not s for s in sure]
+    above: list[frozenset[str]] = []
+    for n, w, g in zip(nodes, weights, own, strict=True):
+        seen = above[n.parent] if above else frozenset()
+        for word in n.words - seen if g else ():
+            by_word[word] += w
+        above.append(seen | n.words if g else seen)
+    for i, n in enumerate(nodes):
+        own[i] = i > 0 and (own[n.parent] or own[i] and (n.weak or any(by_word[word] < least or not least for word in n.words)))
+    return own
+
+
+def _region(nodes: list[Node], weights: np.ndarray, headings: np.ndarray) -> tuple[list[int], bool]:
+    """The nodes side by side that hold the text: the innermost container that holds most of
+    the content and no fewer headlines, or the articles that do together; whether it's articles.
+    An article with all headlines needs a smaller share. An article isn't entered further."""
+    inside: list[list[int]] = [[] for _ in nodes]
+    box = [0] * len(nodes)  # the nearest container around
+    for i, n in enumerate(nodes[1:], 1):
+        box[i] = n.parent if n.parent == 0 or nodes[n.parent].tag in CONTAINERS else box[n.parent]
+        if n.tag in CONTAINERS:
+            inside[box[i]].append(i)
+    kept, held, seen = [0], weights[0], headings[0]
+    while True:
+        own = [i for k in kept for i in inside[k]]
+        best = max(own, key=lambda i: (weights[i], -i), default=None)
+        if best is None:
+            return kept, False
+        headed = next((i for i in own if nodes[i].tag == "article" and 0 < seen == headings[i] and weights[i] >= HEADED * held), None)
+        best = best if headed is None else headed
+        tag, new = nodes[best].tag, [best]
+        if tag == "article":
+            # Parts of one text, or a text with others of a fair share; with a text that holds most, teasers don't count.
+            new = [i for i in own if i == best or nodes[i].tag == "article" and (weights[best] < MOST * held or weights[i] >= FAIR * held)]
+        within = sum(weights[i] for i in new)
+        if within < MOST * held and tag != "body" and headed is None:
+            return kept, False
+        if tag not in ("article", "main", "body") and sum(headings[i] for i in new) < seen:
+            return kept, False
+        kept, held, seen = new, within, sum(headings[i] for i in new)
+        if tag == "article":
+            return kept, True
 
 
 def main_text(html: str | None) -> str:
     """The article's text.
 
-    Lines, cut at block tags, have a ratio of characters to tags. Smoothed over neighbours,
-    ratios from a share of their deviation on mark content. The region is the innermost
-    container that holds most of the content and no less than its headlines, or the articles
-    side by side that do together; an article isn't entered further. All of the region's text counts, short lines too, except for
-    elements that their tag, role, class or id names as menus, adverts and the like; a class,
-    id or form that holds most of the content doesn't count as one.
+    Lines, cut at block tags, have a ratio of characters outside links to tags. Smoothed over
+    neighbours, ratios from a share of their deviation on mark content; what tags, roles and
+    names say only shifts the odds (see :func:`_guilty`; lists of links, forms, scripts and
+    the like by their tags have no ratio at all). Content selects the region (see
+    :func:`_region`). In it, lines go that are mostly links where nothing around them is
+    content by its own ratio; outside of an article, lines below the threshold go too, and
+    those at the region's ends, unless they are headlines, whose box holds no content.
+    Short lines between content, in one box with it, or right in the region stay.
     """
     parser = _Lines()
     html = html or ""
     for at in range(0, len(html), FEED):
         parser.feed(html[at : at + FEED])
-    parser.close()
-    parser.end_line()
-    if all(x[3] for x in parser.lines):
+    parser.finish()
+    nodes, lines = parser.nodes, parser.lines
+    if all(x.noise for x in lines):
         return ""
-    ratios = smoothed(np.array([len(t) / n for t, n, *_ in parser.lines]))
-    content = ratios >= LEAST * ratios.std()
-    weights = [len(x[0]) if c else 0 for x, c in zip(parser.lines, content, strict=True)]
-    clear = _cleared(parser, weights)
-    lines, weights = [x for x, c in zip(parser.lines, clear, strict=True) if c], [w for w, c in zip(weights, clear, strict=True) if c]
+    ratios = smoothed(np.array([x.ratio for x in lines]))
+    least = LEAST * ratios.std()
+    rows = [(x, r >= least) for x, r in zip(lines, ratios, strict=True) if not x.noise]
+    lines, content = [x for x, _ in rows], [c for _, c in rows]
+    weights = [len(x.text) if c else 0 for x, c in rows]
     if not any(weights):
-        weights = [len(x[0]) for x in lines]
-    depth = 0
-    while True:
-        sizes: Counter = Counter()
-        for (_, _, path, *_), w in zip(lines, weights, strict=True):
-            if len(path) > depth:
-                sizes[path[depth]] += w
-        best = max(sizes, key=lambda n: (sizes[n], -n), default=None)
-        if best is None:
-            break
-        articles = {n for n in sizes if parser.kinds[n] == "article"}
-        kept = {best}
-        if parser.kinds[best] == "article":
-            # Parts of one text, or a text with others of a fair share; with a text that holds most, teasers don't count.
-            kept |= {n for n in articles if sizes[best] < MOST * sum(weights) or sizes[n] >= FAIR * sum(weights)}
-        if sum(sizes[n] for n in kept) < MOST * sum(weights) and parser.kinds[best] != "body":
-            break
-        inside = [len(x[2]) > depth and x[2][depth] in kept for x in lines]
-        if parser.kinds[best] not in ("article", "main", "body") and any(x[4] and not i for x, i in zip(lines, inside, strict=True)):
-            break
-        lines, weights = [x for x, i in zip(lines, inside, strict=True) if i], [w for w, i in zip(weights, inside, strict=True) if i]
-        depth += 1
-        if parser.kinds[best] == "article":
-            break
-    return " ".join(x[0] for x in lines)
+        weights = [len(x.text) for x in lines]
+    firm = max(least, FIRM * ratios.mean())
+    strong = [x.ratio >= firm and not x.linked for x in lines]
+    bad = _guilty(nodes, _within(nodes, lines, weights), _within(nodes, lines, strong))
+    if not all(bad[x.node] for x in lines):
+        rows = [(x, c, w, s) for x, c, w, s in zip(lines, content, weights, strong, strict=True) if not bad[x.node]]
+        lines, content, weights, strong = (list(v) for v in zip(*rows, strict=True))
+    if not any(weights):
+        weights = [len(x.text) for x in lines]
+    kept, article = _region(nodes, _within(nodes, lines, weights), _within(nodes, lines, [x.heading for x in lines]))
+    spans = [(k, nodes[k].last) for k in kept]
+    rows = [(x, c, s) for x, c, s in zip(lines, content, strong, strict=True) if any(a <= x.node <= b for a, b in spans)]
+    lines, content, strong = (list(v) for v in zip(*rows, strict=True))
+    box = list(range(len(nodes)))  # the nearest box around, so that the cells of a table count with what is around it
+    for i, n in enumerate(nodes[1:], 1):
+        box[i] = i if n.tag in BOXES else box[n.parent]
+    full = {box[x.node] for x, s in zip(lines, strong, strict=True) if s} | {box[k] for k in kept}
+    stops = [i for i, x in enumerate(lines) if strong[i] or not x.linked and (x.heading or box[x.node] in full)]
+    if not stops:
+        return " ".join(x.text for x in lines)
+    out = []
+    for i, x in enumerate(lines):
+        beside = box[x.node] in full
+        ends = stops[0] <= i <= stops[-1]
+        if article:
+            stays = beside or not x.linked
+        else:
+            stays = ends and (beside and (content[i] or not x.linked) or not x.linked and (content[i] or x.heading))
+        if stays:
+            out.append(x.text)
+    return " ".join(out)
 
 
 @F.pandas_udf(StringType())

@@ -1,7 +1,10 @@
 """HTML extraction: the fixture's articles and hand-made pages."""
 
 import html
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from spanroute.llm import html_text as H
@@ -37,6 +40,12 @@ PAGES = {
     "named wrapper": (f"<div class='page has-sidebar'><div><p>{LONG * 9}</p></div><div class=sidebar>Side {LONG}</div></div>", LONG * 9),
     "form": (f"<body><form id=aspnetForm><nav>Home</nav><p>{LONG}</p></form></body>", LONG),
     "widgets": (f"<p>x</p>" + f"<div class='elementor-widget elementor-widget-text-editor'><p>{LONG}</p></div>" * 3, "x " + LONG * 3),
+    "no names": (f"<div><a>Home</a> <a>News</a></div><h1>Title</h1><p>{LONG * 2}</p><p>Yes.</p><p>{LONG}</p><div>Privacy</div>", f"Title {LONG * 2}Yes. {LONG}"),
+    "random names": (f"<div class=q1><ul><li><a>Home</a><li><a>News</a></ul></div><div class=q2>Buy it.</div><div class=q3><h1>T</h1><p>{LONG}</p><p>No?</p><p>{LONG}</p></div><div class=q4><a>Terms</a></div>", f"T {LONG}No? {LONG}"),
+    "related work": (f"<article><h1>T</h1><p>{LONG}</p><section class='related-work section'><h2>Related work</h2><p>{LONG * 2}</p></section></article>", f"T {LONG}Related work {LONG * 2}"),
+    "related links": (f"<article><h1>T</h1><p>{LONG}</p><div class='related'><a>One</a> <a>Two</a></div></article>", f"T {LONG}"),
+    "links without a name": (f"<article><h1>T</h1><p>{LONG}</p><div class=q><ul><li><a>One</a><li><a>Two</a></ul></div><p>{LONG}</p></article>", f"T {LONG}{LONG}"),
+    "link in a text": (f"<article><p>{LONG}<a>{LONG}</a></p><p><a>All of it</a></p></article>", f"{LONG}{LONG}All of it"),
     "item list": (f"<article><p>{LONG}</p><ul><li>one<li>two</ul><table><tr><td>3<td>4</table></article>", f"{LONG}one two 3 4"),
 }
 
@@ -59,3 +68,29 @@ def test_nulls_names_and_empty(spark):
     got = sorted(map(tuple, H.extract_pages(pages).collect()), key=str)
     assert got == [(1, "u", "a", 1), (1, None, "", 0), (None, "u", "", 0)]
     assert H.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_ratios_alone(spark, sf_small):
+    """Every class and id renamed at random, and pages of div alone: the same words kept and dropped."""
+    rng, kept, dropped = random.Random(3), 0, 0
+    for r in spark.read.parquet(f"{sf_small}/pages.parquet").limit(60).collect():
+        renamed = re.sub(r'(class|id)="[^"]*"', lambda m: f'{m[1]}="x{rng.randrange(10**6)}"', r.html)
+        assert H.main_text(renamed) == plain(r.html)
+        divs = re.sub(r"(</?)(article|nav|footer)>", r"\1div>", renamed)
+        want, got = plain(r.html).split(), H.main_text(divs).split()
+        kept += sum((Counter(want) & Counter(got)).values())
+        dropped += sum((Counter(got) - Counter(want)).values())
+        assert Counter(want) - Counter(got) == Counter()
+    assert kept > 5_000 and dropped < 0.02 * kept
+
+
+def test_very_deep_pages():
+    took = {}
+    for n in (2_000, 20_000):
+        page = "<div class=a>" * n + f"<p>{LONG}</p>" + "<b>x</i></p>" * n + "</div>" * n
+        began = time.process_time()
+        assert H.main_text(page).startswith(LONG)
+        assert H.main_text("<div>" * n + LONG) == LONG.strip()
+        assert H.main_text("<div class=sidebar>" * n + LONG) == LONG.strip()
+        took[n] = time.process_time() - began
+    assert took[20_000] < 15 * max(took[2_000], 0.2)
