@@ -165,7 +165,15 @@ class _Lines(HTMLParser):
         if self.held["a"]:
             self.links += len(data)
 
-    def finish(self) -> None:
+    def read(self, html: str) -> None:
+        """Feed a whole page, in parts that grow with what waits for its end, so that none is looked at often."""
+        at = 0
+        while at < len(html):
+            size = max(FEED, len(self.rawdata))
+            self.feed(html[at : at + size])
+            at += size
+        if self.rawdata[:1] == "<" and len(self.rawdata) > 1:  # a tag or comment that never ends holds no text
+            self.rawdata = ""
         self.close()
         self.end_line()
         for node in self.path:
@@ -255,10 +263,7 @@ def main_text(html: str | None) -> str:
     Short lines between content, in one box with it, or right in the region stay.
     """
     parser = _Lines()
-    html = html or ""
-    for at in range(0, len(html), FEED):
-        parser.feed(html[at : at + FEED])
-    parser.finish()
+    parser.read(html or "")
     nodes, lines = parser.nodes, parser.lines
     if all(x.noise for x in lines):
         return ""

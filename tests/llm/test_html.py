@@ -94,3 +94,10 @@ def test_very_deep_pages():
         assert H.main_text("<div class=sidebar>" * n + LONG) == LONG.strip()
         took[n] = time.process_time() - began
     assert took[20_000] < 15 * max(took[2_000], 0.2)
+
+
+@pytest.mark.parametrize("start", ["<!--", "<script>", "<a href='", "<p class=x "])
+def test_markup_without_an_end(start):
+    began = time.process_time()
+    assert H.main_text(f"<p>{LONG}</p>" + start + "a<b " * 1_000_000) == LONG.strip()
+    assert time.process_time() - began < 10
