@@ -26,6 +26,7 @@ ENOUGH, MOST = 200, 16
 TILE = 256
 PLANES = 24
 EDGES = "a long, b long, cosine double"
+FOUND = EDGES + ", tie boolean"
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -35,48 +36,56 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 def vectors(rows: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """id, label, vec, node; node (a digest of label and vector, so of equal ones one) is null where nothing may link."""
+    """id, label, vec, h, k: two digests of label and vector, so that equal ones share them; null where nothing may link."""
     rows = pick(rows, id_col, vec_col, label_col).toDF("id", "vec", "label")
     whole = F.forall("vec", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     some = F.exists("vec", lambda x: x != 0)
     good = F.coalesce(F.col("label").isNotNull() & F.col("id").isNotNull() & whole & some, F.lit(False))
-    return rows.withColumn("node", F.when(good, F.xxhash64("label", "vec")))
+    return rows.withColumn("h", F.when(good, F.xxhash64("label", "vec"))).withColumn("k", F.when(good, F.xxhash64(F.lit(1), "vec", "label")))
 
 
-def _top(a: np.ndarray, b: np.ndarray, sims: np.ndarray, keep: int) -> pd.DataFrame:
-    """Each row's nearest ``keep`` columns from RELAXED on, as edges."""
-    keep = min(keep, sims.shape[1])
+def distinct_vectors(rows: DataFrame) -> DataFrame:
+    """node, label, vec, copies, least (id), h, k for every different vector of a label; equality of digests is verified."""
+    met = rows.where("h is not null").groupBy("h", "k").agg(F.count("*").alias("copies"), F.min("id").alias("least"), F.min(F.struct("label", "vec")).alias("x"), F.max(F.struct("label", "vec")).alias("y"))
+    same = F.when(F.col("x") == F.col("y"), F.col("x.vec")).otherwise(F.raise_error(F.lit("two vectors share both digests")).cast(rows.schema["vec"].dataType))
+    return met.select("h", "k", "copies", "least", F.col("x.label").alias("label"), same.alias("vec"), F.monotonically_increasing_id().alias("node"))
+
+
+def _top(ids: np.ndarray, sims: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
+    """The NEIGHBOURS nearest from RELAXED on of each of ``rows``, as edges."""
+    keep, sims = min(NEIGHBOURS, sims.shape[1]), sims[rows]
     best = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
-    i, j = np.repeat(np.arange(len(a)), keep), best.ravel()
+    i, j = np.repeat(np.arange(len(rows)), keep), best.ravel()
     near = sims[i, j] >= RELAXED
-    return pd.DataFrame({"a": a[i[near]], "b": b[j[near]], "cosine": sims[i[near], j[near]]})
+    return pd.DataFrame({"a": ids[rows[i[near]]], "b": ids[j[near]], "cosine": sims[i[near], j[near]], "tie": False})
 
 
-def _forest(ids: np.ndarray, sims: np.ndarray) -> pd.DataFrame:
-    """Links that hold together all that the links of a block hold together: fewer than it has vectors."""
-    near, seen, a, b = sims >= THRESHOLD, np.zeros(len(ids), bool), [], []
-    for first in range(len(ids)):
+def _forest(roots: np.ndarray, near: np.ndarray) -> pd.DataFrame:
+    """Pairs of roots that hold together all that the links of a block hold together: fewer than it has roots."""
+    names, own = np.unique(roots, return_inverse=True)
+    crossing = near & (own[:, None] != own[None, :])
+    seen, pairs = np.zeros(len(names), bool), []
+    for first in np.unique(own[crossing.any(1)]).tolist():
         todo = [] if seen[first] else [first]
         seen[first] = True
         while todo:
-            v = todo.pop()
-            new = np.nonzero(near[v] & ~seen)[0]
-            seen[new] = True
-            a += [v] * len(new)
-            b += new.tolist()
-            todo += new.tolist()
-    return pd.DataFrame({"a": ids[a], "b": ids[b], "cosine": sims[a, b]}) if a else pd.DataFrame({"a": [], "b": [], "cosine": []})
+            g = todo.pop()
+            for v in np.flatnonzero(own == g):
+                for w in np.unique(own[crossing[v] & ~seen[own]]).tolist():
+                    seen[w] = True
+                    pairs.append((names[g], names[w]))
+                    todo.append(w)
+    return pd.DataFrame(pairs, columns=["a", "b"]).assign(cosine=1.0, tie=True)
 
 
 def _compare(block: pd.DataFrame) -> pd.DataFrame:
-    """Lists of the nearest in a block and, where links don't fit in a list, a forest of all its links."""
+    """Lists of the nearest in a block, for vectors whose list isn't full of links yet, and ties between roots that its links join."""
     block = block.drop_duplicates("node")
     ids, x = block["node"].to_numpy(), _unit(block["vec"])
     sims = x @ x.T
     np.fill_diagonal(sims, -1)
-    lists = _top(ids, ids, sims, NEIGHBOURS)
-    full = ((sims >= THRESHOLD).sum(1) > NEIGHBOURS).any()
-    return pd.concat([lists, _forest(ids, sims)]) if full else lists
+    ties = _forest(block["root"].to_numpy(), sims >= THRESHOLD)
+    return pd.concat([_top(ids, sims, np.flatnonzero(~block["saturated"].to_numpy())), ties])
 
 
 def _codes(seed: int):
@@ -97,7 +106,7 @@ def _codes(seed: int):
 
 
 def first_lists(nodes: DataFrame, seed: int) -> DataFrame:
-    """Edges of starting lists: vectors that random planes put on the same sides are compared in blocks of about BLOCK.
+    """Edges of starting lists, and ties: vectors that random planes put on the same sides are compared in blocks of about BLOCK.
 
     A label takes as many planes as leave about BLOCK vectors together. Where more of them
     stay together, as copies do, chance parts them, in each table anew; no block grows.
@@ -113,7 +122,7 @@ def first_lists(nodes: DataFrame, seed: int) -> DataFrame:
     key = ["label", "dim", "t", "code"]
     full = spread.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     blocks = spread.join(full, key).withColumn("part", F.pmod(F.xxhash64("node", "t", F.lit(seed)), F.col("parts")))
-    return blocks.join(nodes.select("node", "vec"), "node").groupBy(*key, "part").applyInPandas(_compare, EDGES)
+    return blocks.join(nodes.select("node", "vec", "root", "saturated"), "node").groupBy(*key, "part").applyInPandas(_compare, FOUND)
 
 
 def nearest(edges: DataFrame) -> DataFrame:
@@ -124,7 +133,7 @@ def nearest(edges: DataFrame) -> DataFrame:
 
 
 def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
-    """Edges among the neighbours, either way, of each vector: neighbours of neighbours.
+    """Edges and ties among the neighbours, either way, of each vector: neighbours of neighbours.
 
     Around a vector that very many have as neighbour, members are parted by chance into
     groups of about LOCAL, in each round anew.
@@ -133,16 +142,30 @@ def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
     around = own.union(own.select(F.col("node").alias("v"), F.col("v").alias("node"))).distinct()
     full = around.groupBy("v").agg(F.ceil(F.count("*") / LOCAL).alias("parts"))
     parted = around.join(full, "v").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")))
-    return parted.join(nodes.select("node", "vec"), "node").groupBy("v", "part").applyInPandas(_compare, EDGES)
+    return parted.join(nodes.select("node", "vec", "root", "saturated"), "node").groupBy("v", "part").applyInPandas(_compare, FOUND)
+
+
+def tied(placed: DataFrame, ties: DataFrame) -> DataFrame:
+    """``placed`` with the roots that ``ties`` (a, b: roots) make."""
+    if ties.isEmpty():
+        return placed
+    roots = connected_components(ties).toDF("root", "new")
+    return materialize(placed.join(roots, "root", "left").withColumn("root", F.coalesce("new", "root")).select(placed.columns))
+
+
+def marked(placed: DataFrame, lists: DataFrame) -> DataFrame:
+    """``placed`` with ``saturated`` where a list is full of links: further neighbours can't stand in it."""
+    links = lists.where(F.col("cosine") >= THRESHOLD).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n")).where(F.col("n") >= NEIGHBOURS)
+    return materialize(placed.drop("saturated").join(links, "node", "left").withColumn("saturated", F.col("n").isNotNull()).select(placed.columns))
 
 
 def audit(placed: DataFrame, draws: int, first: int, last: int) -> tuple[DataFrame, int, int]:
     """Compare the vectors of draws ``first`` to ``last`` (of ``draws``, parted by chance) with all others.
 
-    ``placed`` has node, label, vec and root. Gives links to other components (a, b,
-    cosine; one for each vector drawn and component met), how many vectors have links, and
-    how many of these have all of them in their own component. The vectors reach the driver,
-    being some ``AUDIT`` a draw.
+    ``placed`` has node, label, vec and root. Gives ties (a, b: roots of the components that
+    links of these vectors join), how many vectors have links, and how many of these have
+    all of them in their own component. The vectors reach the driver, being some ``AUDIT`` a
+    draw.
     """
     spark = placed.sparkSession
     draw = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(draws))
@@ -159,17 +182,15 @@ def audit(placed: DataFrame, draws: int, first: int, last: int) -> tuple[DataFra
                 ids, own, x = sent.value[key]
                 a, root, sims = part["node"].to_numpy(), part["root"].to_numpy(), _unit(part["vec"]) @ x.T
                 near = (sims >= THRESHOLD) & (a[:, None] != ids[None, :])
-                some = ids[near.any(0)]
-                yield pd.DataFrame({"a": some, "b": some, "cosine": np.ones(len(some)), "root": own[near.any(0)]})
+                some = near.any(0)
+                yield pd.DataFrame({"node": ids[some], "a": own[some], "b": own[some]})
                 i, j = np.nonzero(near & (root[:, None] != own[None, :]))
-                yield pd.DataFrame({"a": a[i], "b": ids[j], "cosine": sims[i, j], "root": root[i]}).drop_duplicates(["b", "root"])
+                yield pd.DataFrame({"node": ids[j], "a": own[j], "b": root[i]}).drop_duplicates()
 
-    met = placed.select("node", "label", "vec", "root").mapInPandas(run, EDGES + ", root long")
-    met = materialize(met.groupBy("b", "root").agg(F.min_by(F.struct("a", "cosine"), "a").alias("x")).select("x.a", "b", "x.cosine"))
+    met = materialize(placed.select("node", "label", "vec", "root").mapInPandas(run, "node long, a long, b long").distinct())
     sent.unpersist()
-    lost = met.where("a <> b")
-    r = met.agg(F.count_distinct("b").alias("linked"), F.count_distinct(F.when(F.col("a") != F.col("b"), F.col("b"))).alias("short")).first()
-    return lost, r["linked"], r["linked"] - r["short"]
+    r = met.agg(F.count_distinct("node").alias("linked"), F.count_distinct(F.when(F.col("a") != F.col("b"), F.col("node"))).alias("short")).first()
+    return met.where("a <> b").select("a", "b").distinct(), r["linked"], r["linked"] - r["short"]
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
@@ -210,40 +231,43 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     id is null, link with nothing; their component_id is their id. Equal vectors are one
     node, with as many links more. Rows that repeat an id are rows of their own. An empty
     table gives no rows; other columns, whatever their names, are left out.
+
+    Each search gives lists of neighbours and ties between components; a vector whose list
+    is full of links gets no longer list then, but counts over its whole component
+    (:func:`count_links`), so that links of a dense group are never written as pairs.
     """
     rows = materialize(vectors(rows, id_col, vec_col, label_col))
-    nodes = materialize(rows.where("node is not null").groupBy("node").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count("*").alias("copies"), F.min("id").alias("least")))
-    found, lost, at, draws = None, None, 0, max(1, math.ceil(nodes.count() / AUDIT))
+    nodes = materialize(distinct_vectors(rows))
+    placed = materialize(nodes.select("node", "label", "vec", F.col("node").alias("root"), F.lit(False).alias("saturated")))
+    lists, at, draws = None, 0, max(1, math.ceil(nodes.count() / AUDIT))
     for seed in range(REPEATS):
-        edges = materialize(first_lists(nodes, seed))
-        found = edges if found is None else found.union(edges)
-        lists, size = materialize(nearest(found)), -1
+        met = materialize(first_lists(placed, seed))
+        found = met.where("not tie").drop("tie")
+        lists = materialize(nearest(found if lists is None else found.union(lists)))
+        placed, size = marked(tied(placed, met.where("tie").select("a", "b")), lists), -1
         for turn in range(ROUNDS):
-            edges = materialize(descend(nodes, lists, turn + seed * ROUNDS))
-            found = found.union(edges)
-            lists = materialize(nearest(lists.union(edges)))
+            met = materialize(descend(placed, lists, turn + seed * ROUNDS))
+            lists = materialize(nearest(lists.union(met.where("not tie").drop("tie"))))
+            placed = marked(tied(placed, met.where("tie").select("a", "b")), lists)
             r = lists.agg(F.count("*").alias("n"), F.sum("cosine").alias("s")).first()
             if (r["s"] or 0.0) <= size * 1.001:
                 break
             size = r["s"] or 0.0
-        links = found.where(F.col("cosine") >= THRESHOLD).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        roots = connected_components(links)
-        placed = materialize(nodes.join(roots, "node", "left").select("node", "label", "vec", F.coalesce("root", "node").alias("root")))
         # Each search is audited on vectors not drawn before. Where even the last is short, all the others follow, which finds every link.
-        step, there, met, short = 1, 0, 0, False
+        step, there, whole, short = 1, 0, 0, False
         while at < draws and (there < ENOUGH or short and seed == REPEATS - 1):
-            more, n, whole = audit(placed, draws, at, at + step - 1)
-            lost = more if lost is None else lost.union(more)
-            there, met, at, step = there + n, met + whole, at + step, min(MOST, step * 4)
-            short = short or met < RECALL * there
+            lost, linked, full = audit(placed, draws, at, at + step - 1)
+            placed = tied(placed, lost)
+            there, whole, at, step = there + linked, whole + full, at + step, min(MOST, step * 4)
+            short = short or whole < RECALL * there
         if not short or at >= draws:
             break
-    if not lost.isEmpty():
-        roots = connected_components(links.union(lost.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+    many = placed.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    roots = materialize(placed.join(many, "root", "left_semi").select("node", "root"))
     counted = materialize(count_links(nodes, roots))
-    least = roots.join(counted.where("links > 0"), "node").join(nodes.select("node", "least"), "node")
-    named = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "links", "component_id")
-    done = nodes.join(named, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
-    both = rows.select("id", "node").join(done, "node", "left")
-    component = F.coalesce("component_id", "id")
-    return both.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    least = roots.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component_id"))
+    named = roots.join(least, "root").join(counted, "node").select("node", "links", "component_id")
+    done = nodes.join(named, "node", "left").select("h", "k", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
+    both = rows.where("h is not null").select("id", "h", "k").join(done, ["h", "k"]).select("id", "n_links", "component_id")
+    both = both.union(rows.where("h is null").select("id", F.lit(0).cast("long"), "id"))
+    return both.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

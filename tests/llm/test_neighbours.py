@@ -57,7 +57,7 @@ def test_groups_larger_than_lists(spark, monkeypatch, tile):
 @pytest.mark.parametrize("size", [20, 120])
 def test_tight_groups_that_link_across(spark, monkeypatch, size):
     """Every list is full of members of its own group; links between the groups stand in no list."""
-    monkeypatch.setattr(N, "audit", lambda placed, *a: (placed.selectExpr("node a", "node b", "1D cosine").limit(0), 0, 0))
+    monkeypatch.setattr(N, "audit", lambda placed, *a: (placed.selectExpr("root a", "root b").limit(0), 0, 0))
     rng = np.random.default_rng(4)
     left = rng.standard_normal(24)
     right = rng.standard_normal(24)
@@ -83,3 +83,27 @@ def test_what_the_search_loses_is_found(spark, monkeypatch):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def test_links_of_a_dense_group_are_not_written(spark, monkeypatch):
+    """Searches write lists and ties, some for each vector, however many links it has."""
+    written, first, descend = [], N.first_lists, N.descend
+
+    def noted(f):
+        def run(*a):
+            written.append(f(*a).cache())
+            return written[-1]
+
+        return run
+
+    monkeypatch.setattr(N, "first_lists", noted(first)), monkeypatch.setattr(N, "descend", noted(descend))
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    rows = [(i, (centre + 0.08 * rng.standard_normal(32)).astype(np.float32).tolist(), 1) for i in range(700)]
+    rows += [(700 + i, rng.standard_normal(32).astype(np.float32).tolist(), 1) for i in range(300)]
+    want = plain(rows)
+    assert sum(r[1] for r in want) // 2 > 200_000
+    assert run(spark, rows) == want
+    assert written[0].where("not tie").count() <= N.TABLES * N.NEIGHBOURS * 1000
+    assert sum(w.where("tie").count() for w in written) <= 2 * N.TABLES * 1000
+    assert sum(w.count() for w in written[1:]) <= 5_000
