@@ -45,17 +45,24 @@ def unpick(df: DataFrame, columns: list[str], **changed) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this machine only where none is set."""
+    """The folder that driver and executors share; one of this machine only where none is set and all run on it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="spanroute-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends there."""
+    """Write ``df`` once to the shared folder and read it back: lineage ends there.
+
+    Columns whose names differ only in case, or repeat, are written by position.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path, names = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}", df.columns
+    if len({n.lower() for n in names}) < len(names):
+        df = df.toDF(*[f"_{i}" for i in range(len(names))])
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).toDF(*names)

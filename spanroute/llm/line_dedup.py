@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, pick_row
+from .common import materialize, pick, pick_row, unpick
 
 MIN_SITES = 8
 
@@ -46,15 +46,8 @@ def widespread(cut: DataFrame, min_sites: int, lg_k: int = 12) -> DataFrame:
     return materialize(often.join(sure.union(exact), "line", "left_semi"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """The rows of ``docs`` with boilerplate gone from the text, and ``n_lines``, ``n_removed``.
-
-    A line, trimmed of spaces, that at least ``min_sites`` different sites hold goes from
-    every document but its first place (the smallest id), which keeps it once. Blank lines
-    stay. A null text counts as empty, a null site as one site without a name. Rows that
-    repeat an id are told apart by their texts; equal ones are treated alike. Columns of
-    ``docs`` called n_lines or n_removed are replaced. An empty table stays empty.
-    """
+def _cleaned(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int) -> DataFrame:
+    """row (all columns by position), text without boilerplate, n_lines, n_removed."""
     cut = materialize(lines(docs, id_col, text_col, site_col))
     bad = widespread(cut, min_sites)
     drop = (
@@ -69,9 +62,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = met.withColumn("cut", F.split("text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), "drop")
     text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("cut", i)), "\n"))
-    met = met.select("row", text.alias("text"), F.size("cut").cast("long").alias("n_lines"), F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_removed"))
-    plain = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    kept = [i for i, c in enumerate(docs.columns) if c in plain]
+    return met.select("row", text.alias("text"), F.size("cut").cast("long").alias("n_lines"), F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_removed"))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """The rows of ``docs`` with boilerplate gone from the text, and ``n_lines``, ``n_removed``.
+
+    A line, trimmed of spaces, that at least ``min_sites`` different sites hold goes from
+    every document but its first place (the smallest id), which keeps it once. Blank lines
+    stay. A null text counts as empty, a null site as one site without a name. Rows that
+    repeat an id are told apart by their texts; equal ones are treated alike. Columns of
+    ``docs`` called n_lines or n_removed are replaced. An empty table stays empty.
+    """
+    met = _cleaned(docs, id_col, text_col, site_col, min_sites)
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in ("n_lines", "n_removed")]
     where = docs.columns.index(text_col)
     return met.select(*[(F.col("text") if i == where else F.col(f"row._{i}")).alias(docs.columns[i]) for i in kept], "n_lines", "n_removed")
 
+
+def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", size_col: str = "n_chars", min_sites: int = MIN_SITES) -> DataFrame:
+    """As :func:`line_dedup` with the columns of ``docs`` alone, whatever their names; ``size_col``, if there, is the new text's length."""
+    met = _cleaned(docs, id_col, text_col, site_col, min_sites)
+    return unpick(met, docs.columns, **{text_col: F.col("text"), size_col: F.length("text").cast("long")})

@@ -69,3 +69,23 @@ def test_run_is_the_stages(spark, sf_small, stages):
     got = C.run(spark, sf_small)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, stages[3][1].select(key).collect()))
+
+
+def test_odd_tables(spark, sf_small):
+    """Nulls, ties, repeated rows, names that clash, and an empty table, through every stage."""
+    long = "A line of its own. " * 40_000
+    rows = [(1, None, None, None, None, "x", 1), (None, "", "en", "a", 0, None, 2), (2, "Same words here.\n" * 3, "en", "a", 51, "y", 3), (2, "Same words here.\n" * 3, "en", "a", 51, "y", 3), (3, long, "de", None, 5, "z", 4)]
+    rows += [(10 + i, f"The same line.\nOwn words of number {i} and {i * 7} alone.", "en", f"s{i}", 40, "t", i) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, TEXT string, N_LINES int")
+    for table in (docs, docs.limit(0)):
+        for name, stage in C.STAGES:
+            after = materialize(stage(spark, table, sf_small))
+            if name != "best-fit packing":
+                assert after.columns == docs.columns and [f.dataType for f in after.schema] == [f.dataType for f in docs.schema]
+            table = after
+        assert (table.count() > 0) == (table.columns == after.columns and after.count() > 0)
+    done = {tuple(r)[0]: tuple(r) for r in materialize(C.drop_boilerplate(spark, docs, sf_small)).collect()}
+    assert done[10][1].startswith("The same line.\n") and done[11][1] == "Own words of number 1 and 7 alone." and done[11][4:] == (34, "t", 1)
+    assert done[1][1] == "" and done[3][1] == long
+    near = [tuple(r)[0] for r in C.drop_near_copies(spark, docs, sf_small).collect()]
+    assert near.count(2) == 1 and len(near) == len(set(near))
