@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ EDGES = "a long, b long, cosine double"
 FOUND = EDGES + ", tie boolean"
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
+def _unit(vectors: Iterable) -> np.ndarray:
     x = np.stack([np.asarray(v, np.float64) for v in vectors])
     x /= np.abs(x).max(1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
@@ -51,20 +51,22 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     return met.select("h", "k", "copies", "least", F.col("x.label").alias("label"), same.alias("vec"), F.monotonically_increasing_id().alias("node"))
 
 
-def _top(ids: np.ndarray, sims: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
-    """The NEIGHBOURS nearest from RELAXED on of each of ``rows``, as edges."""
+def _top(ids: np.ndarray, sims: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The NEIGHBOURS nearest from RELAXED on of each of ``rows``: a, b, cosine."""
     keep, sims = min(NEIGHBOURS, sims.shape[1]), sims[rows]
     best = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
     i, j = np.repeat(np.arange(len(rows)), keep), best.ravel()
     near = sims[i, j] >= RELAXED
-    return pd.DataFrame({"a": ids[rows[i[near]]], "b": ids[j[near]], "cosine": sims[i[near], j[near]], "tie": False})
+    return ids[rows[i[near]]], ids[j[near]], sims[i[near], j[near]]
 
 
-def _forest(roots: np.ndarray, near: np.ndarray) -> pd.DataFrame:
+def _forest(roots: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
     """Pairs of roots that hold together all that the links of a block hold together: fewer than it has roots."""
+    crossing, pairs = near & (roots[:, None] != roots[None, :]), []
+    if not crossing.any():
+        return pairs
     names, own = np.unique(roots, return_inverse=True)
-    crossing = near & (own[:, None] != own[None, :])
-    seen, pairs = np.zeros(len(names), bool), []
+    seen = np.zeros(len(names), bool)
     for first in np.unique(own[crossing.any(1)]).tolist():
         todo = [] if seen[first] else [first]
         seen[first] = True
@@ -75,17 +77,20 @@ def _forest(roots: np.ndarray, near: np.ndarray) -> pd.DataFrame:
                     seen[w] = True
                     pairs.append((names[g], names[w]))
                     todo.append(w)
-    return pd.DataFrame(pairs, columns=["a", "b"]).assign(cosine=1.0, tie=True)
+    return pairs
 
 
 def _compare(block: pd.DataFrame) -> pd.DataFrame:
     """Lists of the nearest in a block, for vectors whose list isn't full of links yet, and ties between roots that its links join."""
-    block = block.drop_duplicates("node")
-    ids, x = block["node"].to_numpy(), _unit(block["vec"])
+    ids, first = np.unique(block["node"].to_numpy(), return_index=True)
+    roots, open_ = block["root"].to_numpy()[first], ~block["saturated"].to_numpy()[first]
+    x = _unit([block["vec"].iat[i] for i in first])
     sims = x @ x.T
     np.fill_diagonal(sims, -1)
-    ties = _forest(block["root"].to_numpy(), sims >= THRESHOLD)
-    return pd.concat([_top(ids, sims, np.flatnonzero(~block["saturated"].to_numpy())), ties])
+    a, b, cosine = _top(ids, sims, np.flatnonzero(open_))
+    ties = np.array(_forest(roots, sims >= THRESHOLD), np.int64).reshape(-1, 2)
+    tie = np.repeat([False, True], [len(a), len(ties)])
+    return pd.DataFrame({"a": np.append(a, ties[:, 0]), "b": np.append(b, ties[:, 1]), "cosine": np.append(cosine, np.ones(len(ties))), "tie": tie})
 
 
 def _codes(seed: int):
@@ -136,13 +141,15 @@ def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
     """Edges and ties among the neighbours, either way, of each vector: neighbours of neighbours.
 
     Around a vector that very many have as neighbour, members are parted by chance into
-    groups of about LOCAL, in each round anew.
+    groups of about LOCAL, in each round anew. Where all members have full lists and one
+    component, nothing is left to find.
     """
     own = lists.select(F.col("a").alias("v"), F.col("b").alias("node"))
     around = own.union(own.select(F.col("node").alias("v"), F.col("v").alias("node"))).distinct()
-    full = around.groupBy("v").agg(F.ceil(F.count("*") / LOCAL).alias("parts"))
-    parted = around.join(full, "v").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")))
-    return parted.join(nodes.select("node", "vec", "root", "saturated"), "node").groupBy("v", "part").applyInPandas(_compare, FOUND)
+    around = around.join(nodes.select("node", "root", "saturated"), "node")
+    full = around.groupBy("v").agg(F.ceil(F.count("*") / LOCAL).alias("parts"), (~F.bool_and("saturated") | (F.min("root") < F.max("root"))).alias("open"))
+    parted = around.join(full.where("open").drop("open"), "v").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")))
+    return parted.join(nodes.select("node", "vec"), "node").groupBy("v", "part").applyInPandas(_compare, FOUND)
 
 
 def tied(placed: DataFrame, ties: DataFrame) -> DataFrame:
