@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES, materialize, pick
@@ -39,7 +39,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Digests held by ``support`` of the rows or more are found first (see :func:`frequent`)
     and broadcast, at most ``1 / support`` of them, so that their rows never shuffle. All
-    other digests shuffle as usual; none of their groups exceeds that share of the rows.
+    other digests shuffle as usual: their minima and counts combine first and are joined
+    back, so no group is gathered, whatever its size.
 
     A null text counts as empty and equals other empty texts. Rows that repeat an id are
     each returned; those that hold the smallest id of their group all have ``kept``. A null
@@ -49,10 +50,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialize(digests(docs, id_col, text_col))
     heavy = materialize(frequent(rows, support))
     hot = rows.join(F.broadcast(heavy), "digest")
-    same = Window.partitionBy("digest")
-    rest = rows.join(F.broadcast(heavy), "digest", "left_anti").select(
-        "digest", "id", F.min("id").over(same).alias("keep_id"), F.count("*").over(same).alias("group_size")
-    )
+    tail = rows.join(F.broadcast(heavy), "digest", "left_anti")
+    rest = tail.join(tail.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")), "digest")
     both = hot.select(rest.columns).union(rest)
     return both.select(
         F.col("id").alias(id_col),
