@@ -1,12 +1,14 @@
-"""Published snapshots: partitions, digests, a manifest, and one pointer that is put last."""
+"""Published snapshots: partitions, digests, a manifest, and a pointer that is put last."""
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def feed_partition(home: Column) -> Column:
@@ -45,14 +47,12 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A file that is there whole or not at all: written beside its place, then renamed."""
+    """A new file that is there whole or not at all: written beside its place, then renamed."""
     fs, at = _fs(spark, path)
-    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    beside = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{uuid.uuid4().hex}")
     out = fs.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(at):
-        fs.delete(at, False)
     if not fs.rename(beside, at):
         raise OSError(f"{path} can't be put in place")
 
@@ -61,13 +61,17 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r[0] for r in spark.read.text(path).collect())  # a manifest has a line per table
 
 
-def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str] | None = None, keep: int = 3) -> str:
+def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str] | None = None, keep: int = 3, pinned: Iterable[str] = ()) -> str:
     """Write a generation of tables below ``root`` with its manifest, then point to it; the newest ``keep`` stay.
 
-    A reader finds the old generation or the new, never a part: the pointer is put last.
+    A reader finds the old generation or the new, never a part: the pointer is put last. A
+    pointer is a file of its own in ``current``, named after its generation, of which the
+    greatest counts, so none is ever replaced or missing. Generations count on from the
+    greatest present. The one that is current and those ``pinned`` (which something else
+    refers to) are never removed.
     """
     spark = next(iter(tables.values())).sparkSession
-    number = len(generations(spark, root))
+    number = max((int(g.split("-")[1]) for g in [*generations(spark, root), *_pointers(spark, root)]), default=-1) + 1
     name = f"gen-{number:08d}-{uuid.uuid4().hex[:8]}"
     manifest = {}
     for table, rows in tables.items():
@@ -78,25 +82,56 @@ def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str]
         own = table_digest(spark.read.schema(rows.schema).parquet(f"{root}/{name}/{table}").select(*rows.columns)).first()
         manifest[table] = {"rows": own["rows"], "digest": own["digest"], "schema": rows.schema.json()}
     _write_text(spark, f"{root}/{name}/manifest.json", json.dumps(manifest, sort_keys=True))
-    _write_text(spark, f"{root}/current", name)
+    _write_text(spark, f"{root}/current/{name}", name)
+    live = {name, current(spark, root), *pinned}
     for old in generations(spark, root)[: -keep or None]:
-        fs, at = _fs(spark, f"{root}/{old}")
-        fs.delete(at, True)
+        if old not in live:
+            for path in (f"{root}/current/{old}", f"{root}/{old}"):  # what names it goes first
+                fs, at = _fs(spark, path)
+                fs.delete(at, True)
     return name
 
 
-def generations(spark: SparkSession, root: str) -> list[str]:
-    fs, at = _fs(spark, root)
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    fs, at = _fs(spark, folder)
     if not fs.exists(at):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("gen-"))
 
 
-def resolve(spark: SparkSession, root: str, verify: bool = True) -> dict[str, DataFrame]:
-    """The tables of the generation that is current; with ``verify`` each is counted and digested first."""
-    from pyspark.sql.types import StructType
+def generations(spark: SparkSession, root: str) -> list[str]:
+    return _names(spark, root)
+
+
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    return _names(spark, f"{root}/current")
+
+
+def current(spark: SparkSession, root: str) -> str:
+    """The generation that readers find."""
+    pointers = _pointers(spark, root)
+    if not pointers:
+        raise FileNotFoundError(f"nothing is published in {root}")
+    return pointers[-1]
+
+
+def resolve(spark: SparkSession, root: str, verify: bool = True, tries: int = 3) -> dict[str, DataFrame]:
+    """The tables of the generation that is current; with ``verify`` each is counted and digested first.
+
+    Where the generation has gone by the time it is read, as others were published, the one
+    that is current then is read, up to ``tries`` times.
+    """
+    for left in reversed(range(tries)):
+        name = current(spark, root)
+        try:
+            return _tables(spark, root, name, verify)
+        except Exception:
+            if not left or current(spark, root) == name:
+                raise
+    raise AssertionError("unreachable")
+
 
-    name = _read_text(spark, f"{root}/current").strip()
+def _tables(spark: SparkSession, root: str, name: str, verify: bool) -> dict[str, DataFrame]:
     tables = {}
     for table, said in json.loads(_read_text(spark, f"{root}/{name}/manifest.json")).items():
         schema = StructType.fromJson(json.loads(said["schema"]))

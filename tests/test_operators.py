@@ -3,7 +3,9 @@
 import datetime as dt
 import io
 import json
+import random
 import tarfile
+import threading
 import zipfile
 
 import numpy as np
@@ -16,6 +18,7 @@ from spanroute.functions import text as T
 from spanroute.operators import hierarchy as H
 from spanroute.operators import intervals as I
 from spanroute.operators import matching as M
+from spanroute.operators import overlap as O
 from spanroute.operators import query_api as A
 from spanroute.operators import service as S
 from spanroute.sinks import snapshots as K
@@ -160,3 +163,59 @@ def test_digest_is_of_a_multiset(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "x int, y string")
     own = K.table_digest(rows).first().digest
     assert K.table_digest(rows.repartition(3)).first().digest == own != K.table_digest(rows.distinct()).first().digest
+
+
+def test_thirty_publishes(spark, tmp_path):
+    """Generations count on beyond those kept, and a reader always finds the pointer."""
+    root, stop, seen, failed = str(tmp_path / "g"), threading.Event(), set(), []
+    K.publish({"t": spark.range(1)}, root)
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(K.current(spark, root))
+            except Exception as e:  # any miss counts
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    pinned = K.current(spark, root)
+    for n in range(2, 32):
+        name = K.publish({"t": spark.range(n)}, root, keep=3, pinned=[pinned])
+        assert K.current(spark, root) == name
+        if n % 10 == 0:
+            assert K.resolve(spark, root)["t"].count() == n
+    stop.set()
+    reader.join()
+    assert not failed and len(seen) > 3
+    assert len(K.generations(spark, root)) == 4 and pinned in K.generations(spark, root)
+    assert K.resolve(spark, root)["t"].count() == 31
+
+
+def test_long_chains_and_deep_trees(spark):
+    rows = [(i, i + 1 if i < 1000 else None, i == 1000, "a") for i in range(1001)] + [(2000, 2001, False, "a"), (2001, 2000, False, "a"), (2002, 2002, False, "a"), (2003, 1000, False, "b"), (2004, 9999, False, "a"), (2005, 500, None, "a")]
+    table = spark.createDataFrame(rows, "id long, to long, live boolean, spec string")
+    assert sorted(map(tuple, M.live_ends(table, "id", "to", "live", "spec").collect())) == [(i, 1000) for i in range(1000)] + [(2005, 1000)]
+    assert (2003, 1000) in {tuple(r) for r in M.live_ends(table, "id", "to", "live").collect()}
+    tree = [(f"p{i}", f"p{i - 1}" if i else None) for i in range(50)] + [("a", "b"), ("b", "c"), ("c", "b"), ("x", "x"), ("y", "gone")]
+    up = H.closure(spark.createDataFrame(tree, "place_id string, parent_id string")).collect()
+    assert sorted((int(r.ancestor_id[1:]), r.depth) for r in up if r.place_id == "p49") == [(49 - d, d) for d in range(49, -1, -1)]
+    assert sorted((r.place_id, r.ancestor_id, r.depth) for r in up if r.place_id in "abcxy") == [("a", "a", 0), ("a", "b", 1), ("a", "c", 2), ("b", "b", 0), ("b", "c", 1), ("c", "b", 1), ("c", "c", 0), ("x", "x", 0), ("y", "y", 0)]
+
+
+def test_containments_and_boxes_against_all_pairs(spark):
+    rng = random.Random(4)
+    sets = {o: {rng.randrange(30) for _ in range(rng.randrange(1, 25))} for o in range(60)} | {90: set(range(20)), 91: set(range(20)), 92: set(range(18))}
+    table = spark.createDataFrame([(o, e) for o, s in sets.items() for e in s], "o long, e long")
+    for least, larger in ((0.9, 1.0), (0.8, 1.5), (1.0, 1.0)):
+        want = {(a, b, len(x & y), len(x), len(y)) for a, x in sets.items() for b, y in sets.items() if a != b and len(y) >= larger * len(x) and len(x & y) >= least * len(x)}
+        assert {tuple(r) for r in O.containments(table, "o", "e", least, larger).select("a", "b", "shared", "own", "other").collect()} == want
+    boxes = []
+    for i in range(220):
+        x, y, w, h = rng.uniform(-0.1, 0.1), rng.uniform(-0.1, 0.1), rng.choice([0, 0, 0.004, 0.05, 3, 90]) * rng.random(), rng.choice([0, 0.01, 2]) * rng.random()
+        boxes.append(("p", f"f{i % 7}", i, i % 2, "n", x, x + w, y, y + h))
+    boxes += [("p", "f8", 900, 0, "n", 0.012, 0.012, 0.0, 0.0), ("p", "f9", 901, 0, "n", 0.009, 0.009, 0.0, 0.003)]
+    got = O.beside(spark.createDataFrame(boxes, "place_id string, feed_id string, line_id long, family int, name string, xmin double, xmax double, ymin double, ymax double")).select("line_a", "line_b").collect()
+    t = 0.003
+    want = [(a[2], b[2]) for a in boxes for b in boxes if a[1] != b[1] and a[3] == b[3] and a[5] <= b[6] + t and b[5] <= a[6] + t and a[7] <= b[8] + t and b[7] <= a[8] + t]
+    assert sorted(map(tuple, got)) == sorted(want)
