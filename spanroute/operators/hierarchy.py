@@ -1,38 +1,45 @@
-"""Place trees, memberships and closures; trees are at most MAX_DEPTH deep, so their walks are a few joins."""
+"""Place trees, memberships and closures; a walk is a join for each level of a tree."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanroute.sinks.scratch import written
 
+#: How far up a chain of ancestors is listed.
 MAX_DEPTH = 8
 
 
-def closure(places: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """place_id, ancestor_id, depth: every place with itself (0) and all ancestors.
+def closure(places: DataFrame, depth: int | None = None) -> DataFrame:
+    """place_id, ancestor_id, depth: every place with itself (0) and all ancestors, or those up to ``depth``.
 
-    A parent that isn't among the places ends the walk, as does a place met before.
+    A parent that isn't among the places ends the walk, as does a place met before. Levels
+    are written one by one until one is empty, so a tree costs as many joins as it is deep.
     """
-    parents = places.select(F.col("place_id").alias("p"), "parent_id")
-    level = places.select("place_id", F.col("place_id").alias("ancestor_id"), F.lit(0).alias("depth"))
-    out = level
-    for d in range(1, depth + 1):
-        up = level.join(parents, F.col("ancestor_id") == F.col("p")).where("parent_id is not null and parent_id <> place_id")
-        level = up.select("place_id", F.col("parent_id").alias("ancestor_id"), F.lit(d).alias("depth")).join(parents.select(F.col("p").alias("ancestor_id")), "ancestor_id").select("place_id", "ancestor_id", "depth")
-        out = out.union(level)
-    return out
+    known = places.select(F.col("place_id").alias("parent_id")).distinct()
+    up = written(places.select(F.col("place_id").alias("p"), "parent_id").where("parent_id is not null").join(known, "parent_id").select("p", "parent_id"))
+    level = written(places.select("place_id", F.col("place_id").alias("ancestor_id"), F.array("place_id").alias("path")))
+    levels = [level.select("place_id", "ancestor_id", F.lit(0).alias("depth"))]
+    while depth is None or len(levels) <= depth:
+        met = level.join(up, F.col("ancestor_id") == F.col("p")).where(~F.array_contains("path", F.col("parent_id")))
+        level = written(met.select("place_id", F.col("parent_id").alias("ancestor_id"), F.array_append("path", F.col("parent_id")).alias("path")))
+        if level.isEmpty():
+            break
+        levels.append(level.select("place_id", "ancestor_id", F.lit(len(levels)).alias("depth")))
+    return reduce(DataFrame.union, levels)
 
 
 def ancestor_chains(places: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """place_id, chain: ids of ancestors, the root first."""
+    """place_id, chain: ids of the ancestors up to ``depth``, the farthest first."""
     up = closure(places, depth).where("depth > 0")
     chain = F.transform(F.sort_array(F.collect_list(F.struct("depth", "ancestor_id")), asc=False), lambda x: x["ancestor_id"])
     return places.select("place_id").join(up.groupBy("place_id").agg(chain.alias("chain")), "place_id", "left").withColumn("chain", F.coalesce("chain", F.array().cast("array<string>")))
 
 
-def keep_set(places: DataFrame, wanted: DataFrame, members: DataFrame | None = None, depth: int = MAX_DEPTH) -> DataFrame:
+def keep_set(places: DataFrame, wanted: DataFrame, members: DataFrame | None = None, depth: int | None = None) -> DataFrame:
     """place_id of wanted places, of the metros (members: place_id, metro_id) they are in, and of the ancestors of all."""
     some = wanted.select("place_id")
     if members is not None:
@@ -40,7 +47,7 @@ def keep_set(places: DataFrame, wanted: DataFrame, members: DataFrame | None = N
     return closure(places, depth).join(some, "place_id", "left_semi").select(F.col("ancestor_id").alias("place_id")).distinct()
 
 
-def nearest_kept(places: DataFrame, kept: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+def nearest_kept(places: DataFrame, kept: DataFrame, depth: int | None = None) -> DataFrame:
     """place_id, kept_id, depth: the nearest ancestor, the place itself first, that is kept; places without one are left out."""
     near = closure(places, depth).join(kept.select(F.col("place_id").alias("ancestor_id")), "ancestor_id")
     return near.groupBy("place_id").agg(F.min_by("ancestor_id", "depth").alias("kept_id"), F.min("depth").alias("depth"))

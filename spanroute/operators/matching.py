@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanroute.sinks.scratch import written
+
 
 def unique_keys(rows: DataFrame, id_col: str, key: str) -> DataFrame:
     """id and key of keys that only one record holds; a key repeated within a record counts once."""
@@ -75,18 +79,30 @@ def residual_union(left: DataFrame, right: DataFrame, pairs: DataFrame, left_id:
     return both.unionByName(one).unionByName(two)
 
 
-def live_ends(rows: DataFrame, id_col: str, to: str, live: str, depth: int = 40) -> DataFrame:
-    """id and its live end along single redirects.
+def live_ends(rows: DataFrame, id_col: str, to: str, live: str, spec: str | None = None) -> DataFrame:
+    """id and its live end along single redirects, however long the chain.
 
-    Each round doubles the steps taken, so a chain of 2**k rows takes k rounds; a cycle
-    never meets a live row and drops out. ``rows`` has one row per id; ``to`` is null where
-    a row names no single successor.
+    Each round doubles the steps taken by the rows that haven't come to an end, and the
+    last is that in which no more of them do: what is left then runs in cycles, which never
+    meet a live row. ``rows`` has one row per id; ``to`` is null where a row names no
+    single successor. A step to a row of another ``spec`` ends a chain without a live end.
     """
-    jump = rows.select(F.col(id_col).alias("id"), F.when(F.col(live), F.col(id_col)).otherwise(F.col(to)).alias("at"))
-    ends = rows.where(F.col(live)).select(F.col(id_col).alias("end"))
-    for _ in range(max(1, depth.bit_length())):
-        jump = jump.alias("x").join(jump.alias("y"), F.col("x.at") == F.col("y.id"), "left").select("x.id", F.col("y.at").alias("at"))
-    return jump.join(ends, F.col("at") == F.col("end"), "left_semi").where("id <> at").select(F.col("id").alias(id_col), F.col("at").alias("live_id"))
+    kind = F.col(spec) if spec else F.lit(0)
+    jump = rows.select(F.col(id_col).alias("id"), F.when(~F.coalesce(F.col(live), F.lit(False)), F.col(to)).alias("at"), F.coalesce(F.col(live), F.lit(False)).alias("live"), kind.alias("spec"))
+    own = jump.select(F.col("id").alias("at"), F.col("live").alias("ends"), F.col("spec").alias("other"))
+    steps = jump.where("not live").join(own, "at").where(F.col("spec").eqNullSafe(F.col("other"))).select("id", "at", "ends")
+    done, open_ = [written(steps.where("ends")).select("id", "at")], written(steps.where("not ends")).select("id", "at")
+    ends, left = done[0], open_.count()
+    while left:
+        further = written(open_.alias("x").join(open_.alias("y"), F.col("x.at") == F.col("y.id")).select("x.id", F.col("y.at").alias("at")))
+        met = written(open_.alias("x").join(ends.alias("y"), F.col("x.at") == F.col("y.id")).select("x.id", F.col("y.at").alias("at")))
+        if met.isEmpty():
+            break
+        done.append(met)
+        ends = reduce(DataFrame.union, done)
+        open_ = further
+        left = open_.count()
+    return ends.select(F.col("id").alias(id_col), F.col("at").alias("live_id"))
 
 
 def co_listed(lists: DataFrame, owner: str, member: str) -> DataFrame:

@@ -343,6 +343,16 @@ def h1(t: Tables):
     return M.live_ends(part, "p_partkey", "to", "live")
 
 
+@query("H1_long_chains", """
+    WITH RECURSIVE n AS (SELECT c_custkey AS id, c_custkey % 150 = 0 AS live, CASE WHEN c_custkey % 149 <> 0 THEN c_custkey - 1 END AS nxt, c_custkey // 400 AS spec FROM customer),
+    walk AS (SELECT id, id AS cur, live, nxt, spec FROM n UNION ALL SELECT w.id, n.id, n.live, n.nxt, n.spec FROM walk w JOIN n ON w.nxt = n.id AND w.spec = n.spec WHERE NOT w.live)
+    SELECT id AS c_custkey, cur AS live_id FROM walk WHERE live AND id <> cur""")
+def h1_long(t: Tables):
+    key = F.col("c_custkey")
+    rows = t.read("customer").select(key, (key % 150 == 0).alias("live"), F.when(key % 149 != 0, key - 1).alias("to"), F.floor(key / 400).alias("spec"))
+    return M.live_ends(rows, "c_custkey", "to", "live", "spec")
+
+
 @query("H7_co_listing", """
     WITH l AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
     SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM l a JOIN l b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey""")
