@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanroute.sinks.scratch import written
+
 
 def shared_counts(rows: DataFrame, owner: str, element: str) -> DataFrame:
     """a, b, shared, own, other: for every two owners with an element in common, how many they share and have.
@@ -19,12 +21,34 @@ def shared_counts(rows: DataFrame, owner: str, element: str) -> DataFrame:
     return shared.join(sizes.select(F.col(owner).alias("a"), F.col("n").alias("own")), "a").join(sizes.select(F.col(owner).alias("b"), F.col("n").alias("other")), "b").select("a", "b", "shared", "own", "other")
 
 
+def containments(rows: DataFrame, owner: str, element: str, least: float, larger: float = 1.0) -> DataFrame:
+    """a, b, shared, own, other: where b has ``larger`` times as many elements as a or more, and at least the share ``least`` of a's.
+
+    Of a's elements all but that share may be missing in b, so b must have one of so many
+    and one more, whichever they are: the rarest are taken, which few others have. Only
+    the pairs met there are counted over all elements of a.
+    """
+    one = rows.select(owner, element).distinct()
+    sizes = one.groupBy(owner).agg(F.count("*").alias("n"))
+    often = one.groupBy(element).agg(F.count("*").alias("times"))
+    sized = written(one.join(sizes, owner).join(often, element).select(F.col(owner).alias("o"), F.col(element).alias("e"), "n", "times"))
+    rare = Window.partitionBy("o").orderBy("times", "e")
+    first = sized.withColumn("nth", F.row_number().over(rare)).where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1)
+    large = sized.select(F.col("o").alias("b"), "e", F.col("n").alias("other"))
+    met = first.select(F.col("o").alias("a"), "e", F.col("n").alias("own")).join(large, "e").where((F.col("a") != F.col("b")) & (F.col("other") >= larger * F.col("own")))
+    met = written(met.select("a", "b", "own", "other").distinct())
+    both = met.join(sized.select(F.col("o").alias("a"), "e"), "a").join(large.select("b", "e"), ["b", "e"])
+    return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("own").alias("own"), F.first("other").alias("other")).where(F.col("shared") >= least * F.col("own"))
+
+
 def contained(points: DataFrame, routes: DataFrame, owner: str, point: str, route: str, least_points: int = 2, least_routes: int = 5) -> DataFrame:
     """a, b, rule: feed a lies in the larger feed b, by share of stops and routes or by all its routes."""
-    p, r = shared_counts(points, owner, point), shared_counts(routes, owner, route)
-    both = p.join(r.select("a", "b", F.col("shared").alias("r_shared"), F.col("own").alias("r_own")), ["a", "b"]).where(F.col("own") >= least_points)
-    share = (F.col("shared") >= 0.9 * F.col("own")) & (F.col("other") >= 1.5 * F.col("own")) & (F.col("r_shared") >= 0.9 * F.col("r_own"))
-    every = (F.col("shared") >= 0.8 * F.col("own")) & (F.col("other") >= 3 * F.col("own")) & (F.col("r_shared") == F.col("r_own")) & (F.col("r_own") >= least_routes)
+    p = containments(points, owner, point, 0.8, 1.5).where(F.col("own") >= least_points)
+    one = routes.select(owner, route).distinct()
+    met = p.join(one.select(F.col(owner).alias("a"), route), "a").join(one.select(F.col(owner).alias("b"), route), ["b", route]).groupBy("a", "b").agg(F.count("*").alias("r_shared"))
+    both = p.join(met, ["a", "b"]).join(one.groupBy(F.col(owner).alias("a")).agg(F.count("*").alias("r_own")), "a")
+    share = (F.col("shared") >= 0.9 * F.col("own")) & (F.col("r_shared") >= 0.9 * F.col("r_own"))
+    every = (F.col("other") >= 3 * F.col("own")) & (F.col("r_shared") == F.col("r_own")) & (F.col("r_own") >= least_routes)
     return both.withColumn("rule", F.when(share, "share").when(every, "routes")).where("rule is not null").select("a", "b", "rule")
 
 
@@ -47,16 +71,46 @@ def fold_identical(rows: DataFrame, key: str, digest: str, rank: str) -> DataFra
     return rows.join(best, digest).select(key, F.col(f"best.{key}").alias("canonical_id"), "n")
 
 
+#: The least cells of the grid in which boxes meet, in degrees, how many times larger each next tier's are, and the number of tiers.
+CELL, STEP, TIERS = 0.012, 4, 8
+
+
+def _gridded(rows: DataFrame, key: list[str], side: str, slack: float) -> tuple[DataFrame, DataFrame]:
+    """``rows`` at each cell of their own tier, that whose cells are no smaller than their box, and of all tiers above it."""
+    box = [F.col(c) for c in ("xmin", "xmax", "ymin", "ymax")]
+    extent = F.greatest(box[1] - box[0], box[3] - box[2])
+    tier = F.least(F.lit(TIERS - 1), F.greatest(F.lit(0), F.ceil(F.log(float(STEP), F.greatest(extent, F.lit(CELL)) / CELL)))).cast("int")
+    tiers = rows.withColumn("own", tier).withColumn("tier", F.explode(F.sequence("own", F.lit(TIERS - 1))))
+    size = F.lit(CELL) * F.pow(F.lit(float(STEP)), F.col("tier"))
+
+    def cells(lo: Column, hi: Column) -> Column:
+        return F.explode(F.sequence(F.floor((lo - slack) / size), F.floor((hi + slack) / size)))
+
+    spread = tiers.withColumn("cx", cells(box[0], box[1])).withColumn("cy", cells(box[2], box[3]))
+    spread = spread.select(*key, "tier", "cx", "cy", (F.col("own") == F.col("tier")).alias(side + "at_home"), *[F.col(c).alias(side + c) for c in ("feed_id", "line_id", "xmin", "xmax", "ymin", "ymax")])
+    return spread.where(side + "at_home"), spread.where(f"not {side}at_home")
+
+
 def beside(rows: DataFrame, tolerance: float = 0.003) -> DataFrame:
     """place_id, a, b, line_a, line_b: lines of other feeds with the same family and name whose stop boxes lie within ``tolerance``.
 
     ``rows`` has place_id, feed_id, line_id, family, name and a box (xmin, xmax, ymin, ymax).
+    Boxes meet in cells of a grid, at the tier of the larger of both, so that a name which
+    very many lines of a place have isn't compared in all pairs; a pair counts in the one
+    cell that holds the lower left corner of what both have in common.
     """
-    key = ["place_id", "family", "name"]
-    a = rows.select(*key, *[F.col(c).alias("a_" + c) for c in ("feed_id", "line_id", "xmin", "xmax", "ymin", "ymax")])
-    b = rows.select(*key, *[F.col(c).alias("b_" + c) for c in ("feed_id", "line_id", "xmin", "xmax", "ymin", "ymax")])
+    key, on = ["place_id", "family", "name"], ["place_id", "family", "name", "tier", "cx", "cy"]
+    a_home, a_above = _gridded(rows, key, "a_", 1.001 * tolerance)
+    b_home, b_above = _gridded(rows, key, "b_", 0.0)
+    met = a_home.join(b_home.union(b_above), on).union(a_above.join(b_home, on).select(a_home.join(b_home, on).columns))
     near = (F.col("a_xmin") <= F.col("b_xmax") + tolerance) & (F.col("b_xmin") <= F.col("a_xmax") + tolerance) & (F.col("a_ymin") <= F.col("b_ymax") + tolerance) & (F.col("b_ymin") <= F.col("a_ymax") + tolerance)
-    met = a.join(b, key).where((F.col("a_feed_id") != F.col("b_feed_id")) & near)
+    size = F.lit(CELL) * F.pow(F.lit(float(STEP)), F.col("tier"))
+
+    def here(cell: str, axis: str) -> Column:
+        corner = F.least(F.greatest(F.col(f"a_{axis}min") - tolerance, F.col(f"b_{axis}min")), F.col(f"b_{axis}max"))
+        return F.col(cell) == F.floor(corner / size)
+
+    met = met.where((F.col("a_feed_id") != F.col("b_feed_id")) & near & here("cx", "x") & here("cy", "y"))
     return met.select("place_id", "family", F.col("a_feed_id").alias("a"), F.col("b_feed_id").alias("b"), F.col("a_line_id").alias("line_a"), F.col("b_line_id").alias("line_b"))
 
 
@@ -69,9 +123,9 @@ def overlap_shares(lines: DataFrame, met: DataFrame, least: float = 0.01) -> Dat
 
 def co_service(rows: DataFrame, owner: str, element: str, least: float = 0.9) -> DataFrame:
     """a < b, containment, kind: owners that share ``least`` of the smaller set; equal sets are duplicates."""
-    met = shared_counts(rows, owner, element).where("a < b").withColumn("containment", F.col("shared") / F.least("own", "other"))
-    kind = F.when((F.col("own") == F.col("other")) & (F.col("shared") == F.col("own")), "duplicate").otherwise("genuine")
-    return met.where(F.col("containment") >= least).select("a", "b", "containment", kind.alias("kind"))
+    met = containments(rows, owner, element, least)
+    pair = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("shared") / F.col("own")).alias("containment"), ((F.col("own") == F.col("other")) & (F.col("shared") == F.col("own"))).alias("same")).distinct()
+    return pair.select("a", "b", "containment", F.when(F.col("same"), "duplicate").otherwise("genuine").alias("kind"))
 
 
 def pattern_sample(stops: DataFrame, routes: str = "route_id", trip: str = "trip_id", seq: str = "seq", stop: str = "stop_id", trips: int = 8, lengths: int = 8, patterns: int = 8) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CATEGORY = {"local": "primary", "regional": "secondary", "national": "tertiary", "international": "international", "unknown": "unknown"}
@@ -23,27 +23,35 @@ def is_nominal(start: Column, end: Column, built: Column) -> Column:
     return F.coalesce(start < F.lit("2000-01-01").cast("date"), F.lit(False)) | F.coalesce(end > F.add_months(built, 60), F.lit(False))
 
 
+def with_places(pairs: DataFrame, *totals: Column) -> DataFrame:
+    """``pairs`` with totals of their place: aggregates, which combine before the shuffle, joined back."""
+    own = pairs.groupBy(F.col("place_id").alias("_place")).agg(*totals)
+    return pairs.join(own, F.col("place_id").eqNullSafe(F.col("_place"))).drop("_place")
+
+
 def basis(pairs: DataFrame, active: str = "active") -> DataFrame:
     """``basis`` and ``value`` of each pair: departures where every active pair of its place reports them, else stops.
 
     Where no pair of a place is active, every pair counts.
     """
-    place = Window.partitionBy("place_id")
-    some = F.max(F.col(active).cast("int")).over(place) == 1
-    known = F.min(F.when(F.col(active) | ~some, F.col("departures").isNotNull().cast("int"))).over(place) == 1
-    return pairs.withColumn("basis", F.when(known, "departures").otherwise("stops")).withColumn("value", F.when(F.col("basis") == "departures", F.col("departures")).otherwise(F.col("stops").cast("double")))
+    reported = F.col("departures").isNotNull()
+    both = with_places(pairs, F.bool_or(active).alias("_some"), F.bool_and(F.when(F.col(active), reported)).alias("_active"), F.bool_and(reported).alias("_all"))
+    known = F.when(F.col("_some"), F.col("_active")).otherwise(F.col("_all"))
+    value = F.when(known, F.col("departures")).otherwise(F.col("stops").cast("double"))
+    return both.withColumn("basis", F.when(known, "departures").otherwise("stops")).withColumn("value", value).drop("_some", "_active", "_all")
 
 
 def set_aside(pairs: DataFrame, modes: str = "modes", stale: str = "stale") -> DataFrame:
     """``active``: fresh pairs, and stale ones that run a mode which no fresh pair of their place runs.
 
-    A stale pair without modes stays only where its place has no fresh pair.
+    A stale pair without modes stays only where its place has no fresh pair. Of a place no
+    more than its set of modes is gathered.
     """
-    place = Window.partitionBy("place_id")
-    fresh_modes = F.array_distinct(F.flatten(F.collect_list(F.when(~F.col(stale), F.col(modes))).over(place)))
-    fresh = F.max((~F.col(stale)).cast("int")).over(place) == 1
-    only = F.when(F.size(modes) > 0, F.size(F.array_except(modes, fresh_modes)) > 0).otherwise(~fresh)
-    return pairs.withColumn("active", ~F.col(stale) | only)
+    spread = pairs.select(F.col("place_id").alias("_place"), F.col(stale).alias("_stale"), F.explode_outer(F.when(~F.col(stale), F.col(modes))).alias("_mode"))
+    own = spread.groupBy("_place").agg(F.collect_set("_mode").alias("_modes"), F.bool_or(~F.col("_stale")).alias("_fresh"))
+    only = F.when(F.size(modes) > 0, F.size(F.array_except(modes, "_modes")) > 0).otherwise(~F.col("_fresh"))
+    both = pairs.join(own, F.col("place_id").eqNullSafe(F.col("_place")))
+    return both.withColumn("active", ~F.col(stale) | only).drop("_place", "_modes", "_fresh")
 
 
 def relevance(pairs: DataFrame, feed_stops: DataFrame) -> DataFrame:
@@ -52,9 +60,9 @@ def relevance(pairs: DataFrame, feed_stops: DataFrame) -> DataFrame:
     ``feed_stops`` gives each feed's denominator (``scope_stops``): stops at home for a
     domestic feed, else all. Seven tenths weigh the place's share, three the feed's.
     """
-    place = Window.partitionBy("place_id")
-    total = F.sum(F.when(F.col("active"), F.col("value"))).over(place)
-    shares = pairs.withColumn("share_of_place", F.when(F.col("active") & (total > 0), F.col("value") / total).otherwise(0.0)).join(feed_stops, "feed_id", "left")
+    total = F.col("_total")
+    shares = with_places(pairs, F.sum(F.when(F.col("active"), F.col("value"))).alias("_total")).join(feed_stops, "feed_id", "left")
+    shares = shares.withColumn("share_of_place", F.when(F.col("active") & (total > 0), F.col("value") / total).otherwise(0.0)).drop("_total")
     of_feed = F.when(F.col("scope_stops") > 0, F.least(F.lit(1.0), F.col("stops") / F.col("scope_stops"))).otherwise(0.0)
     shares = shares.withColumn("share_of_feed", of_feed)
     return shares.withColumn("relevance", F.when(F.col("active"), 0.7 * F.col("share_of_place") + 0.3 * F.col("share_of_feed")).otherwise(0.0))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from spanroute.operators import ranking as R
+from spanroute.sinks.scratch import written
 
 from .bindings import BUILT, Tables, query
 
@@ -26,21 +27,22 @@ _ACTIVE = f"""
         FROM valued v LEFT JOIN reach r ON v.feed_id = r.feed_id)"""
 
 
-def marked(t: Tables):
-    pairs = t.pairs()
+def marked(t: Tables, pairs=None):
+    pairs = written(t.pairs()) if pairs is None else pairs  # several passes go over them
     stale = R.is_stale(F.col("service_end"), F.lit(BUILT).cast("date"))
     return pairs.withColumn("stale", stale).withColumn("active", ~stale)
 
 
-def reach(t: Tables):
+def reach(t: Tables, pairs):
     city = t.places().where("kind = 'city'").select("place_id", "country_code")
-    joined = t.pairs().join(t.feeds().select("feed_id", "home", "scope"), "feed_id").join(city, "place_id")
+    joined = pairs.join(t.feeds().select("feed_id", "home", "scope"), "feed_id").join(city, "place_id")
     own = (F.col("scope") == "international") | (F.col("country_code") == F.col("home"))
     return joined.groupBy("feed_id").agg(F.sum(F.when(own, F.col("stops"))).alias("scope_stops"))
 
 
 def ranked(t: Tables):
-    return R.relevance(R.basis(marked(t)), reach(t))
+    pairs = written(t.pairs())
+    return R.relevance(written(R.basis(marked(t, pairs))), reach(t, pairs))
 
 
 @query("W1_relevance", _ACTIVE + """
@@ -69,8 +71,8 @@ def w2(t: Tables):
 def w3(t: Tables):
     part = t.read("part").select("p_partkey", "p_type")
     modes = t.facts().join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("feed_id", "place_id").agg(F.sort_array(F.collect_set("p_type")).alias("modes"))
-    pairs = marked(t).drop("active").join(modes, ["feed_id", "place_id"], "left").withColumn("modes", F.coalesce("modes", F.array().cast("array<string>")))
-    return R.set_aside(pairs).select("feed_id", "place_id", "stale", "active")
+    pairs = marked(t, t.pairs()).drop("active").join(modes, ["feed_id", "place_id"], "left").withColumn("modes", F.coalesce("modes", F.array().cast("array<string>")))
+    return R.set_aside(written(pairs)).select("feed_id", "place_id", "stale", "active")
 
 
 @query("W4_breadth", """

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from spanroute.operators import hierarchy as H
 from spanroute.operators import overlap as O
+from spanroute.sinks.scratch import written
 
 from .aggregates import edge_service
 from .bindings import SQL, Tables, query
@@ -130,18 +131,22 @@ def j26(t: Tables):
     return up.union(declared.join(membership(t), "place_id").select("feed_id", "metro_id")).distinct()
 
 
-SQL["points"] = "SELECT DISTINCT feed_id, l_partkey % 200 AS point FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
-SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey // 2 % 200 AS line FROM facts WHERE l_suppkey % 10 = 0 OR l_quantity > 47"
+# Large feeds stop everywhere, others where many board, and else at a stop of their own.
+SQL["points"] = "SELECT DISTINCT feed_id, CASE WHEN l_suppkey % 10 = 0 OR l_quantity > 47 THEN l_partkey ELSE l_suppkey END % 200 AS point FROM facts"
+SQL["lines"] = "SELECT DISTINCT feed_id, CASE WHEN l_suppkey % 10 = 0 OR l_quantity > 47 THEN l_partkey // 2 ELSE l_suppkey // 2 END % 200 AS line FROM facts"
+
+
+def _at():
+    busy = (F.col("l_suppkey") % 10 == 0) | (F.col("l_quantity") > 47)
+    return F.when(busy, F.col("l_partkey")).otherwise(F.col("l_suppkey"))
 
 
 def points(t: Tables):
-    # Large feeds stop everywhere, others only where many board.
-    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", (F.col("l_partkey") % 200).alias("point")).distinct()
+    return written(t.facts().select("feed_id", (_at() % 200).alias("point")).distinct())
 
 
 def lines(t: Tables):
-    line = F.floor(F.col("l_partkey") / 2) % 200
-    return t.facts().where("l_suppkey % 10 = 0 or l_quantity > 47").select("feed_id", line.alias("line")).distinct()
+    return written(t.facts().select("feed_id", (F.floor(_at() / 2) % 200).alias("line")).distinct())
 
 
 @query("J20_containment", """
@@ -190,13 +195,13 @@ _BESIDE = """
 
 @query("J23_lines_beside", _BESIDE + " SELECT place_id, a, b, count(*) AS n FROM met GROUP BY ALL")
 def j23(t: Tables):
-    return O.beside(boxes(t)).groupBy("place_id", "a", "b").agg(F.count("*").alias("n"))
+    return O.beside(written(boxes(t))).groupBy("place_id", "a", "b").agg(F.count("*").alias("n"))
 
 
 @query("J24_overlap_shares", _BESIDE + """, n AS (SELECT place_id, feed_id AS a, count(DISTINCT line_id) AS lines FROM boxes GROUP BY ALL)
     SELECT met.place_id, met.a, b, round(count(DISTINCT line_a) / any_value(lines), 6) AS share FROM met JOIN n ON met.place_id = n.place_id AND met.a = n.a GROUP BY ALL HAVING count(DISTINCT line_a) / any_value(lines) >= 0.1""")
 def j24(t: Tables):
-    rows = boxes(t)
+    rows = written(boxes(t))
     return O.overlap_shares(rows, O.beside(rows), 0.1).withColumn("share", F.round("share", 6))
 
 
