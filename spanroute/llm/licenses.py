@@ -31,7 +31,18 @@ SENTENCES = {
     "gpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
     "gpl3-or-later": "either version 3 of the license or at your option any later version",
     "gpl2-or-later": "either version 2 of the license or at your option any later version",
-    "mpl2": "this source code form is subject to the terms of the mozilla public license v. 2.0",
+    "mpl2": "this source code form is subject to the terms of the mozilla public license v",
+    "mit-title": "the mit license mit",
+    "apache-title": "apache license version 2.0 january 2004 http www.apache.org licenses",
+    "apache-terms": "terms and conditions for use reproduction and distribution",
+    "gpl3-title": "gnu general public license version 3 29 june 2007",
+    "gpl2-title": "gnu general public license version 2 june 1991",
+    "lgpl3-title": "gnu lesser general public license version 3 29 june 2007",
+    "lgpl21-title": "gnu lesser general public license version 2.1 february 1999",
+    "agpl3-title": "gnu affero general public license version 3 19 november 2007",
+    "mpl2-title": "mozilla public license version 2.0",
+    "cc-legal": "creative commons legal code",
+    "cc0-title": "cc0 1.0 universal",
     "cc-by-nc": "licensed under cc by-nc 4.0",
     "cc-by-sa": "licensed under cc by-sa 4.0",
     "cc-by": "licensed under cc by 4.0",
@@ -43,12 +54,21 @@ RULES = [
     ("mit-full", "MIT", ["mit-the", "mit-grant", "mit-notice", "mit-as-is"]),
     ("mit-full-short-name", "MIT", ["mit-name", "mit-grant", "mit-notice", "mit-as-is"]),
     ("mit-text", "MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
+    ("mit-title-text", "MIT", ["mit-title", "mit-grant", "mit-notice", "mit-as-is"]),
     ("isc-text", "ISC", ["isc-grant"]),
     ("bsd-3-clause", "BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("bsd-2-clause", "BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("apache-header", "Apache-2.0", ["apache-the", "apache-comply"]),
+    ("apache-text", "Apache-2.0", ["apache-title", "apache-terms"]),
     ("gpl-3-or-later", "GPL-3.0-or-later", ["gpl-redistribute", "gpl3-or-later"]),
     ("gpl-2-or-later", "GPL-2.0-or-later", ["gpl-redistribute", "gpl2-or-later"]),
+    ("gpl-3-text", "GPL-3.0-only", ["gpl3-title"]),
+    ("gpl-2-text", "GPL-2.0-only", ["gpl2-title"]),
+    ("lgpl-3-text", "LGPL-3.0-only", ["lgpl3-title"]),
+    ("lgpl-2.1-text", "LGPL-2.1-only", ["lgpl21-title"]),
+    ("agpl-3-text", "AGPL-3.0-only", ["agpl3-title"]),
+    ("mpl-2-text", "MPL-2.0", ["mpl2-title"]),
+    ("cc0-text", "CC0-1.0", ["cc-legal", "cc0-title"]),
     ("mit-released", "MIT", ["mit-released"]),
     ("mit-licensed", "MIT", ["mit-licensed"]),
     ("mit-grant", "MIT", ["mit-grant"]),
@@ -67,31 +87,94 @@ RULES = [
     ("unlicense", "Unlicense", ["unlicense"]),
     ("reserved", "LicenseRef-all-rights-reserved", ["reserved"]),
 ]
+# The parts of which notices are made up.
+GNU = [("gpl", "general", "GPL", ["2", "3"]), ("lgpl", "lesser general", "LGPL", ["2.1", "3"]), ("agpl", "affero general", "AGPL", ["3"])]
+NAMES = {
+    "MIT": ["the mit license", "mit license", "the mit licence", "the terms of the mit license", "an mit license", "the mit license mit"],
+    "ISC": ["the isc license", "isc license"],
+    "BSD-2-Clause": ["the bsd 2-clause license", "the 2-clause bsd license", "the simplified bsd license"],
+    "BSD-3-Clause": ["the bsd 3-clause license", "the 3-clause bsd license", "the new bsd license", "the modified bsd license"],
+    "Apache-2.0": ["the apache license version 2.0", "the apache license 2.0", "apache license 2.0", "the apache 2.0 license", "apache 2.0"],
+    "MPL-2.0": ["the mozilla public license version 2.0", "the mozilla public license 2.0", "mpl 2.0"],
+    "GPL-2.0-only": ["the gnu general public license version 2", "the gnu gpl version 2", "the gnu general public license v2.0", "gpl v2"],
+    "GPL-3.0-only": ["the gnu general public license version 3", "the gnu gpl version 3", "the gnu general public license v3.0", "gpl v3"],
+    "LGPL-3.0-only": ["the gnu lesser general public license version 3", "the gnu lgpl version 3"],
+    "AGPL-3.0-only": ["the gnu affero general public license version 3", "the gnu agpl version 3"],
+    "CC0-1.0": ["cc0 1.0 universal", "cc0 1.0", "the cc0 1.0 universal public domain dedication"],
+}
+CC = {"by": "attribution", "by-sa": "attribution-sharealike", "by-nc": "attribution-noncommercial", "by-nc-sa": "attribution-noncommercial-sharealike", "by-nd": "attribution-noderivatives", "by-nc-nd": "attribution-noncommercial-noderivatives"}
+for _k, _name in CC.items():
+    NAMES[f"CC-{_k.upper()}-4.0"] = [f"cc {_k} 4.0", f"cc {_k} 4.0 international", *[f"{x}creative commons {_name} 4.0 international license" for x in ("a ", "the ", "")], f"a creative commons {_name} 4.0 international"]
+SUBJECTS = ["", "this project is ", "this software is ", "this work is ", "this code is ", "the code is ", "this library is ", "this program is ", "this package is "]
+VERBS = ["licensed under ", "released under ", "distributed under ", "available under "]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _built() -> tuple[list[tuple[str, str]], list[tuple[str, str, list[str]]]]:
+    """Known sentences (id, sentence) and rules: those above and those made up of parts."""
+    known, rules = {text: i for i, text in SENTENCES.items()}, list(RULES)
+
+    def add(name: str, licence: str, texts: list[str], before: bool = False) -> None:
+        if new := [t for t in texts if t not in known]:
+            known.update(dict.fromkeys(new, name))
+            rules.insert(0 if before else len(rules), (name, licence, [name]))
+
+    for short, kind, spdx, versions in GNU:
+        terms = f"it under the terms of the gnu {kind} public license"
+        for v in versions:
+            number = v if "." in v else f"{v}.0"
+            leads = [f"{x}you can redistribute it and or modify {terms}" for x in ("", "this program is free software ")]
+            free = "as published by the free software foundation"
+            add(f"{short}-{v}-notice", f"{spdx}-{number}-or-later", [f"{x} {free} either version {v} of the license or at your option any later version" for x in leads], before=True)
+            add(f"{short}-{v}-only-notice", f"{spdx}-{number}-only", [t for x in leads for t in (f"{x} version {v} {free}", f"{x} {free} version {v} of the license")], before=True)
+    for licence, names in NAMES.items():
+        add(f"said-{licence.lower()}", licence, [s + v + n for s in SUBJECTS for v in VERBS for n in names])
+    return [(i, text) for text, i in known.items()], rules
+
+
+KNOWN, ALL_RULES = _built()
+
+#: What may stand before the words of a line: marks of comments, quotations and lists.
+LEADERS = r"\n[ \t\r]*(?:/[*]+|[*]+/|[*]+|//+|#+|;+|--+|>+|%+)?[ \t\r]*"
+END = "\x01"
+
+
 def sentences(text: Column) -> Column:
-    """Parts of a text: a sentence ends at a line's end, and at ``.``, ``;``, ``:``, ``!`` or ``?`` before white space."""
-    return F.split(F.regexp_replace(text, "([.;:!?])[ \\t\\r]+", "$1\n"), "\n")
+    """Parts of a text: a sentence ends at a blank line, and at ``.``, ``;``, ``:``, ``!`` or ``?`` before white space."""
+    bare = F.regexp_replace(F.concat(F.lit("\n"), text), LEADERS, "\n")
+    cut = F.regexp_replace(F.regexp_replace(bare, "\n\n+", END), "([.;:!?])[ \\t\\r\n]+", "$1" + END)
+    return F.split(cut, END)
 
 
 def normalised(sentence: Column) -> Column:
-    """Lower-case words of ASCII letters, digits, ``.``, ``+`` and ``-`` with one space between, without marks at the end."""
-    words = F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9.+-]+", " ")
-    return F.regexp_replace(words, "^[ .-]+|[ .-]+$", "")
+    """Lower-case words of ASCII letters, digits, ``.``, ``+`` and ``-`` with one space between, without marks at the end.
+
+    A number or letter before a bracket, as lists have, goes; an owner's name in the clause
+    on endorsement becomes that of the standard text.
+    """
+    bare = F.regexp_replace(F.translate(sentence, UPPER, LOWER), r"^[ \n(]*[0-9a-z]{1,2}[)][ \n\t]+", "")
+    words = F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9.+-]+", " "), "^[ .-]+|[ .-]+$", "")
+    return F.regexp_replace(words, "^neither the name of .+ nor the names of ", "neither the name of the copyright holder nor the names of ")
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, version (digest of the text), pos, sentence_id of every known sentence."""
-    known = docs.sparkSession.createDataFrame(list(SENTENCES.items()), "sentence_id string, sentence string")
+    """id, version (digest of the text), pos, sentence_id of every known sentence.
+
+    A sentence may run over several lines; each of its lines counts as one too, as headings
+    and short notices end without a mark.
+    """
+    known = docs.sparkSession.createDataFrame(KNOWN, "sentence_id string, sentence string")
     rows = pick(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    cut = rows.select("id", F.unhex(F.md5("text")).alias("version"), F.posexplode(sentences(F.col("text"))).alias("pos", "sentence"))
-    return cut.withColumn("sentence", normalised(F.col("sentence"))).join(F.broadcast(known), "sentence").select("id", "version", "pos", "sentence_id")
+    cut = rows.select("id", F.unhex(F.md5("text")).alias("version"), F.posexplode(sentences(F.col("text"))).alias("s", "sentence")).withColumn("sentence", F.btrim("sentence", F.lit("\n")))
+    lines = F.split("sentence", "\n")
+    parts = F.when(F.instr("sentence", "\n") > 0, F.concat(F.array("sentence"), lines)).otherwise(F.array("sentence"))
+    cut = cut.select("id", "version", "s", F.posexplode(parts).alias("l", "sentence")).withColumn("sentence", normalised(F.col("sentence")))
+    return cut.join(F.broadcast(known), "sentence").select("id", "version", F.struct("s", "l").alias("pos"), "sentence_id")
 
 
 def matched(sequence: Column) -> Column:
     """Rules, in their order, that a sequence of sentences like ``<a><b>`` meets: array of (rule, licence, times)."""
-    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(x).alias("licence"), F.lit("".join(f"<{s}>" for s in ids)).alias("ids")) for r, x, ids in RULES])
+    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(x).alias("licence"), F.lit("".join(f"<{s}>" for s in ids)).alias("ids")) for r, x, ids in ALL_RULES])
     found = "array<struct<rule:string,licence:string,times:bigint>>"
     start = F.struct(sequence.alias("left"), F.array().cast(found).alias("found"))
 
@@ -126,15 +209,20 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def oracle() -> str:
     """The same in SQL for DuckDB; the rules are one step each."""
-    known = ", ".join(f"('{k}', '{s}')" for k, s in SENTENCES.items())
+    known = ", ".join(f"('{k}', '{s}')" for k, s in KNOWN)
     sql = rf"""
         WITH known(sentence_id, sentence) AS (VALUES {known}),
-        cut AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.;:!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
-        lines AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS pos FROM cut),
-        plain AS (SELECT doc_id, pos, regexp_replace(regexp_replace(translate(part, '{UPPER}', '{LOWER}'), '[^a-z0-9.+-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g') AS sentence FROM lines),
-        s0 AS (SELECT doc_id, count(*) AS n, string_agg('<' || sentence_id || '>', '' ORDER BY pos) AS seq, []::VARCHAR[] AS rules, []::VARCHAR[] AS licences
+        bare AS (SELECT doc_id, regexp_replace(chr(10) || coalesce(text, ''), '{LEADERS}', chr(10), 'g') AS t FROM documents),
+        cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(t, '\n\n+', chr(1), 'g'), '([.;:!?])[ \t\r\n]+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM bare),
+        parts AS (SELECT doc_id, trim(unnest(parts), chr(10)) AS part, unnest(range(len(parts))) AS s FROM cut),
+        lines AS (SELECT doc_id, s, unnest(ps) AS part, unnest(range(len(ps))) AS l
+                  FROM (SELECT doc_id, s, CASE WHEN contains(part, chr(10)) THEN list_concat([part], string_split(part, chr(10))) ELSE [part] END AS ps FROM parts)),
+        low AS (SELECT doc_id, s, l, regexp_replace(translate(part, '{UPPER}', '{LOWER}'), '^[ \n(]*[0-9a-z]{{1,2}}[)][ \n\t]+', '') AS part FROM lines),
+        plain AS (SELECT doc_id, s, l, regexp_replace(regexp_replace(regexp_replace(part, '[^a-z0-9.+-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g'),
+                  '^neither the name of .+ nor the names of ', 'neither the name of the copyright holder nor the names of ') AS sentence FROM low),
+        s0 AS (SELECT doc_id, count(*) AS n, string_agg('<' || sentence_id || '>', '' ORDER BY s, l) AS seq, []::VARCHAR[] AS rules, []::VARCHAR[] AS licences
                FROM plain JOIN known USING (sentence) GROUP BY doc_id)"""
-    for i, (rule, licence, ids) in enumerate(RULES):
+    for i, (rule, licence, ids) in enumerate(ALL_RULES):
         own = "".join(f"<{s}>" for s in ids)
         sql += f""",
         s{i + 1} AS (SELECT doc_id, n, replace(seq, '{own}', '|') AS seq,
@@ -143,4 +231,4 @@ def oracle() -> str:
     return sql + f"""
         SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(array_to_string(rules, ','), '') AS rules,
                coalesce(array_to_string(list_sort(list_distinct(licences)), ','), '') AS licences
-        FROM documents d LEFT JOIN s{len(RULES)} USING (doc_id)"""
+        FROM documents d LEFT JOIN s{len(ALL_RULES)} USING (doc_id)"""

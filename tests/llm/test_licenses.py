@@ -1,6 +1,8 @@
 """Licence scans: hand-made texts, odd rows."""
 
-from spanroute.llm.licenses import RULES, SENTENCES, scan_licenses
+import textwrap
+
+from spanroute.llm.licenses import ALL_RULES, KNOWN, RULES, SENTENCES, scan_licenses
 
 MIT = f"The MIT License\n\nCopyright (c) 2020 X\n\n{SENTENCES['mit-grant']}:\n\n{SENTENCES['mit-notice'].upper()}.\n{SENTENCES['mit-as-is']}"
 
@@ -27,3 +29,51 @@ def test_rules_and_order(spark):
 def test_tables():
     assert all(s in SENTENCES for _, _, ids in RULES for s in ids)
     assert len(set(SENTENCES.values())) == len(SENTENCES)
+    assert len({t for _, t in KNOWN}) == len(KNOWN) and len({r for r, _, _ in ALL_RULES}) == len(ALL_RULES)
+    assert {i for _, _, ids in ALL_RULES for i in ids} <= {i for i, _ in KNOWN}
+
+
+def gnu(kind, version, mark=","):
+    return f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the Free Software Foundation{mark} either version {version} of the License, or (at your option) any later version."
+
+
+WRAPPED = {
+    "MIT": """MIT License
+
+        Copyright (c) 2021 Someone
+
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.""",
+    "ISC": "Copyright (c) 2004 Someone\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+        (2) Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+        3. Neither the name of Some Body, Inc nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy',
+    "GPL-3.0-or-later": gnu("General", 3), "GPL-2.0-or-later": gnu("General", 2, ";").replace("software:", "software;"), "LGPL-2.1-or-later": gnu("Lesser General", "2.1"), "AGPL-3.0-or-later": gnu("Affero General", 3),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0 International.",
+}
+
+
+def test_wrapped_texts(spark):
+    """Standard texts as files have them: wrapped, indented, behind marks of comments, with either line end."""
+    rows, want = [], {}
+    for name, text in WRAPPED.items():
+        for width in (40, 72, 10_000):
+            for lead, end in (("", "\n"), (" * ", "\n"), ("# ", "\n"), ("// ", "\r\n"), (";; ", "\n")):
+                lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part.strip(), width, break_on_hyphens=False), ""]]
+                want[len(rows)] = name
+                rows.append((len(rows), end.join(f"{lead}{x}".rstrip() if lead else x for x in ["", *lines])))
+    got = {r.doc_id: r.licences for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: (n, got[i]) for i, n in want.items() if got[i] != n} == {}
+    titles = ["Apache License\n   Version 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright", "Mozilla Public License Version 2.0\n====\n", "Creative Commons Legal Code\n\nCC0 1.0 Universal\n", "This project is released under the MIT license.", "An end of the line:\nLicensed under CC BY 4.0\nand more"]
+    got = [r.licences for r in scan_licenses(spark.createDataFrame(list(enumerate(titles)), "doc_id long, text string").coalesce(1)).sort("doc_id").collect()]
+    assert got == ["Apache-2.0", "GPL-3.0-only", "MPL-2.0", "CC0-1.0", "MIT", "CC-BY-4.0"]
