@@ -142,7 +142,7 @@ END = "\x01"
 def sentences(text: Column) -> Column:
     """Parts of a text: a sentence ends at a blank line, and at ``.``, ``;``, ``:``, ``!`` or ``?`` before white space."""
     bare = F.regexp_replace(F.concat(F.lit("\n"), text), LEADERS, "\n")
-    cut = F.regexp_replace(F.regexp_replace(bare, "\n\n+", END), "([.;:!?])[ \\t\\r\n]+", "$1" + END)
+    cut = F.regexp_replace(bare, "\n\n+|([.;:!?])[ \\t\\r\n]+", "$1" + END)
     return F.split(cut, END)
 
 
@@ -152,9 +152,11 @@ def normalised(sentence: Column) -> Column:
     A number or letter before a bracket, as lists have, goes; an owner's name in the clause
     on endorsement becomes that of the standard text.
     """
-    bare = F.regexp_replace(F.translate(sentence, UPPER, LOWER), r"^[ \n(]*[0-9a-z]{1,2}[)][ \n\t]+", "")
-    words = F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9.+-]+", " "), "^[ .-]+|[ .-]+$", "")
-    return F.regexp_replace(words, "^neither the name of .+ nor the names of ", "neither the name of the copyright holder nor the names of ")
+    bare = F.translate(sentence, UPPER, LOWER)
+    listed = F.when(F.contains(bare, F.lit(")")), F.regexp_replace(bare, r"^[ \n(]*[0-9a-z]{1,2}[)][ \n\t]+", "")).otherwise(bare)
+    words = F.btrim(F.regexp_replace(listed, "[^a-z0-9.+-]+", " "), F.lit(" .-"))
+    owned = F.regexp_replace(words, "^neither the name of .+ nor the names of ", "neither the name of the copyright holder nor the names of ")
+    return F.when(F.startswith(words, F.lit("neither the name of ")), owned).otherwise(words)
 
 
 def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
