@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import warnings
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -234,14 +235,19 @@ def _first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.nda
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 600) -> list[tuple[np.ndarray, float]]:
     """Patterns of few sizes and how often to use each: the linear relaxation, by column generation.
 
-    It starts from patterns filled largest first and ends at the optimum, or after ``rounds``.
+    It starts from patterns filled largest first and ends at the optimum, or where less than
+    one sequence lies between it and the bound by volume, which no plan beats. If neither is
+    reached in ``rounds`` it says so.
     """
+    floor = float(sizes @ demand) / capacity
     basis = _first_basis(sizes, demand, capacity)
     inverse = np.linalg.inv(basis)
     for turn in range(rounds):
         if turn % 64 == 63:  # what rounding has gathered
             inverse = np.linalg.inv(basis)
         x = inverse @ demand
+        if float(x.sum()) < floor + 1 - 1e-6:
+            break
         value, pattern = _best_pattern(sizes, inverse.sum(0), capacity)
         if value <= 1 + 1e-7:
             break
@@ -252,6 +258,8 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
         row = inverse[out] / move[out]
         inverse -= np.outer(move, row)
         inverse[out] = row
+    else:
+        warnings.warn(f"configurations after {rounds} rounds: {float(np.sum(inverse @ demand)):.1f} sequences, {floor:.1f} by volume", stacklevel=2)
     x = np.linalg.solve(basis, demand)
     return [(basis[:, i].round().astype(int), float(v)) for i, v in enumerate(x) if v >= 1]
 
