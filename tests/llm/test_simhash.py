@@ -30,7 +30,7 @@ def test_fixture_tables(spark, sf_small):
     assert got == plain_groups([(r.doc_id, r.text) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("small", [2, 32])
+@pytest.mark.parametrize("small", [1, 2, 32, 10**9])
 def test_planted_bits(spark, monkeypatch, small):
     """Chains, balls and strays around common halves, for each way of linking."""
     monkeypatch.setattr(S, "SMALL", small)
