@@ -81,6 +81,16 @@ def valid(ring: np.ndarray) -> bool:
     return not bool(((side(a[i], b[i], a[j]) * side(a[i], b[i], b[j]) < 0) & (side(a[j], b[j], a[i]) * side(a[j], b[j], b[i]) < 0)).any())
 
 
+def simplify_ring(ring: np.ndarray, tolerance: float) -> np.ndarray:
+    """As :func:`simplify` over the closed ring, at a tolerance halved until the result is valid; else the ring itself."""
+    closed = np.vstack([ring, ring[:1]])
+    for halvings in range(16):
+        out = simplify(closed, tolerance / 2**halvings)[:-1]
+        if valid(out):
+            return out
+    return ring
+
+
 def clip(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
     """The part of a ring within a box (xmin, ymin, xmax, ymax), edge by edge of the box (Sutherland and Hodgman)."""
     for axis, bound, sign in ((0, box[0], 1), (0, box[2], -1), (1, box[1], 1), (1, box[3], -1)):
@@ -96,6 +106,26 @@ def clip(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray
     return ring
 
 
+def split_antimeridian(ring: np.ndarray, plain: dict[float, float]) -> list[tuple[int, np.ndarray]]:
+    """(0, part up to 180 degrees) and (1, part beyond it, 360 degrees less) of a convex ring; one if nothing is beyond.
+
+    ``plain`` gives a corner's longitude before it was counted on, so that it comes back without rounding.
+    """
+    if all(plain[x] == x for x in ring[:, 0]):
+        return [(0, ring)]
+    out = []
+    for n, (low, high) in enumerate([(-180.0, 180.0), (180.0, 540.0)]):
+        part = ring
+        if ring[:, 0].min() < low or ring[:, 0].max() > high:
+            part = clip(ring, (low, -90.0, high, 90.0))
+        if len(part):
+            xs = np.clip(part[:, 0], low, high)
+            if n:
+                xs = np.array([plain[x] if plain.get(x, x) != x else x - 360 for x in xs])
+            out.append((n, hull(np.column_stack([xs, part[:, 1]]))))
+    return out
+
+
 def representative(ring: np.ndarray) -> tuple[float, float]:
     """A point within a ring: the middle of the widest stretch at half its height."""
     levels = np.unique(ring[:, 1])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from spanroute.sinks.scratch import written
 
+from .matching import live_ends
+
 #: How far up a chain of ancestors is listed.
 MAX_DEPTH = 8
 
@@ -114,6 +116,17 @@ def rewrite_keys(rows: DataFrame, mapping: DataFrame, columns: list[str], lists:
     return rows
 
 
+def numbered(fresh: DataFrame, next_id: int) -> DataFrame:
+    """key, minted: new ids numbered on from ``next_id`` in the order of the distinct keys."""
+    # Numbers without a global window: counts of ranges of keys, then rows within a range. The
+    # ranges are written once, as another run could part the keys elsewhere.
+    ranges = written(fresh.repartitionByRange("key").withColumn("part", F.spark_partition_id()))
+    ranges = ranges.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("key")))
+    sizes = ranges.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
+    return ranges.join(before, "part").select("key", F.concat(F.lit("tp_"), (F.col("before") + F.col("nth") - 1 + next_id).cast("string")).alias("minted"))
+
+
 def identify(rows: DataFrame, concordance: DataFrame, next_id: int) -> DataFrame:
     """key, place_id, outcome: rows (key, values) against a registry's concordances (value, place_id).
 
@@ -122,13 +135,76 @@ def identify(rows: DataFrame, concordance: DataFrame, next_id: int) -> DataFrame
     """
     hits = rows.select("key", F.explode_outer("values").alias("value")).join(concordance, "value", "left")
     found = hits.groupBy("key").agg(F.countDistinct("place_id").alias("n"), F.min("place_id").alias("one"))
-    fresh = found.where("n = 0").select("key")
-    # Numbers without a global window: counts of ranges of keys, then rows within a range. The
-    # ranges are written once, as another run could part the keys elsewhere.
-    ranges = written(fresh.repartitionByRange("key").withColumn("part", F.spark_partition_id()))
-    ranges = ranges.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("key")))
-    sizes = ranges.groupBy("part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    minted = ranges.join(before, "part").select("key", F.concat(F.lit("tp_"), (F.col("before") + F.col("nth") - 1 + next_id).cast("string")).alias("minted"))
+    minted = numbered(found.where("n = 0").select("key"), next_id)
     outcome = F.when(F.col("n") == 0, "minted").when(F.col("n") == 1, "identified").otherwise("conflict")
     return found.join(minted, "key", "left").select("key", F.when(F.col("n") == 0, F.col("minted")).when(F.col("n") == 1, F.col("one")).alias("place_id"), outcome.alias("outcome"))
+
+
+def survivors(registry: DataFrame) -> DataFrame:
+    """place_id, live_id: every place of a registry (place_id, into) with the live one it was merged into, itself if live.
+
+    ``into`` is null in live rows. A row that leads to no live place is absent.
+    """
+    live = registry.where("into is null").select("place_id", F.col("place_id").alias("live_id"))
+    return live.unionByName(live_ends(registry.withColumn("_live", F.col("into").isNull()), "place_id", "into", "_live"))
+
+
+def resolve(references: DataFrame, registry: DataFrame, concordance: DataFrame) -> DataFrame:
+    """reference, place_id: the live place of an id (tp_1), of a bare Wikidata item (Q1) or of namespace:value; null if none.
+
+    ``concordance`` has value, as namespace:value, and place_id, one place for each value.
+    """
+    one, ends = references.select("reference").distinct(), survivors(registry)
+    value = F.when(F.col("reference").rlike("^Q[0-9]+$"), F.concat(F.lit("wikidata:"), "reference")).otherwise(F.col("reference"))
+    named = one.withColumn("value", value).join(concordance.select("value", F.col("place_id").alias("by_value")), "value", "left")
+    owner = F.when(F.col("reference").rlike("^tp_[0-9]+$"), F.col("reference")).otherwise(F.col("by_value"))
+    found = named.select("reference", owner.alias("owner")).join(ends.withColumnRenamed("place_id", "owner"), "owner", "left")
+    return found.select("reference", F.col("live_id").alias("place_id"))
+
+
+def enrich(rows: DataFrame, identified: DataFrame, concordance: DataFrame, detached: DataFrame) -> DataFrame:
+    """value, place_id: what a concordance gains from rows (key, values) that were identified or minted (key, place_id).
+
+    A row with a value that was detached from its place adds nothing. A new value that rows
+    of several places bring goes to the place of the least key. Conflicts (a null place) add nothing.
+    """
+    pairs = rows.select("key", F.explode("values").alias("value")).join(identified.where("place_id is not null").select("key", "place_id"), "key")
+    barred = pairs.join(detached.select("value", "place_id").distinct(), ["value", "place_id"], "left_semi").select("key").distinct()
+    fresh = pairs.join(barred, "key", "left_anti").where("value is not null").join(concordance, "value", "left_anti")
+    return fresh.groupBy("value").agg(F.min_by("place_id", F.struct("key", "place_id")).alias("place_id"))
+
+
+def merge(registry: DataFrame, merges: DataFrame, concordance: DataFrame | None = None, detached: DataFrame | None = None) -> DataFrame:
+    """The registry after merges (place_id, into), one for a place: merged rows name the live place at the end of all.
+
+    Refused, and without effect: a merge of or into a place that isn't live, into itself, of
+    two places where either resolves a value detached from the other or from one merged into
+    it, and merges that end in a cycle. ``concordance`` and ``detached`` have value, place_id.
+    """
+    live = registry.where("into is null").select("place_id")
+    asked = merges.select("place_id", F.col("into").alias("target")).where("place_id <> target")
+    asked = asked.join(live, "place_id", "left_semi").join(live.withColumnRenamed("place_id", "target"), "target", "left_semi")
+    if concordance is not None and detached is not None:
+        ends = written(survivors(registry))
+        held = concordance.join(ends, "place_id").select("value", F.col("live_id").alias("holder")).distinct()
+        taken = detached.join(ends, "place_id").select("value", F.col("live_id").alias("loser")).distinct()
+        clash = written(held.join(taken, "value").select("holder", "loser").distinct())
+        for a, b in (("holder", "loser"), ("loser", "holder")):
+            asked = asked.join(clash.select(F.col(a).alias("place_id"), F.col(b).alias("target")), ["place_id", "target"], "left_anti")
+    after = written(registry.join(asked, "place_id", "left"))
+    ends = survivors(after.select("place_id", F.coalesce("into", "target").alias("into")))
+    into = F.when(F.col("live_id").isNull(), F.col("into")).when(F.col("live_id") != F.col("place_id"), F.col("live_id"))
+    return after.join(ends, "place_id", "left").withColumn("into", into).select(*registry.columns)
+
+
+def supersede(registry: DataFrame, changes: DataFrame, next_id: int) -> DataFrame:
+    """The registry (place_id, kind, into) after live places got another kind (place_id, kind), one change for a place.
+
+    A kind never changes: a new place is minted, numbered on from ``next_id`` in the order
+    of the places, and the old one merges into it. A change to the same kind has no effect.
+    """
+    live = registry.where("into is null").select("place_id", F.col("kind").alias("was"))
+    due = changes.select("place_id", "kind").join(live, "place_id").where("kind <> was")
+    minted = written(numbered(due.select(F.col("place_id").alias("key")), next_id))
+    new = due.join(minted, F.col("place_id") == F.col("key")).select(F.col("minted").alias("place_id"), "kind", F.lit(None).cast("string").alias("into"))
+    return merge(registry.unionByName(new, allowMissingColumns=True), minted.select(F.col("key").alias("place_id"), F.col("minted").alias("into")))

@@ -32,14 +32,27 @@ def lon_span(west: Column, east: Column) -> Column:
 
 
 def widest_gap(points: DataFrame, key: str, lon: str) -> DataFrame:
-    """key, west, east: the shortest stretch of longitudes that holds all points, which is what the widest gap leaves."""
-    order = Window.partitionBy(key).orderBy(lon)
-    one = points.select(key, lon).distinct()
-    first = F.min(lon).over(Window.partitionBy(key))
-    gaps = one.select(key, F.col(lon).alias("east"), F.coalesce(F.lead(lon).over(order), first + 360).alias("next"))
-    wide = gaps.groupBy(key).agg(F.max_by(F.struct("east", "next"), F.struct(F.col("next") - F.col("east"), -F.col("east"))).alias("g"))
+    """key, west, east, cut: the shortest stretch of longitudes that holds all points, which is what the widest gap leaves.
+
+    Equal gaps: the most western. Null longitudes don't count. ``cut`` is the first longitude after the gap if that
+    makes a stretch shorter than from the least to the greatest, which then crosses the antimeridian; else null.
+
+    Gaps are taken within each degree first, then between the 361 degrees at most of a key, so no task sorts a whole key.
+    """
+    one = points.select(key, lon).where(F.col(lon).isNotNull()).distinct().withColumn("_cell", F.floor(lon))
+
+    def gap(east: Column, after: Column) -> Column:
+        return F.struct((after - east).alias("size"), (-east).alias("order"), east.alias("east"), after.alias("next"))
+
+    after = F.lead(lon).over(Window.partitionBy(key, "_cell").orderBy(lon))
+    cells = one.withColumn("gap", F.when(after.isNotNull(), gap(F.col(lon), after)))
+    cells = cells.groupBy(key, "_cell").agg(F.min(lon).alias("lo"), F.max(lon).alias("hi"), F.max("gap").alias("gap"))
+    first = F.min("lo").over(Window.partitionBy(key))
+    cells = cells.withColumn("across", gap(F.col("hi"), F.coalesce(F.lead("lo").over(Window.partitionBy(key).orderBy("_cell")), first + 360)))
+    wide = cells.groupBy(key).agg(F.max(F.greatest("gap", "across")).alias("g"), F.max("hi").alias("last"), F.min("lo").alias("first"))
     west = F.when(F.col("g.next") >= 180, F.col("g.next") - 360).otherwise(F.col("g.next"))
-    return wide.select(key, west.alias("west"), F.col("g.east").alias("east"))
+    inner = (F.col("g.east") < F.col("last")) & (F.col("g.size") > F.col("first") + 360 - F.col("last"))
+    return wide.select(key, west.alias("west"), F.col("g.east").alias("east"), F.when(inner, F.col("g.next")).alias("cut"))
 
 
 def cells_of_boxes(boxes: DataFrame, size: float = CELL) -> DataFrame:
@@ -81,24 +94,36 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring
 
 
 def hulls(points: DataFrame, key: str, x: str = "lon", y: str = "lat") -> DataFrame:
-    """key, ring and box: the convex hull of each key's points.
+    """key, part, ring and box: the convex hull of each key's points, in one part, or two on both sides of the antimeridian.
+
+    Where the shortest stretch of longitudes crosses the antimeridian and is narrower than the plain one, the hull is
+    that of longitudes counted on beyond 180 degrees, cut there: part 0 lies before it, part 1 after. Points without a
+    coordinate don't count.
 
-    A hull of hulls is the hull: points shrink to the hull of each of a number of parts
+    A hull of hulls is the hull: points shrink to the hull of each of a number of bins
     first, so a key that holds very many points isn't gathered in one task.
     """
-    kind = f"{key} {points.schema[key].dataType.simpleString()}, x double, y double"
+    of = f"{key} {points.schema[key].dataType.simpleString()}"
 
     def shrink(group: pd.DataFrame) -> pd.DataFrame:
         ring = G.hull(group[["x", "y"]].to_numpy())
-        return pd.DataFrame({key: group[key].iat[0], "x": ring[:, 0], "y": ring[:, 1]})
+        plain = dict(zip(group["x"], group["plain"], strict=True))
+        return pd.DataFrame({key: group[key].iat[0], "x": ring[:, 0], "y": ring[:, 1], "plain": [plain[v] for v in ring[:, 0]]})
 
     def close(group: pd.DataFrame) -> pd.DataFrame:
         ring = G.hull(group[["x", "y"]].to_numpy())
-        return pd.DataFrame({key: [group[key].iat[0]], "ring": [[{"x": a, "y": b} for a, b in ring.tolist()]], "xmin": ring[:, 0].min(), "ymin": ring[:, 1].min(), "xmax": ring[:, 0].max(), "ymax": ring[:, 1].max()})
+        parts = G.split_antimeridian(ring, dict(zip(group["x"], group["plain"], strict=True)))
+        rows = [(n, [{"x": a, "y": b} for a, b in r.tolist()], *r.min(0), *r.max(0)) for n, r in parts]
+        out = pd.DataFrame(rows, columns=["part", "ring", "xmin", "ymin", "xmax", "ymax"])
+        out.insert(0, key, group[key].iat[0])
+        return out
 
-    one = points.select(key, F.col(x).alias("x"), F.col(y).alias("y")).distinct()
-    few = one.withColumn("part", F.pmod(F.xxhash64("x", "y"), F.lit(32))).groupBy(key, "part").applyInPandas(shrink, kind)
-    return few.groupBy(key).applyInPandas(close, f"{key} {points.schema[key].dataType.simpleString()}, ring {RING.simpleString()}, xmin double, ymin double, xmax double, ymax double")
+    one = points.select(key, F.col(x).alias("plain"), F.col(y).alias("y")).where("plain is not null and y is not null").distinct()
+    cut = widest_gap(one, key, "plain").where("cut is not null").select(F.col(key).alias("_key"), "cut")
+    shifted = F.when(F.col("plain") < F.col("cut"), F.col("plain") + 360).otherwise(F.col("plain"))
+    one = one.join(cut, F.col(key).eqNullSafe(F.col("_key")), "left").select(key, shifted.alias("x"), "y", "plain")
+    few = one.withColumn("bin", F.pmod(F.xxhash64("x", "y"), F.lit(32))).groupBy(key, "bin").applyInPandas(shrink, f"{of}, x double, y double, plain double")
+    return few.groupBy(key).applyInPandas(close, f"{of}, part int, ring {RING.simpleString()}, xmin double, ymin double, xmax double, ymax double")
 
 
 def overlaps(left: DataFrame, right: DataFrame, size: float = CELL) -> DataFrame:
@@ -150,11 +175,11 @@ def ring_valid(rings: pd.Series) -> pd.Series:
 
 
 def simplified(tolerance: float):
-    """A function of a ring: its corners that stray more than ``tolerance``."""
+    """A function of a ring: its corners that stray more than ``tolerance``, more where these alone would cross."""
 
     @F.pandas_udf(RING)
     def run(rings: pd.Series) -> pd.Series:
-        return pd.Series([[{"x": x, "y": y} for x, y in G.simplify(r, tolerance).tolist()] for r in _rings(rings)])
+        return pd.Series([[{"x": x, "y": y} for x, y in G.simplify_ring(r, tolerance).tolist()] for r in _rings(rings)])
 
     return run
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from spanroute.functions import text as T
 from spanroute.operators import spatial as S
 from spanroute.operators import tiers as D
+from spanroute.sinks.scratch import written
 
 from .bindings import SQL, Tables, query
 from .matching import coordinates
@@ -198,7 +199,8 @@ def polygons(t: Tables):
 
 @query("F20_ring_areas")
 def f20(t: Tables):
-    return polygons(t).select("label", F.round(S.ring_area_km2("ring"), 3).alias("km2"))
+    areas_of = polygons(t).select("label", S.ring_area_km2("ring").alias("km2"))
+    return areas_of.groupBy("label").agg(F.round(F.sum("km2"), 3).alias("km2"))
 
 
 @query("G1_points_covered")
@@ -208,28 +210,29 @@ def g1(t: Tables):
 
 @query("G3_simplified_rings")
 def g3(t: Tables):
-    return polygons(t).select("label", F.size("ring").alias("corners"), F.size(S.simplified(2.0)("ring")).alias("left"))
+    return polygons(t).select("label", "part", F.size("ring").alias("corners"), F.size(S.simplified(2.0)("ring")).alias("left"))
 
 
 @query("G4_valid_rings")
 def g4(t: Tables):
-    return polygons(t).select("label", S.ring_valid("ring").alias("valid"))
+    return polygons(t).select("label", "part", S.ring_valid("ring").alias("valid"))
 
 
 @query("G7_shared_areas")
 def g7(t: Tables):
     boxes = areas(t).select(F.col("place_id"), "xmin", "ymin", "xmax", "ymax")
-    rings = polygons(t).select("label", "ring")
-    points = rings.select("label", F.explode("ring").alias("p")).groupBy(F.col("label").alias("id"))
-    around = points.agg(F.min("p.x").alias("xmin"), F.min("p.y").alias("ymin"), F.max("p.x").alias("xmax"), F.max("p.y").alias("ymax"))
-    met = S.overlaps(around, boxes.withColumnRenamed("place_id", "id")).select(F.col("left_id").alias("label"), F.col("right_id").alias("place_id"))
-    shared = F.round(S.shared_area("ring", "xmin", "ymin", "xmax", "ymax"), 6)
-    return met.join(rings, "label").join(boxes, "place_id").select("label", "place_id", shared.alias("shared")).where("shared > 0")
+    parts = written(polygons(t))
+    around = parts.select(F.struct("label", "part").alias("id"), "xmin", "ymin", "xmax", "ymax")
+    met = S.overlaps(around, boxes.withColumnRenamed("place_id", "id")).select("left_id.label", "left_id.part", F.col("right_id").alias("place_id"))
+    shared = met.join(parts.select("label", "part", "ring"), ["label", "part"]).join(boxes, "place_id")
+    shared = shared.select("label", "place_id", S.shared_area("ring", "xmin", "ymin", "xmax", "ymax").alias("shared"))
+    return shared.groupBy("label", "place_id").agg(F.round(F.sum("shared"), 6).alias("shared")).where("shared > 0")
 
 
 @query("G8_points_within")
 def g8(t: Tables):
-    inner = polygons(t).withColumn("p", S.point_within("ring"))
+    largest = polygons(t).withColumn("area", S.ring_area_km2("ring")).groupBy("label").agg(F.max_by("ring", F.struct("area", -F.col("part"))).alias("ring"))
+    inner = largest.withColumn("p", S.point_within("ring"))
     return inner.select("label", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y"), S.covered(F.col("p.x"), F.col("p.y"), F.col("ring")).alias("covered"))
 
 
@@ -248,7 +251,8 @@ def g9(t: Tables):
 def g10(t: Tables):
     centres = coordinates(t).groupBy("label").agg(F.round(F.avg("lon"), 3).alias("lon"), F.round(F.avg("lat"), 3).alias("lat"))
     met = centres.join(polygons(t).select("label", "ring"), "label")
-    kept = S.covered(F.col("lon"), F.col("lat"), F.col("ring"))
+    met = met.withColumn("in", S.covered(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy("label", "lon", "lat").agg(F.max("in").alias("kept"))
+    kept = F.col("kept")
     return met.select("label", F.when(kept, F.col("lon")).alias("lon"), F.when(kept, F.col("lat")).alias("lat"))
 
 

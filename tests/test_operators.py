@@ -87,6 +87,26 @@ def test_registry_numbers_are_dense(spark):
     assert got[3] == ("p", "identified") and sorted(int(v[0][3:]) for v in got.values() if v[1] == "minted") == list(range(7, 105))
 
 
+def test_registry_merges_flatten_and_refuse(spark):
+    registry = spark.createDataFrame([(p, "city", i, 1) for p, i in [("tp_1", None), ("tp_2", None), ("tp_3", None), ("tp_4", "tp_1"), ("tp_5", None), ("tp_6", None), ("tp_7", None), ("tp_8", None)]], "place_id string, kind string, into string, extra int")
+    merges = spark.createDataFrame([("tp_1", "tp_2"), ("tp_2", "tp_3"), ("tp_4", "tp_5"), ("tp_5", "tp_5"), ("tp_6", "tp_7"), ("tp_7", "tp_6"), ("tp_8", "tp_9")], "place_id string, into string")
+    got = {r.place_id: r.into for r in H.merge(registry, merges).collect()}
+    assert got == {"tp_1": "tp_3", "tp_2": "tp_3", "tp_3": None, "tp_4": "tp_3", "tp_5": None, "tp_6": None, "tp_7": None, "tp_8": None}
+    known = spark.createDataFrame([("a", "tp_2")], "value string, place_id string")
+    detached = spark.createDataFrame([("a", "tp_4")], "value string, place_id string")
+    got = {r.place_id: r.into for r in H.merge(registry, merges, known, detached).collect()}
+    assert (got["tp_1"], got["tp_2"], got["tp_4"]) == (None, "tp_3", "tp_1")
+    assert H.merge(registry, merges.limit(0)).where("into is not null").count() == 1
+
+
+def test_registry_gains_values_that_were_not_detached(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", None]), (2, ["b", "c"]), (3, ["d", "e"]), (4, ["f"])], "key int, values array<string>")
+    ids = spark.createDataFrame([(1, "p"), (2, "q"), (3, "r"), (4, None)], "key int, place_id string")
+    known = spark.createDataFrame([("a", "p")], "value string, place_id string")
+    detached = spark.createDataFrame([("d", "r"), ("c", "p")], "value string, place_id string")
+    assert sorted(map(tuple, H.enrich(rows, ids, known, detached).collect())) == [("b", "p"), ("c", "q")]
+
+
 def test_unbounded_slice_is_refused(spark):
     places = spark.createDataFrame([], "place_id string, kind string, name string, parent_id string")
     with pytest.raises(A.SliceError):
