@@ -99,15 +99,15 @@ def h10(t: Tables):
 def registry(t: Tables):
     """Suppliers as places: of each four in a row the last three are merged, one into another."""
     key = F.col("s_suppkey")
-    into = F.when((key - 1) % 4 != 0, F.concat(F.lit("tp_"), (key - 1).cast("string")))
+    into = F.when(key % 4 != 0, F.concat(F.lit("tp_"), (key - 1).cast("string")))
     kind = F.when(F.col("s_nationkey") % 2 == 0, "city").otherwise("region")
     return t.read("supplier").select(F.concat(F.lit("tp_"), key.cast("string")).alias("place_id"), kind.alias("kind"), into.alias("into"))
 
 
 @query("H10_resolve", """
-    SELECT 'wikidata:Q' || c_custkey AS reference, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - (s_suppkey - 1) % 4) END AS place_id FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
-    UNION ALL SELECT 'Q' || c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - (s_suppkey - 1) % 4) END FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
-    UNION ALL SELECT 'tp_' || c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - (s_suppkey - 1) % 4) END FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
+    SELECT 'wikidata:Q' || c_custkey AS reference, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - s_suppkey % 4) END AS place_id FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
+    UNION ALL SELECT 'Q' || c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - s_suppkey % 4) END FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
+    UNION ALL SELECT 'tp_' || c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN 'tp_' || (s_suppkey - s_suppkey % 4) END FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
 def h10_resolve(t: Tables):
     key = F.col("c_custkey").cast("string")
     asked = t.read("customer").select(F.explode(F.array(F.concat(F.lit("wikidata:Q"), key), F.concat(F.lit("Q"), key), F.concat(F.lit("tp_"), key))).alias("reference"))
@@ -117,13 +117,13 @@ def h10_resolve(t: Tables):
 
 
 @query("H10_supersede", """
-    WITH r AS (SELECT s_suppkey AS k, CASE WHEN s_nationkey % 2 = 0 THEN 'city' ELSE 'region' END AS kind, s_acctbal > 5000 AS due, s_suppkey - (s_suppkey - 1) % 4 AS head FROM supplier),
+    WITH r AS (SELECT s_suppkey AS k, CASE WHEN s_nationkey % 2 = 0 THEN 'city' ELSE 'region' END AS kind, s_acctbal > 5000 AS due, s_suppkey - s_suppkey % 4 AS head FROM supplier),
     m AS (SELECT k, 'tp_' || (1000000 + row_number() OVER (ORDER BY 'tp_' || k) - 1) AS minted FROM r WHERE k = head AND due AND kind = 'region')
-    SELECT 'tp_' || r.k AS place_id, kind, coalesce(minted, CASE WHEN r.k <> head THEN 'tp_' || head END) AS into FROM r LEFT JOIN m ON m.k = r.head
+    SELECT 'tp_' || r.k AS place_id, kind, coalesce(minted, CASE WHEN r.k <> head THEN 'tp_' || head END) AS merged_into FROM r LEFT JOIN m ON m.k = r.head
     UNION ALL SELECT minted, 'city', NULL FROM m""")
 def h10_supersede(t: Tables):
     changes = t.read("supplier").where("s_acctbal > 5000").select(F.concat(F.lit("tp_"), F.col("s_suppkey").cast("string")).alias("place_id"), F.lit("city").alias("kind"))
-    return H.supersede(registry(t), changes, 1000000)
+    return H.supersede(registry(t), changes, 1000000).withColumnRenamed("into", "merged_into")
 
 
 @query("H11_municipality_outcomes", """
