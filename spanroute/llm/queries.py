@@ -79,11 +79,17 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_report(rows.union(planted))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .infill import infill_report
+
+    return infill_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_quality_classifier, op7_html_extraction,
-        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format,
+        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format, op11_fill_in_middle,
     )
 }
 
@@ -110,6 +116,27 @@ ORACLES = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                sum(n)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op11_fill_in_middle": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+                   sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+            FROM documents),
+        drawn AS (
+            SELECT *, len(units)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+            FROM cut),
+        formed AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn),
+        parted AS (
+            SELECT *, coalesce(array_to_string(list_slice(units, 1, a), ''), '') AS p, coalesce(array_to_string(list_slice(units, a + 1, b), ''), '') AS m,
+                   coalesce(array_to_string(list_slice(units, b + 1, n), ''), '') AS s
+            FROM formed)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parted""",
     "op9_line_dedup": """
         WITH cut AS (
             SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS parts
