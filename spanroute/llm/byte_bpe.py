@@ -36,7 +36,7 @@ LATER = (
     "18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
     "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F "
 )
-_LATER = "[" + "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in LATER.split()) + "]"
+LATER_CLASS = "[" + "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in LATER.split()) + "]"
 
 
 class Transducer:
@@ -106,6 +106,10 @@ class Transducer:
             found = self.ends[node] = own + self.ending(self.fallback(node))
         return found
 
+    def merged(self, left: bytes, right: bytes) -> int:
+        """The rank of merging two neighbours, ``NEVER`` if they don't merge."""
+        return self.ranks.get(left + right, NEVER)
+
     def halves_of(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; none for one byte, and (-1, -1) if merging never makes it."""
         if (known := self.halves.get(token, 0)) != 0:
@@ -113,7 +117,7 @@ class Transducer:
         piece = self.bytes_of[token]
         parts, known = [piece[i : i + 1] for i in range(len(piece))], None
         while len(parts) > 1:
-            ranks = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            ranks = [self.merged(a, b) for a, b in zip(parts, parts[1:], strict=False)]
             best = ranks.index(min(ranks))
             if ranks[best] == NEVER:
                 known = (-1, -1)
@@ -136,7 +140,7 @@ class Transducer:
             return known
         a, b, limit, known = before, token, NEVER, None
         while known is None:
-            if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], NEVER) < limit:
+            if self.merged(self.bytes_of[a], self.bytes_of[b]) < limit:
                 known = False
                 break
             x, y = self.halves_of(a), self.halves_of(b)
@@ -208,7 +212,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.machine, self.pattern, self.known, self.older = Transducer(ranks), regex.compile(pattern), {}, {}
-        self.later = re.compile(_LATER)
+        self.later = re.compile(LATER_CLASS)
 
     def pieces(self, text: str) -> list[str]:
         if text.isascii() or not self.later.search(text):
@@ -218,7 +222,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         out = []
-        for part in _slices(text):
+        for part in slices(text):
             pieces, known = self.pieces(part), self.known
             for p in set(pieces).difference(known):
                 known[p] = self.older.get(p) or self.machine.encode(p.encode("utf-8", "surrogatepass"))
@@ -239,7 +243,7 @@ def decoder(path: str) -> Decoder:
     return Decoder(load_ranks(path))
 
 
-def _slices(text: str) -> Iterator[str]:
+def slices(text: str) -> Iterator[str]:
     """A text in parts, cut before a lone space between words, where no match goes on."""
     at, gap = 0, re.compile(r"(?<=\S) (?=\S)")
     while len(text) - at > SLICE:

@@ -85,11 +85,19 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill_report(table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_quality_classifier, op7_html_extraction,
-        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format, op11_fill_in_middle,
+        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format, op11_fill_in_middle, op12_token_counts,
     )
 }
 
