@@ -93,11 +93,18 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .structure_repair import damaged, repair_report
+
+    rows = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(rows), rows)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_exact_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_quality_classifier, op7_html_extraction,
-        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format, op11_fill_in_middle, op12_token_counts,
+        op8_simhash_near_dedup, op9_line_dedup, op10_chat_format, op11_fill_in_middle, op12_token_counts, op13_structure_repair,
     )
 }
 

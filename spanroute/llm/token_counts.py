@@ -107,7 +107,7 @@ class Counter(dict):
         return n
 
     def pieces(self, text: str) -> Iterator[str]:
-        found = text if text.isascii() else self.later.sub("￿", text)  # places are found with a stand-in of no class
+        found = text if text.isascii() else self.later.sub("\uFFFF", text)  # places are found with a stand-in of no class
         if found is text and len(text) <= 2 * SLICE:
             return iter(self.pattern.findall(text))
         return (text[m.start() : m.end()] for m in self.pattern.finditer(found))
