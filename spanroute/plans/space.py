@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from spanroute.functions import text as T
+from spanroute.operators import planar as P
 from spanroute.operators import spatial as S
 from spanroute.operators import tiers as D
 from spanroute.sinks.scratch import written
@@ -267,3 +268,103 @@ def g11(t: Tables):
 def h12(t: Tables):
     sizes = areas(t).select(F.col("place_id").alias("id"), ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) + 100).alias("area"))
     return S.core_of(overlapping(t), sizes)
+
+
+# Shapes of suppliers in whole degrees, and stops of customers in hundredths of one.
+SQL["blocks"] = """
+    SELECT s_suppkey, s_nationkey, s_suppkey * 37 % 290 - 150.0::DOUBLE AS x, s_suppkey * 53 % 120 - 60.0::DOUBLE AS y, 5.0::DOUBLE + s_suppkey % 20 AS w, 4.0::DOUBLE + s_suppkey % 11 AS h FROM supplier"""
+SQL["stops_at"] = "SELECT c_custkey, (c_custkey * 7919 % 36000) / 100.0::DOUBLE - 180 AS lon, (c_custkey * 104729 % 16000) / 100.0::DOUBLE - 80 AS lat FROM customer"
+
+
+def blocks(t: Tables):
+    k = F.col("s_suppkey")
+    return t.read("supplier").select("s_suppkey", "s_nationkey", (k * 37 % 290 - 150.0).alias("x"), (k * 53 % 120 - 60.0).alias("y"), (5.0 + k % 20).alias("w"), (4.0 + k % 11).alias("h"))
+
+
+def stops_at(t: Tables):
+    k = F.col("c_custkey")
+    return t.read("customer").select("c_custkey", ((k * 7919 % 36000) / 100.0 - 180).alias("lon"), ((k * 104729 % 16000) / 100.0 - 80).alias("lat"))
+
+
+def _box(x, y, w, h):
+    return F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))])
+
+
+def shapes(t: Tables):
+    """A block with a hole and, for each third supplier, a second part beside it, as well-known binary."""
+    x, y, w, h = (F.col(c) for c in "xywh")
+    first = F.array(_box(x, y, w, h), _box(x + 1, y + 1, w - 3, h - 3))
+    second = F.array(_box(x + w + 1, y, F.lit(2.0), F.lit(2.0)))
+    parts = F.when(F.col("s_suppkey") % 3 == 0, F.array(first, second)).otherwise(F.array(first))
+    return blocks(t).select("s_suppkey", "s_nationkey", P.encoded(parts).alias("geometry"))
+
+
+def plain_blocks(t: Tables):
+    x, y, w, h = (F.col(c) for c in "xywh")
+    return blocks(t).select("s_suppkey", "s_nationkey", P.encoded(F.array(F.array(_box(x, y, w, h)))).alias("geometry"))
+
+
+@query("J13_points_in_shapes", """
+    SELECT c_custkey, s_suppkey FROM stops_at JOIN blocks ON
+        (lon BETWEEN x AND x + w AND lat BETWEEN y AND y + h AND NOT (lon > x + 1 AND lon < x + w - 2 AND lat > y + 1 AND lat < y + h - 2))
+        OR (s_suppkey % 3 = 0 AND lon BETWEEN x + w + 1 AND x + w + 3 AND lat BETWEEN y AND y + 2)""")
+def j13c(t: Tables):
+    return P.covers(stops_at(t), written(shapes(t)), "c_custkey", "s_suppkey")
+
+
+@query("G4_repaired_shapes", """
+    SELECT s_suppkey, s_suppkey % 3 = 0 AS valid, round(CASE WHEN s_suppkey % 3 = 0 THEN w * h ELSE w * h / 2 END, 6) AS area FROM blocks""")
+def g4b(t: Tables):
+    """A block, or a bow-tie over it, which is to become two triangles."""
+    x, y, w, h = (F.col(c) for c in "xywh")
+    bow = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y), (x + w, y + h), (x + w, y), (x, y + h))])
+    made = written(blocks(t).select("s_suppkey", P.encoded(F.array(F.array(F.when(F.col("s_suppkey") % 3 == 0, _box(x, y, w, h)).otherwise(bow)))).alias("geometry")))
+    done = P.layered(P.repaired(made, "s_suppkey"), "s_suppkey")
+    return P.check(made, "s_suppkey").join(P.areas(done, "s_suppkey"), "s_suppkey").select("s_suppkey", "valid", F.round("area", 6).alias("area"))
+
+
+SQL["members"] = "SELECT s_nationkey, s_suppkey, s_suppkey * 37 % 40 AS x0, s_suppkey * 53 % 25 AS y0, s_suppkey * 37 % 40 + 5 + s_suppkey % 20 AS x1, s_suppkey * 53 % 25 + 4 + s_suppkey % 11 AS y1 FROM supplier"
+
+
+def members(t: Tables):
+    """A block for each member of a nation, of which many overlap."""
+    k = F.col("s_suppkey")
+    box = _box((k * 37 % 40).cast("double"), (k * 53 % 25).cast("double"), (5 + k % 20).cast("double"), (4 + k % 11).cast("double"))
+    return written(t.read("supplier").select("s_nationkey", "s_suppkey", P.encoded(F.array(F.array(box))).alias("geometry")))
+
+
+@query("G5_unions", """
+    WITH xs AS (SELECT s_nationkey, v AS x, lead(v) OVER (PARTITION BY s_nationkey ORDER BY v) AS nx FROM (SELECT s_nationkey, x0 AS v FROM members UNION SELECT s_nationkey, x1 FROM members)),
+    ys AS (SELECT s_nationkey, v AS y, lead(v) OVER (PARTITION BY s_nationkey ORDER BY v) AS ny FROM (SELECT s_nationkey, y0 AS v FROM members UNION SELECT s_nationkey, y1 FROM members)),
+    held AS (SELECT DISTINCT s_nationkey, x, nx, y, ny FROM xs JOIN ys USING (s_nationkey) JOIN members USING (s_nationkey) WHERE x0 <= x AND nx <= x1 AND y0 <= y AND ny <= y1)
+    SELECT s_nationkey, round(sum((nx - x) * (ny - y))::DOUBLE, 6) AS area FROM held GROUP BY s_nationkey""")
+def g5(t: Tables):
+    edge = P.union(members(t), "s_nationkey")
+    return P.areas(edge, "s_nationkey").select("s_nationkey", F.round("area", 6).alias("area"))
+
+
+@query("G5_member_unions")
+def g5b(t: Tables):
+    """Unions of members, holes filled but around other nations' cities; a city stands in the middle of each member's block."""
+    k = F.col("s_suppkey")
+    cities = t.read("supplier").select(F.col("s_suppkey").alias("city"), (k * 37 % 40 + (5 + k % 20) / 2).alias("lon"), (k * 53 % 25 + (4 + k % 11) / 2).alias("lat"), F.col("s_nationkey").alias("owner"))
+    whole = written(P.member_union(members(t), cities, "s_nationkey"))
+    rings = P.rings_of(whole, "s_nationkey", "geometry").groupBy("s_nationkey").agg(F.count_if(F.col("ring") == 0).alias("parts"), F.count_if(F.col("ring") > 0).alias("holes"))
+    return P.areas(P.layered(whole, "s_nationkey"), "s_nationkey").join(rings, "s_nationkey").select("s_nationkey", F.round("area", 6).alias("area"), "parts", "holes")
+
+
+@query("G6_cores", "SELECT s_suppkey, round(CASE WHEN least(w, h) > 5 THEN (w - 5) * (h - 5) ELSE w * h END, 6) AS area FROM blocks")
+def g6(t: Tables):
+    return P.areas(P.core(plain_blocks(t), "s_suppkey", 2.5), "s_suppkey").select("s_suppkey", F.round("area", 6).alias("area"))
+
+
+@query("G6_grown", "SELECT s_suppkey, round(w * h + w + h + 8 * 0.25 * sin(pi() / 8), 5) AS area FROM blocks")
+def g6b(t: Tables):
+    return P.areas(P.grown(plain_blocks(t), "s_suppkey", 0.5), "s_suppkey").select("s_suppkey", F.round("area", 5).alias("area"))
+
+
+@query("G11_clear_of_borders", """
+    WITH d AS (SELECT c_custkey, s_nationkey, greatest(x - lon, 0, lon - x - w) * 6371.0088 * pi() / 180 * cos(radians(lat)) AS dx, greatest(y - lat, 0, lat - y - h) * 6371.0088 * pi() / 180 AS dy FROM stops_at CROSS JOIN blocks)
+    SELECT c_custkey, min(s_nationkey) AS s_nationkey FROM d WHERE sqrt(dx * dx + dy * dy) <= 40 GROUP BY c_custkey HAVING count(DISTINCT s_nationkey) = 1""")
+def g11b(t: Tables):
+    return P.clear(stops_at(t), written(plain_blocks(t)), "s_nationkey", "c_custkey", "s_suppkey", 40.0)
