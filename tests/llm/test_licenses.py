@@ -77,3 +77,60 @@ def test_wrapped_texts(spark):
     titles = ["Apache License\n   Version 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright", "Mozilla Public License Version 2.0\n====\n", "Creative Commons Legal Code\n\nCC0 1.0 Universal\n", "This project is released under the MIT license.", "An end of the line:\nLicensed under CC BY 4.0\nand more"]
     got = [r.licences for r in scan_licenses(spark.createDataFrame(list(enumerate(titles)), "doc_id long, text string").coalesce(1)).sort("doc_id").collect()]
     assert got == ["Apache-2.0", "GPL-3.0-only", "MPL-2.0", "CC0-1.0", "MIT", "CC-BY-4.0"]
+
+
+def test_known_sentences_hold_a_hint():
+    from spanroute.llm import licenses as L
+
+    assert [t for _, t in KNOWN if not any(w.split()[-1] in t for w in L.WORDS)] == []
+    assert len(KNOWN) < 5_000
+
+
+def bsd3(owner):
+    return WRAPPED["BSD-3-Clause"].replace("Some Body, Inc", owner)
+
+
+SAID = {
+    "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later", "/* SPDX-License-Identifier: MIT OR Apache-2.0 */": "Apache-2.0 OR MIT",
+    "License: MIT": "MIT", "## License: BSD-3-Clause": "BSD-3-Clause", '  "license": "ISC",': "ISC", "Licence: MPL-2.0": "MPL-2.0", "MIT licensed.": "MIT", "MIT License": "MIT",
+    "This project is licensed under the MIT License - see the [LICENSE](LICENSE) file for details.": "MIT", "Released under the [MIT License](LICENSE).": "MIT", "Licensed under the terms of the MIT license.": "MIT",
+    "The code is available under the Boost Software License, Version 1.0.": "BSL-1.0", "This program is distributed under the Eclipse Public License 2.0.": "EPL-2.0", "Released under the zlib license": "Zlib",
+    "Licensed under CC BY-SA 3.0": "CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0", "https://creativecommons.org/licenses/by-nc/4.0/": "CC-BY-NC-4.0",
+    "To view a copy of this license, visit http://creativecommons.org/licenses/by-nd/2.5/": "CC-BY-ND-2.5", "https://creativecommons.org/publicdomain/zero/1.0/": "CC0-1.0", "Available under the SIL Open Font License, Version 1.1.": "OFL-1.1",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:": "Zlib",
+    "The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.": "GPL-3.0-only", '"This License" refers to version 3 of the GNU General Public License.': "GPL-3.0-only",
+    "The licenses for most software are designed to take away your\nfreedom to share and change it.": "GPL-2.0-only", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.": "Apache-2.0",
+    "This version of the GNU Lesser General Public License incorporates\nthe terms and conditions of version 3 of the GNU General Public\nLicense, supplemented by the additional permissions listed below.": "LGPL-3.0-only",
+    "Each Contributor hereby grants You a world-wide, royalty-free,\nnon-exclusive license:": "MPL-2.0", "we talked about a license and software": "", "the license: is one": "",
+}
+
+
+def test_owners_and_notices(spark):
+    """Owners with full stops in their names, tags, links, notices, addresses and bodies without titles."""
+    owners = ["Google Inc.", "Acme Ltd.", "the Foo Project", "The Regents of the University of California", "Foo, Bar & Co. e.V.", "A. B. Smith"]
+    rows = []
+    for owner in owners:
+        for width in (40, 76):
+            for lead in ("", " * ", "# "):
+                lines = [x for part in bsd3(owner).split("\n\n") for x in [*textwrap.wrap(part.strip(), width), ""]]
+                rows.append(("BSD-3-Clause", "\n".join((lead + x).rstrip() for x in lines)))
+    author = WRAPPED["BSD-3-Clause"].rsplit("3.", 1)[0] + "3. The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."
+    rows += [("BSD-3-Clause", author), *((v, f"Some words.\n\n{k}\n\nMore words.") for k, v in SAID.items())]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in scan_licenses(docs).collect()}
+    assert {t[:60]: (want, got[i]) for i, (want, t) in enumerate(rows) if got[i] != want} == {}
+
+
+def test_sql_says_the_same(spark, tmp_path):
+    import duckdb
+
+    from spanroute.llm.licenses import oracle
+
+    texts = [*SAID, *WRAPPED.values(), *(bsd3(o).replace(" name ", "\n  * name ") for o in ("Google Inc.", "X")), "[a](b)\n[c](\nd)", "see the license", "x see the copying", None, "License : [MIT](x) see the license -"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    con = duckdb.connect()
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = con.execute(oracle())
+    got = scan_licenses(docs).select(*[d[0] for d in want.description])
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
