@@ -59,13 +59,41 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 def schema_paths(record: Column) -> Column:
     """The sorted nested field paths of a JSON record with their types, as one text.
 
-    The record's schema, as the variant functions give it, lists fields by name; a layout
-    is told by the schema text of its paths alone, whatever the order of a record's fields.
-    Strings are cut to some 64 characters first, as a schema doesn't depend on more, and
-    the parser takes no string of 20 million characters.
+    The variant functions give the schema of each single field and of each element of a list,
+    whose fields are then put together; no variant holds the whole record, which may be larger
+    than one can be. A layout is told by the schema text of its paths alone, whatever the
+    order of a record's fields. Strings are cut to some 64 characters first, as a schema
+    doesn't depend on more. A null among a list's texts counts as text.
     """
     short = F.regexp_replace(record, r'"((?:[^"\\]|\\u[0-9a-fA-F]{4}|\\[^u]){0,64}+)[^"\\]*+(?:\\.[^"\\]*+)*+"', r'"$1"')
-    return F.schema_of_variant(F.try_parse_json(short))
+    lists = {x["list"][0] for x in LAYOUTS if "list" in x}
+    singles = {p.partition(":")[0] for x in LAYOUTS if "fields" in x for p in x["paths"]}
+    kinds = [f"`{n}`: array<variant>" for n in sorted(lists)] + [f"`{n}`: variant" for n in sorted(singles)]
+
+    def fields(schema: Column) -> Column:
+        inner = F.replace(F.substring(schema, F.lit(8), F.length(schema) - 8), F.lit(": VOID"), F.lit(": STRING"))
+        return F.when(F.startswith(schema, F.lit("OBJECT<")), F.split(inner, ", ")).otherwise(F.array(schema))
+
+    def merged(elements: Column) -> Column:
+        each = F.array_distinct(F.transform(elements, F.schema_of_variant))
+        return F.concat(F.lit("ARRAY<OBJECT<"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform(each, fields)))), ", "), F.lit(">>"))
+
+    def paths(both: Column) -> Column:
+        read, known = both["read"], F.lit("?")
+        at = [(n, F.when(F.size(read[n]) > 0, merged(read[n])).otherwise("ARRAY<VOID>")) for n in sorted(lists)] + [(n, F.schema_of_variant(read[n])) for n in sorted(singles)]
+
+        def kind(key: Column) -> Column:
+            out = known
+            for name, text in at:
+                out = F.when(key == name, F.coalesce(text, F.lit("VOID"))).otherwise(out)
+            return F.concat(key, F.lit(": "), out)
+
+        return F.concat(F.lit("OBJECT<"), F.array_join(F.transform(F.array_sort(both["keys"]), kind), ", "), F.lit(">"))
+
+    def parsed(text: Column) -> Column:
+        return F.struct(F.json_object_keys(text).alias("keys"), F.from_json(text, f"struct<{', '.join(kinds)}>").alias("read"))
+
+    return _let(_let(short, parsed), paths)
 
 
 def _schema_text(paths: list[str]) -> str:
@@ -116,7 +144,7 @@ def to_turns(records: DataFrame, id_col: str = "id", record_col: str = "record")
 
     The hash of a record's nested field paths selects the mapping from LAYOUTS. Turns are
     null where no layout has that fingerprint, or the record is null or no JSON. Null texts
-    count as empty, null roles as user. Texts may be as long as a row. Other columns are
+    count as empty, null roles as user. Texts may be as long as a row, and turns as many as fit in one. Other columns are
     left out.
     """
     rows = pick(records, id_col, record_col).toDF("id", "record").withColumn("fingerprint", fingerprint(F.col("record")))

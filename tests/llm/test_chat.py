@@ -107,3 +107,25 @@ def test_very_long_texts_and_very_many_turns(spark):
         assert sorted(tuple(r)[:5] for r in C.format_report(table).collect()) == plain(rows)
         spans[n] = time.time() - began
     assert spans[100_000] < 20 * max(spans[10_000], 1)
+
+
+def test_records_beyond_the_size_of_a_variant(spark):
+    """3,300,000 turns are one record of over 128 MiB even with its strings cut, told by its schema and read whole."""
+    n = 3_300_000
+    one = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"), F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"))
+    records = C.records_of(one)
+    assert records.select(F.length("record")).first()[0] > 140_000_000
+    got = C.to_turns(records).select(F.size("turns").alias("n"), F.element_at("turns", -1).alias("t"), F.element_at("turns", 12_346).alias("u")).first()
+    assert (got.n, got.t.role, got.t.text, got.u.text) == (n, "assistant", "turn 3299999", "turn 12345")
+
+
+def test_schemas_of_lists(spark):
+    """Fields of all elements count together: one more anywhere is another schema, a missing or null text is not."""
+    lists = [
+        ([{"role": "user", "content": "a"}, {"role": "assistant"}], [("user", "a"), ("assistant", "")]), ([{"role": "user", "content": None}, {"role": "assistant", "content": "b"}], [("user", ""), ("assistant", "b")]),
+        ([{"role": "user", "content": "a"}, {"role": "assistant", "content": "b", "name": "x"}], None), ([{"role": "user", "content": 5}], None), ([], None), ("text", None), ([{"role": "user", "content": "a"}, "b"], None),
+    ]
+    rows = [(i, json.dumps({"messages": x})) for i, (x, _) in enumerate(lists)]
+    rows += [(90, '{"messages": [{"role": "user", "content": "a"}], "more": 1}'), (91, '{"prompt": "a", "completion": 7}'), (92, "[1]"), (93, '{"prompt": "a"'), (94, "{}")]
+    got = {r.id: r.turns and [tuple(t) for t in r.turns] for r in C.to_turns(spark.createDataFrame(rows, "id long, record string")).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(lists)} | dict.fromkeys(range(90, 95))
