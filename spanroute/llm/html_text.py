@@ -218,9 +218,9 @@ def _guilty(nodes: list[Node], weights: np.ndarray, strong: np.ndarray) -> list[
     return own
 
 
-def _region(nodes: list[Node], weights: np.ndarray, headings: np.ndarray) -> tuple[list[int], bool]:
+def _region(nodes: list[Node], weights: np.ndarray, headings: np.ndarray) -> tuple[list[int], bool, list[int]]:
     """The nodes side by side that hold the text: the innermost container that holds most of
-    the content and no fewer headlines, or the articles that do together; whether it's articles.
+    the content and no fewer headlines, or the articles that do together; whether it's articles; what these stand in.
     An article with all headlines needs a smaller share. An article isn't entered further."""
     inside: list[list[int]] = [[] for _ in nodes]
     box = [0] * len(nodes)  # the nearest container around
@@ -233,7 +233,7 @@ def _region(nodes: list[Node], weights: np.ndarray, headings: np.ndarray) -> tup
         own = [i for k in kept for i in inside[k]]
         best = max(own, key=lambda i: (weights[i], -i), default=None)
         if best is None:
-            return kept, False
+            return kept, False, kept
         headed = next((i for i in own if nodes[i].tag == "article" and 0 < seen == headings[i] and weights[i] >= HEADED * held), None)
         best = best if headed is None else headed
         tag, new = nodes[best].tag, [best]
@@ -242,12 +242,21 @@ def _region(nodes: list[Node], weights: np.ndarray, headings: np.ndarray) -> tup
             new = [i for i in own if i == best or nodes[i].tag == "article" and (weights[best] < MOST * held or weights[i] >= FAIR * held)]
         within = sum(weights[i] for i in new)
         if within < MOST * held and tag != "body" and headed is None:
-            return kept, False
+            return kept, False, kept
         if tag not in ("article", "main", "body") and sum(headings[i] for i in new) < seen:
-            return kept, False
-        kept, held, seen = new, within, sum(headings[i] for i in new)
+            return kept, False, kept
+        around, kept, held, seen = kept, new, within, sum(headings[i] for i in new)
         if tag == "article":
-            return kept, True
+            return kept, True, around
+
+
+def _headline(nodes: list[Node], lines: list[Line], depth: np.ndarray, around: list[int]) -> int:
+    """The line of the last heading before an article without one, right in what the article stands in or in a box there; else -1."""
+    first = next((i for i, x in enumerate(lines) if depth[x.node]), 0)
+    if any(x.heading and depth[x.node] for x in lines):
+        return -1
+    near = [i for i in range(first) if lines[i].heading and (lines[i].node in around or nodes[lines[i].node].parent in around)]
+    return near[-1] if near else -1
 
 
 def main_text(html: str | None) -> str:
@@ -282,9 +291,14 @@ def main_text(html: str | None) -> str:
         lines, content, weights, strong = (list(v) for v in zip(*rows, strict=True))
     if not any(weights):
         weights = [len(x.text) for x in lines]
-    kept, article = _region(nodes, _within(nodes, lines, weights), _within(nodes, lines, [x.heading for x in lines]))
-    spans = [(k, nodes[k].last) for k in kept]
-    rows = [(x, c, s) for x, c, s in zip(lines, content, strong, strict=True) if any(a <= x.node <= b for a, b in spans)]
+    kept, article, around = _region(nodes, _within(nodes, lines, weights), _within(nodes, lines, [x.heading for x in lines]))
+    depth = np.zeros(len(nodes) + 1, np.int64)  # how many of the kept nodes are around each
+    for k in kept:
+        depth[k] += 1
+        depth[nodes[k].last + 1] -= 1
+    depth = depth.cumsum()
+    headline = _headline(nodes, lines, depth, around) if article and len(kept) == 1 else -1
+    rows = [(x, c, s) for i, (x, c, s) in enumerate(zip(lines, content, strong, strict=True)) if depth[x.node] or i == headline]
     lines, content, strong = (list(v) for v in zip(*rows, strict=True))
     box = list(range(len(nodes)))  # the nearest box around, so that the cells of a table count with what is around it
     for i, n in enumerate(nodes[1:], 1):
@@ -298,7 +312,7 @@ def main_text(html: str | None) -> str:
         beside = box[x.node] in full
         ends = stops[0] <= i <= stops[-1]
         if article:
-            stays = beside or not x.linked
+            stays = beside or not x.linked or i == 0 and headline >= 0
         else:
             stays = ends and (beside and (content[i] or not x.linked) or not x.linked and (content[i] or x.heading))
         if stays:

@@ -101,3 +101,22 @@ def test_markup_without_an_end(start):
     began = time.process_time()
     assert H.main_text(f"<p>{LONG}</p>" + start + "a<b " * 1_000_000) == LONG.strip()
     assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize("page", [
+    "<main><h1>Headline</h1><article><p>{0}</p><p>{0}</p></article></main>", "<div><h1>Headline</h1><article><p>{0}</p><p>{0}</p></article></div>",
+    "<header><h1>Site</h1></header><main><h2>Section</h2><div><h1>Headline</h1></div><article><p>{0}</p><p>{0}</p></article><h2>More</h2></main>",
+    "<main><h1>Site</h1><article><h1>Headline</h1><p>{0}</p><p>{0}</p></article></main>",
+])
+def test_headline_beside_an_article(page):
+    assert H.main_text(page.format(LONG)) == " ".join(["Headline", LONG.strip(), LONG.strip()])
+
+
+def test_very_many_articles():
+    took = {}
+    for n in (2_000, 20_000):
+        page = "<main>" + f"<article><p>{LONG}</p></article>" * n + "</main>"
+        began = time.process_time()
+        assert len(H.main_text(page)) == n * (len(LONG.strip()) + 1) - 1
+        took[n] = time.process_time() - began
+    assert took[20_000] < 15 * max(took[2_000], 0.2)
