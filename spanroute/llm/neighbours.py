@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterable, Iterator
 
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import materialize, pick
 from .components import connected_components
 
+log = logging.getLogger(__name__)
+
 #: Links need this cosine; neighbour lists hold neighbours from RELAXED on, of which links of links are made.
 THRESHOLD, RELAXED = 0.98, 0.85
 #: Neighbours in a list, vectors compared in a starting block, members joined around one vector, tables of starting blocks.
@@ -20,8 +23,9 @@ NEIGHBOURS, BLOCK, LOCAL, TABLES = 16, 256, 64, 10
 ROUNDS, REPEATS = 4, 3
 #: So many vectors at first, drawn from all, are compared with all others to audit recall, which must reach RECALL or the search goes on.
 AUDIT, RECALL = 512, 0.995
-#: More are drawn, up to MOST times AUDIT at once, until so many have links; fewer don't tell whether RECALL is reached.
-ENOUGH, MOST = 200, 16
+#: More are drawn, up to MOST times AUDIT at once, until ENOUGH have links, but LIMIT times AUDIT at most: where links are
+#: as rare as that, so is what could be missed, and an audit of all would grow with the square of the table.
+ENOUGH, MOST, LIMIT = 200, 16, 16
 #: Members of a component compared at a time.
 TILE = 256
 PLANES = 24
@@ -178,7 +182,7 @@ def audit(placed: DataFrame, draws: int, first: int, last: int) -> tuple[DataFra
     draw = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(draws))
     by_key: dict = {}
     for r in placed.where(draw.between(first, last)).select("node", "label", "vec", "root").toLocalIterator():
-        by_key.setdefault((r["label"], len(r["vec"])), []).append((r["node"], r["root"], np.array(r["vec"], np.float32)))
+        by_key.setdefault((r["label"], len(r["vec"])), []).append((r["node"], r["root"], np.array(r["vec"], np.float64)))
     sent = spark.sparkContext.broadcast({k: (np.array([n for n, _, _ in v]), np.array([x for _, x, _ in v]), _unit(pd.Series([x for _, _, x in v]))) for k, v in by_key.items()})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,11 +266,14 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
             size = r["s"] or 0.0
         # Each search is audited on vectors not drawn before. Where even the last is short, all the others follow, which finds every link.
         step, there, whole, short = 1, 0, 0, False
-        while at < draws and (there < ENOUGH or short and seed == REPEATS - 1):
+        begun = at
+        while at < draws and (there < ENOUGH and at - begun < LIMIT or short and seed == REPEATS - 1):
+            step = step if short and seed == REPEATS - 1 else min(step, LIMIT - at + begun)
             lost, linked, full = audit(placed, draws, at, at + step - 1)
             placed = tied(placed, lost)
             there, whole, at, step = there + linked, whole + full, at + step, min(MOST, step * 4)
             short = short or whole < RECALL * there
+        log.info("search %d: %d of %d audited vectors with links have all of them in their component", seed + 1, whole, there)
         if not short or at >= draws:
             break
     many = placed.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")

@@ -107,3 +107,36 @@ def test_links_of_a_dense_group_are_not_written(spark, monkeypatch):
     assert written[0].where("not tie").count() <= N.TABLES * N.NEIGHBOURS * 1000
     assert sum(w.where("tie").count() for w in written) <= 2 * N.TABLES * 1000
     assert sum(w.count() for w in written[1:]) <= 5_000
+
+
+def test_double_vectors(spark, monkeypatch):
+    """Doubles beyond and below the range of floats, and cosines that floats would round over the threshold."""
+    monkeypatch.setattr(N, "AUDIT", 8)
+    rng = np.random.default_rng(5)
+    rows, angle = [], np.arccos(0.98)
+    for i in range(60):
+        a = rng.normal(size=6)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=6)
+        b -= (b @ a) * a
+        b /= np.linalg.norm(b)
+        for turn in (0.0, angle - 1e-10, angle + 1e-10):
+            scale = [1e200, 1e-200, 1.0][i % 3]
+            rows.append((len(rows), [float(v) for v in scale * (np.cos(turn) * a + np.sin(turn) * b)], i % 2))
+    got = {r.vec_id: r.n_links for r in N.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    unit = [np.array(v) / np.abs(v).max() for _, v, _ in rows]
+    unit = [v / np.linalg.norm(v) for v in unit]
+    assert got == {i: sum(j != i and rows[i][2] == rows[j][2] and unit[i] @ unit[j] >= 0.98 for j in range(len(rows))) for i in range(len(rows))}
+    assert {1, 2} <= set(got.values())
+
+
+def test_audits_of_tables_without_links_are_bounded(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(N, "AUDIT", 16)
+    monkeypatch.setattr(N, "LIMIT", 4)
+    real = N.audit
+    monkeypatch.setattr(N, "audit", lambda placed, draws, first, last: drawn.append(last - first + 1) or real(placed, draws, first, last))
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in rng.normal(size=24)], 0) for i in range(1_500)]
+    got = N.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == 1_500 and {r.n_links for r in got} == {0} and sum(drawn) == 4
