@@ -140,6 +140,53 @@ def identify(rows: DataFrame, concordance: DataFrame, next_id: int) -> DataFrame
     return found.join(minted, "key", "left").select("key", F.when(F.col("n") == 0, F.col("minted")).when(F.col("n") == 1, F.col("one")).alias("place_id"), outcome.alias("outcome"))
 
 
+def enlist(rows: DataFrame, concordance: DataFrame, places: DataFrame, detached: DataFrame, next_id: int) -> DataFrame:
+    """key, place_id, outcome of rows (key, kind, values) that join a registry one after the other, in the order of their keys.
+
+    ``concordance`` has value and place_id, ``places`` place_id and kind, ``detached``
+    place_id and values once taken from it. A row whose values name one place is that place,
+    if it is of the row's kind and none of the values was detached from it; the place gains the
+    others. A row that names none mints the next id, with all its values. Rows that name several
+    (``conflict``), one of another kind (``kind``) or one a value was detached from (``detached``),
+    and rows without values (``empty``), get no place, and their values stay free.
+
+    A value goes to the first row to take it and never changes hands, so a row only waits
+    for values that an earlier row, still open, may take. Each pass settles all rows that
+    wait for nothing; there are as many as rows wait for each other in a line.
+    """
+    values = F.array_distinct(F.filter(F.coalesce("values", F.array().cast("array<string>")), lambda v: v.isNotNull()))
+    all_ = written(rows.select("key", "kind", values.alias("values")))
+    open_ = all_.select("key", "kind", F.explode("values").alias("value"))
+    index = concordance.select("value", "place_id", F.lit(None).cast(all_.schema["key"].dataType).alias("minted")).distinct()
+    kinds = places.select(F.col("place_id").alias("_p"), F.lit(None).cast(all_.schema["key"].dataType).alias("_m"), F.col("kind").alias("_kind")).union(all_.select(F.lit(None).cast("string"), "key", "kind"))
+    settled, place = [], F.struct("place_id", "minted")
+    while True:
+        met = open_.join(index, "value", "left").withColumn("place", F.when(F.col("place_id").isNotNull() | F.col("minted").isNotNull(), place)).select("key", "kind", "value", "place")
+        first = met.where("place is null").groupBy("value").agg(F.min("key").alias("first"))
+        waits = F.max(F.coalesce(F.col("first") < F.col("key"), F.lit(False)))
+        seen = met.join(first, "value", "left").withColumn("first", F.when(F.col("place").isNull(), F.col("first")))
+        seen = seen.groupBy("key", "kind").agg(F.count_distinct("place").alias("n"), F.min("place").alias("place"), waits.alias("waits"), F.collect_set("value").alias("values"))
+        ready = written(seen.where("n > 1 or not waits"))
+        one = ready.where("n = 1").select("key", "kind", "place.place_id", "place.minted", F.explode("values").alias("value"))
+        gone = one.join(detached.select("place_id", "value").distinct(), ["place_id", "value"], "left_semi").select("key", F.lit(True).alias("gone")).distinct()
+        of = ready.join(kinds, F.col("place.place_id").eqNullSafe(F.col("_p")) & F.col("place.minted").eqNullSafe(F.col("_m")) & F.col("place").isNotNull(), "left").join(gone, "key", "left")
+        outcome = (
+            F.when(F.col("n") > 1, "conflict").when(F.col("n") == 0, "minted").when(~F.col("_kind").eqNullSafe(F.col("kind")), "kind").when(F.col("gone"), "detached").otherwise("identified")
+        )
+        done = of.select("key", outcome.alias("outcome"), F.col("place.place_id").alias("place_id"), F.coalesce("place.minted", F.when(F.col("n") == 0, F.col("key"))).alias("minted"), "values")
+        done = written(done)
+        settled.append(done)
+        good = done.where("outcome in ('minted', 'identified')").select(F.explode("values").alias("value"), "place_id", "minted")
+        index = written(index.union(good).distinct())
+        open_ = written(open_.join(done.select("key"), "key", "left_anti"))
+        if open_.isEmpty():
+            break
+    every = reduce(DataFrame.union, settled)
+    ids = numbered(every.where("outcome = 'minted'").select("key"), next_id).select(F.col("key").alias("minted"), F.col("minted").alias("id"))
+    found = every.join(ids, "minted", "left").withColumn("place_id", F.when(F.col("outcome").isin("minted", "identified"), F.coalesce("place_id", "id"))).select("key", "place_id", "outcome")
+    return found.union(all_.where(F.size("values") == 0).select("key", F.lit(None).cast("string"), F.lit("empty")))
+
+
 def survivors(registry: DataFrame) -> DataFrame:
     """place_id, live_id: every place of a registry (place_id, into) with the live one it was merged into, itself if live.
 

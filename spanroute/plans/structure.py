@@ -60,12 +60,12 @@ def h5(t: Tables):
 
 
 @query("H6_alias_stars", """
-    WITH c AS (SELECT DISTINCT p_partkey AS feed_id, p_partkey // 2 AS alias FROM part WHERE p_size > 30 AND p_partkey <> p_partkey // 2),
+    WITH c AS (SELECT DISTINCT p_partkey AS feed_id, p_partkey + p_size * 1000 AS alias FROM part),
     per AS (SELECT alias, count(*) AS n FROM c GROUP BY alias),
     bad AS (SELECT feed_id, bool_or(n > 1 OR alias IN (SELECT feed_id FROM c)) AS bad FROM c JOIN per USING (alias) GROUP BY feed_id)
     SELECT alias, feed_id FROM c WHERE feed_id IN (SELECT feed_id FROM bad WHERE NOT bad) AND feed_id NOT IN (SELECT alias FROM c)""")
 def h6(t: Tables):
-    claims = t.read("part").where("p_size > 30").select(F.col("p_partkey").alias("feed_id"), F.floor(F.col("p_partkey") / 2).alias("alias"))
+    claims = t.read("part").select(F.col("p_partkey").alias("feed_id"), (F.col("p_partkey") + F.col("p_size") * 1000).alias("alias"))
     return H.alias_stars(claims)
 
 
@@ -96,6 +96,19 @@ def h10(t: Tables):
     return H.identify(part.select(key.alias("key"), F.array(size, own).alias("values")), known, 1000)
 
 
+@query("H10_enlist")
+def h10_enlist(t: Tables):
+    """All parts as rows of which many share a brand and size, or a name, with others, against a registry of some."""
+    part, key = t.read("part"), F.col("p_partkey")
+    size, name = F.concat("p_brand", F.col("p_size").cast("string")), F.concat(F.lit("n"), (key % 700).cast("string"))
+    kind = F.when(F.col("p_size") % 3 > 0, "city").otherwise("region")
+    rows = part.select(key.alias("key"), kind.alias("kind"), F.array(size, name).alias("values"))
+    known = part.where("p_partkey % 700 < 50").select(name.alias("value"), F.concat(F.lit("tp_"), (key % 700).cast("string")).alias("place_id")).distinct()
+    places = known.select("place_id", F.lit("city").alias("kind"))
+    detached = part.where("p_partkey % 700 < 5").select(F.concat(F.lit("tp_"), (key % 700).cast("string")).alias("place_id"), size.alias("value"))
+    return H.enlist(rows, known, places, detached, 1000)
+
+
 def registry(t: Tables):
     """Suppliers as places: of each four in a row the last three are merged, one into another."""
     key = F.col("s_suppkey")
@@ -161,22 +174,22 @@ def j26(t: Tables):
     return up.union(declared.join(membership(t), "place_id").select("feed_id", "metro_id")).distinct()
 
 
-# Large feeds stop everywhere, others where many board, and else at a stop of their own.
-SQL["points"] = "SELECT DISTINCT feed_id, CASE WHEN l_suppkey % 10 = 0 OR l_quantity > 47 THEN l_partkey ELSE l_suppkey END % 200 AS point FROM facts"
-SQL["lines"] = "SELECT DISTINCT feed_id, CASE WHEN l_suppkey % 10 = 0 OR l_quantity > 47 THEN l_partkey // 2 ELSE l_suppkey // 2 END % 200 AS line FROM facts"
+# Every line is a stop of its feed, and of the part of the feed that its number in the order names.
+SQL["points"] = "SELECT DISTINCT feed_id, l_partkey AS point FROM facts UNION SELECT DISTINCT feed_id || '/' || l_linenumber, l_partkey FROM facts"
+SQL["lines"] = "SELECT DISTINCT feed_id, l_partkey // 2 AS line FROM facts UNION SELECT DISTINCT feed_id || '/' || l_linenumber, l_partkey // 2 FROM facts"
 
 
-def _at():
-    busy = (F.col("l_suppkey") % 10 == 0) | (F.col("l_quantity") > 47)
-    return F.when(busy, F.col("l_partkey")).otherwise(F.col("l_suppkey"))
+def _stops(t: Tables):
+    feeds = F.explode(F.array("feed_id", F.concat("feed_id", F.lit("/"), F.col("l_linenumber").cast("string"))))
+    return t.facts().select(feeds.alias("feed_id"), F.col("l_partkey").alias("point"))
 
 
 def points(t: Tables):
-    return written(t.facts().select("feed_id", (_at() % 200).alias("point")).distinct())
+    return written(_stops(t).distinct())
 
 
 def lines(t: Tables):
-    return written(t.facts().select("feed_id", (F.floor(_at() / 2) % 200).alias("line")).distinct())
+    return written(_stops(t).select("feed_id", F.floor(F.col("point") / 2).cast("long").alias("line")).distinct())
 
 
 @query("J20_containment", """
