@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from spanroute.sinks import snapshots as K
+from spanroute.sinks import stages as G
 from spanroute.sinks.scratch import fresh_path
 from spanroute.sources import files as S
 
@@ -112,6 +113,36 @@ def k2(t: Tables):
     return K.resolve(t.spark, root)["edges"].groupBy("feed_id").agg(F.count("*").alias("edges"))
 
 
+def _stages(least: int):
+    """Edges with their service, the largest of them, and counts by place and by feed."""
+    return [
+        G.Stage("service", ("facts",), lambda facts: facts.groupBy("feed_id", "place_id").agg(F.count("*").alias("stops"))),
+        G.Stage("large", ("service",), lambda service, least: service.where(F.col("stops") >= least), {"least": least}),
+        G.Stage("by_place", ("large",), lambda large: large.groupBy("place_id").agg(F.count("*").alias("feeds"))),
+        G.Stage("by_feed", ("service",), lambda service: service.groupBy("feed_id").agg(F.count("*").alias("places"))),
+    ]
+
+
+@query("R3_rerun_stages", """
+    WITH s AS (SELECT feed_id, place_id, count(*) AS stops FROM facts GROUP BY ALL), z AS (SELECT place_id, count(*) AS feeds FROM s WHERE stops >= 3 GROUP BY place_id)
+    SELECT 'service' AS stage, true AS reused, count(*) AS n FROM s UNION ALL SELECT 'large', false, count(*) FROM s WHERE stops >= 3
+    UNION ALL SELECT 'by_place', false, count(*) FROM z UNION ALL SELECT 'by_feed', true, count(DISTINCT feed_id) FROM s""")
+def r3(t: Tables):
+    """The run after a setting in the middle changed: what comes before and beside it is taken over."""
+    root, facts = fresh_path(t.spark), {"facts": t.facts().select("feed_id", "place_id", "l_orderkey", "l_linenumber")}
+    G.run_stages(t.spark, root, facts, _stages(2))
+    _, done = G.run_stages(t.spark, root, facts, _stages(3))
+    return t.spark.createDataFrame([(d.stage, d.reused, d.rows) for d in done], "stage string, reused boolean, n long")
+
+
+@query("R4_published_run", """
+    WITH s AS (SELECT feed_id, place_id, count(*) AS stops FROM facts GROUP BY ALL) SELECT place_id, count(*) AS feeds FROM s WHERE stops >= 2 GROUP BY place_id""")
+def r4(t: Tables):
+    root = fresh_path(t.spark)
+    G.publish_run(t.spark, root, {"facts": t.facts().select("feed_id", "place_id")}, _stages(2))
+    return K.resolve(t.spark, root)["by_place"]
+
+
 @query("K9_report_lines", "SELECT '| ' || replace(name, '_', chr(92) || '_') || ' | ' || n || ' |' AS line FROM places p JOIN (SELECT place_id, count(*) AS n FROM edges GROUP BY place_id) e ON e.place_id = p.place_id")
 def k9(t: Tables):
     from spanroute.functions.text import markdown_cell

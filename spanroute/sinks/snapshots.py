@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterable
 
@@ -61,17 +62,64 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r[0] for r in spark.read.text(path).collect())  # a manifest has a line per table
 
 
-def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str] | None = None, keep: int = 3, pinned: Iterable[str] = ()) -> str:
+def write_note(spark: SparkSession, path: str, said: dict) -> None:
+    _write_text(spark, path, json.dumps(said, sort_keys=True))
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """What :func:`write_note` wrote; null if it isn't there."""
+    fs, at = _fs(spark, path)
+    return json.loads(_read_text(spark, path)) if fs.exists(at) else None
+
+
+class Superseded(RuntimeError):
+    """Another writer has begun since."""
+
+
+def claim(spark: SparkSession, root: str) -> int:
+    """A number greater than that of every generation and every claim, which no other writer has.
+
+    It is a file that is created if it isn't there, which the file system does at once; of two
+    writers that try one number, one has it and the other tries the next.
+    """
+    number = max((int(g.split("-")[1]) for g in [*generations(spark, root), *_pointers(spark, root)]), default=-1)
+    number = max([number, *_claims(spark, root)]) + 1
+    while True:
+        if _created(spark, f"{root}/claims/claim-{number:08d}"):
+            return number
+        number += 1
+
+
+def _created(spark: SparkSession, path: str) -> bool:
+    """Whether an empty file was made here, by this call alone; a mounted folder's own call does that where Hadoop's looks first."""
+    fs, at = _fs(spark, path)
+    fs.mkdirs(at.getParent())
+    if at.toUri().getScheme() not in (None, "file"):
+        return fs.createNewFile(at)
+    try:
+        os.close(os.open(at.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+    except FileExistsError:
+        return False
+    return True
+
+
+def _claims(spark: SparkSession, root: str) -> list[int]:
+    return [int(n.split("-")[1]) for n in _names(spark, f"{root}/claims", "claim-")]
+
+
+def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str] | None = None, keep: int = 3, pinned: Iterable[str] = (), claimed: int | None = None) -> str:
     """Write a generation of tables below ``root`` with its manifest, then point to it; the newest ``keep`` stay.
 
     A reader finds the old generation or the new, never a part: the pointer is put last. A
     pointer is a file of its own in ``current``, named after its generation, of which the
     greatest counts, so none is ever replaced or missing. Generations count on from the
-    greatest present. The one that is current and those ``pinned`` (which something else
-    refers to) are never removed.
+    greatest present: each is numbered by a claim (see :func:`claim`), made here unless ``claimed``
+    gives one. If a greater claim is there once all is written, another writer has begun
+    since: nothing is published, and :class:`Superseded` raised. The one that is current and those ``pinned`` (which
+    something else refers to) are never removed.
     """
     spark = next(iter(tables.values())).sparkSession
-    number = max((int(g.split("-")[1]) for g in [*generations(spark, root), *_pointers(spark, root)]), default=-1) + 1
+    number = claim(spark, root) if claimed is None else claimed
     name = f"gen-{number:08d}-{uuid.uuid4().hex[:8]}"
     manifest = {}
     for table, rows in tables.items():
@@ -82,7 +130,15 @@ def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str]
         own = table_digest(spark.read.schema(rows.schema).parquet(f"{root}/{name}/{table}").select(*rows.columns)).first()
         manifest[table] = {"rows": own["rows"], "digest": own["digest"], "schema": rows.schema.json()}
     _write_text(spark, f"{root}/{name}/manifest.json", json.dumps(manifest, sort_keys=True))
+    if max(_claims(spark, root), default=number) > number:
+        fs, at = _fs(spark, f"{root}/{name}")
+        fs.delete(at, True)
+        raise Superseded(f"generation {number} of {root}: another writer has begun since")
     _write_text(spark, f"{root}/current/{name}", name)
+    for old in _claims(spark, root):
+        if old < number:  # the greatest stays, so that numbers go on from it
+            fs, at = _fs(spark, f"{root}/claims/claim-{old:08d}")
+            fs.delete(at, False)
     live = {name, current(spark, root), *pinned}
     for old in generations(spark, root)[: -keep or None]:
         if old not in live:
@@ -92,11 +148,11 @@ def publish(tables: dict[str, DataFrame], root: str, partitions: dict[str, str]
     return name
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
+def _names(spark: SparkSession, folder: str, begin: str = "gen-") -> list[str]:
     fs, at = _fs(spark, folder)
     if not fs.exists(at):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("gen-"))
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith(begin))
 
 
 def generations(spark: SparkSession, root: str) -> list[str]:
