@@ -200,7 +200,24 @@ class Transducer:
     def encode(self, piece: bytes) -> bytes:
         """The ids of a piece as little-endian unsigned 32-bit integers."""
         whole = self.ranks.get(piece)
-        return _packed((whole,) if whole is not None else [*self.stream(piece)])
+        return _packed((whole,) if whole is not None else self.short(piece) if len(piece) <= 4 * self.longest else [*self.stream(piece)])
+
+    def short(self, piece: bytes) -> list[int]:
+        """As :func:`stream` for a piece that ends before anything need be put out."""
+        node, held, move, ends, stays = ROOT, [-1], self.moves.get, self.ends.get, self.stays.get
+        for at, byte in enumerate(piece, 1):
+            node = move(node << 8 | byte) or self.move(node, byte)
+            for length, token in ends(node) or self.ending(node):
+                before = held[at - length]
+                if before < 0:
+                    if length == at:  # the piece begins here
+                        break
+                elif stays(before << 32 | token) or self.may_follow(before, token):
+                    break
+            else:
+                raise ValueError("these ranks have no way of merging")
+            held.append(token)
+        return self.path(held, len(piece))
 
 
 def _packed(ids: Sequence[int]) -> bytes:
