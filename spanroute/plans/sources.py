@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from spanroute.sinks import archives as Z
 from spanroute.sinks import snapshots as K
 from spanroute.sinks import stages as G
 from spanroute.sinks.scratch import fresh_path
+from spanroute.sources import archives as A
 from spanroute.sources import files as S
+from spanroute.sources.delimited import read_delimited
 
 from .bindings import Tables, query
 from .space import areas
@@ -20,6 +23,14 @@ def s1(t: Tables):
     return S.read_csv(t.spark, path, schema)
 
 
+@query("S1_csv_in_parts", r"""SELECT doc_id, nullif(trim(source), '') AS source, nullif(trim(text, chr(9) || chr(10) || chr(13) || ' '), '') AS text FROM documents""")
+def s1_parts(t: Tables):
+    """Whole texts, with quotes and line ends within cells, read back by splits that may begin in one."""
+    path, rows = fresh_path(t.spark), t.read("documents").select("source", "text", "doc_id")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return read_delimited(t.spark, path, rows.select("doc_id", "source", "text").schema)
+
+
 @query("S3_catalogue_rows", "SELECT p_partkey, CASE WHEN p_size < 40 THEN p_retailprice END AS price, [p_type, p_brand] AS kinds, CASE p_partkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS flag FROM part")
 def s3(t: Tables):
     k = F.col("p_partkey") % 3
@@ -83,6 +94,38 @@ def s14(t: Tables):
     return S.pinned(rows.drop("n_nationkey"), rows.where("n_nationkey % 2 = 0"))
 
 
+def _timetables(t: Tables) -> str:
+    """Archives of timetables, of 200 suppliers at most each: flat, in a folder with another beside it, or zipped in an archive."""
+    path, key = fresh_path(t.spark), F.col("s_suppkey")
+    rows = t.read("supplier").select("s_suppkey", "s_name", "s_acctbal", (key % 3).alias("kind"), F.floor(key / 600).alias("part"))
+    rows = rows.withColumn("archive", F.concat(F.lit("feed-"), F.col("kind").cast("string"), F.lit("-"), F.col("part").cast("string")))
+    cells = F.concat_ws(",", F.concat(F.lit('"'), "s_name", F.lit('\n"')), F.lit(" "), F.col("s_suppkey").cast("string"), F.col("s_acctbal").cast("string"))
+    text = F.concat(F.lit("stop_name,zone,stop_id,value\n"), F.array_join(F.sort_array(F.collect_list(cells)), "\n"))
+    stops = rows.groupBy("archive", "kind").agg(text.alias("text")).select("archive", "kind", F.when(F.col("kind") == 1, "gtfs/Stops.txt").otherwise("stops.txt").alias("member"), "text")
+    each = stops.select("archive", "kind").distinct()
+    routes = each.select("archive", "kind", F.when(F.col("kind") == 1, "gtfs/routes.txt").otherwise("routes.txt").alias("member"), F.lit("route_id\n").alias("text"))
+    deep = each.where("kind = 1").select("archive", "kind", F.lit("gtfs/old/stops.txt").alias("member"), F.lit("stop_id\nx\n").alias("text"))
+    members = stops.union(routes).union(deep).select("archive", "kind", "member", F.col("text").cast("binary").alias("content"))
+    inner = Z.zipped(members.where("kind = 2")).select("archive", F.lit("feed.zip").alias("member"), "content")
+    Z.write_archives(members.where("kind < 2").drop("kind").unionByName(inner), path)
+    return path
+
+
+@query("S16_ranged_members", "SELECT s_suppkey AS stop_id, s_name AS stop_name, s_acctbal AS value FROM supplier")
+def s16(t: Tables):
+    found = A.chosen(A.directory(t.spark, _timetables(t)), ["stops.txt", "routes.txt"])
+    rows = A.read_table(found.where("name = 'stops.txt'"), ["stop_id", "stop_name", "value"])
+    return rows.select(F.col("stop_id").cast("bigint").alias("stop_id"), "stop_name", F.col("value").cast("double").alias("value"))
+
+
+@query("S17_root_files", """
+    SELECT DISTINCT 'feed-' || (s_suppkey % 3) || '-' || (s_suppkey // 600) || '.zip' AS archive, CASE s_suppkey % 3 WHEN 1 THEN ['Stops.txt', 'routes.txt'] ELSE ['routes.txt', 'stops.txt'] END AS files,
+        ['routes.txt'] AS empty_files FROM supplier""")
+def s17(t: Tables):
+    listed = A.root_files(A.directory(t.spark, _timetables(t)), ["stops.txt", "routes.txt"])
+    return listed.select(F.substring_index("path", "/", -1).alias("archive"), "files", "empty_files")
+
+
 @query("S18_answers", """
     SELECT d.doc_id, quality, CASE WHEN quality IS NOT NULL THEN 'known' WHEN page_id IS NOT NULL THEN 'absent' ELSE 'pending' END AS state FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN pages p ON p.page_id = d.doc_id""")
 def s18(t: Tables):
