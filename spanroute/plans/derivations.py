@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from spanroute.functions import text as T
 from spanroute.operators import aggregates as G
 from spanroute.operators import hierarchy as H
+from spanroute.operators import notices as N
 from spanroute.operators import ranking as R
 from spanroute.operators import spatial as S
 
@@ -238,3 +239,57 @@ def e13(t: Tables):
 def q13(t: Tables):
     fit = G.least_squares(t.read("lineitem"), "l_extendedprice", ["l_quantity"])
     return fit.select(F.round(F.col("b0") + 30 * F.col("b1"), 2).alias("minutes"))
+
+
+OPENINGS = {"geometry": "Geometry from:", "catalogue": "Catalogues:", "provider": "Providers of keys:", "licence": "Licence:"}
+
+
+def _notices(t: Tables):
+    """A notice for each thousand suppliers of a nation, which credits sources and providers of keys."""
+    k = F.col("s_suppkey")
+    rows = t.read("supplier").select("s_name", k, F.concat_ws("-", F.col("s_nationkey").cast("string"), F.floor(k / 1000).cast("string")).alias("build"), "s_nationkey", (k % 20).cast("string").alias("p"))
+    feeds = F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("\n      feed: "), "s_name"))), "")
+    entry = F.concat(F.lit("\n  - p"), "p", F.lit(": Provider "), "p", F.lit("\n      notice: data of "), "p", feeds)
+    each = rows.groupBy("build", "s_nationkey", "p").agg(entry.alias("entry"))
+    lines = each.groupBy("build", "s_nationkey").agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("\n  - source "), "p"))), "").alias("sources"), F.array_join(F.sort_array(F.collect_list("entry")), "").alias("entries"))
+    text = F.concat(F.lit("Geometry from:\n\n"), F.substring("sources", 2, 1 << 30), F.lit("\n\nCatalogues:\n  - nation "), F.col("s_nationkey").cast("string"), F.lit("\n\nProviders of keys:"), "entries", F.lit("\n\nLicence: open\n"))
+    return lines.select("build", F.when(F.col("s_nationkey") % 7 == 3, F.concat(text, F.lit("\nA word more.\n"))).otherwise(text).cast("binary").alias("content"))
+
+
+SQL["built"] = "SELECT s_name, s_suppkey % 20 AS p, s_nationkey AS n, s_nationkey || '-' || (s_suppkey // 1000) AS build FROM supplier"
+
+
+@query("E34_merged_credits", """
+    SELECT 'geometry' AS section, '  - source ' || p AS item, count(DISTINCT build) AS builds FROM built WHERE n % 7 <> 3 GROUP BY ALL
+    UNION ALL SELECT 'catalogue', '  - nation ' || n, count(DISTINCT build) FROM built WHERE n % 7 <> 3 GROUP BY ALL
+    UNION ALL SELECT 'provider', '  - p' || p || ': Provider ' || p, count(DISTINCT build) FROM built WHERE n % 7 <> 3 GROUP BY ALL""")
+def e34_items(t: Tables):
+    notices = _notices(t)
+    blocks = N.paragraphs(notices, OPENINGS)
+    bad = N.refused(notices, blocks, ["geometry", "catalogue", "licence"]).select("build")
+    return N.merged_items(blocks.join(bad, "build", "left_anti"))
+
+
+@query("E34_refused_notices", "SELECT DISTINCT build, 'unknown paragraph: A word more.' AS reason FROM built WHERE n % 7 = 3")
+def e34_refused(t: Tables):
+    notices = _notices(t)
+    return N.refused(notices, N.paragraphs(notices, OPENINGS), ["geometry", "catalogue", "licence"])
+
+
+@query("E34_provider_credits", """
+    SELECT 'p' || p AS provider, 'Provider ' || p AS name, 'feed' AS kind, s_name AS line, count(DISTINCT build) AS builds FROM built GROUP BY ALL
+    UNION ALL SELECT 'p' || p, 'Provider ' || p, 'notice', 'data of ' || p, count(DISTINCT build) FROM built GROUP BY ALL""")
+def e34_providers(t: Tables):
+    rows = N.entries(N.paragraphs(_notices(t), OPENINGS), "provider", "^  - ([^:]+): (.+)$", {"      feed: ": "feed", "      notice: ": "notice"})
+    return N.merged_entries(rows).withColumnRenamed("key", "provider")
+
+
+@query("E34_partition_conflicts", """
+    SELECT 'L' || s_nationkey AS label, 'a ' || s_name AS id, 'label not listed' AS what FROM supplier WHERE s_nationkey >= 20
+    UNION ALL SELECT 'L' || n_nationkey, NULL, 'no digests' FROM nation WHERE n_nationkey % 6 = 5 AND n_nationkey < 20""")
+def e34_partition(t: Tables):
+    key = F.col("n_nationkey")
+    digests = F.when(key % 6 == 5, F.array(F.lit("none"))).otherwise(F.array(F.sha2("n_name", 256)))
+    labels = t.read("nation").where(key < 20).select(F.concat(F.lit("L"), key.cast("string")).alias("label"), digests.alias("digests"))
+    assigned = t.read("supplier").select(F.lit("a").alias("catalogue"), F.col("s_name").alias("id"), F.concat(F.lit("L"), F.col("s_nationkey").cast("string")).alias("label"))
+    return N.partition_conflicts(labels, assigned)
