@@ -13,16 +13,6 @@ def count_map(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
     return one.groupBy(*keys).agg(F.map_from_entries(pairs).alias("counts"))
 
 
-def nearest_rank(value: str, share: float) -> Column:
-    """The element at ``round_half_even(share * (n - 1))`` of the sorted values, not interpolated.
-
-    Values are counted first (percentile_disc with weights would interpolate ranks), so the
-    list is that of one group, which the caller keeps bounded.
-    """
-    ordered = F.array_sort(F.collect_list(value))
-    return F.get(ordered, F.bround(F.lit(share) * (F.count(value) - 1)).cast("int"))
-
-
 def quartiles(value: str) -> list[Column]:
     q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return [q[i].alias(f"q{i + 1}") for i in range(3)]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import running
+
 
 def apply_edits(edges: DataFrame, edits: DataFrame) -> DataFrame:
     """Edges (feed_id, place_id, tier) after edits (edit_id, feed_id, place_id, action, tier); null targets mean any.
@@ -102,9 +104,8 @@ def not_once(rows: DataFrame, key: str, label: str, all_keys: DataFrame) -> Data
 
 def partition_labels(rows: DataFrame, country: str, order: str, cap: int) -> DataFrame:
     """``label`` of each row: its country, in ceil(n / cap) even parts in ``order`` where it has more than ``cap`` rows."""
-    own = Window.partitionBy(country)
-    parts = F.ceil(F.count("*").over(own) / cap)
-    nth = F.row_number().over(own.orderBy(order))
-    part = F.floor((nth - 1) * parts / F.count("*").over(own)) + 1
+    out = running(rows, country, order)
+    parts = F.ceil(F.col("total") / cap)
+    part = F.floor((F.col("upto") - 1) * parts / F.col("total")) + 1
     name = F.coalesce(country, F.lit("other"))
-    return rows.withColumn("label", F.when(parts > 1, F.concat(name, F.lit("-"), part.cast("string"))).otherwise(name))
+    return out.withColumn("label", F.when(parts > 1, F.concat(name, F.lit("-"), part.cast("string"))).otherwise(name)).drop("upto", "total")

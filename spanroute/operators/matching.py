@@ -30,16 +30,26 @@ def jaccard(a: Column, b: Column) -> Column:
 def similar(left: DataFrame, right: DataFrame, left_id: str, right_id: str, block: str, tokens: str, least: float = 0.8) -> DataFrame:
     """Pairs within a block whose best overlap of token sets is ``least`` or more.
 
-    Records hold one token set a row. Pairs must share a token to overlap at all, so the
-    join is on block and token, not on the block alone: a busy host costs no all pairs.
+    Records hold one token set a row; ``least`` is above 0. Of two sets that overlap so much, the
+    ``size - ceil(least * size) + 1`` rarest tokens of the block in one hold one of those in the
+    other, so the join is on block and rare token: what all records of a busy host have in common
+    makes no pairs. Sets of sizes that can't overlap enough aren't compared.
     """
-    a = left.select(left_id, block, F.col(tokens).alias("a")).distinct()
-    b = right.select(right_id, block, F.col(tokens).alias("b")).distinct()
-    met = a.withColumn("t", F.explode("a")).join(b.withColumn("t", F.explode("b")), [block, "t"])
-    shared = met.groupBy(left_id, right_id, block, "a", "b").agg(F.count("*").alias("n"))
-    overlap = F.col("n") / (F.size("a") + F.size("b") - F.col("n"))
-    best = shared.withColumn("overlap", overlap).groupBy(left_id, right_id, block).agg(F.max("overlap").alias("overlap"))
-    return best.where(F.col("overlap") >= least)
+    a = left.select(left_id, block, F.array_sort(F.array_distinct(tokens)).alias("a")).distinct()
+    b = right.select(right_id, block, F.array_sort(F.array_distinct(tokens)).alias("b")).distinct()
+    each = lambda rows, c: rows.select(block, c).distinct().withColumn("t", F.explode(c))
+    counts = each(a, "a").select(block, "t").unionByName(each(b, "b").select(block, "t")).groupBy(block, "t").agg(F.count("*").alias("n"))
+
+    def rare(rows: DataFrame, c: str) -> DataFrame:
+        """Sets of a block with each of their rarest tokens."""
+        ordered = each(rows, c).join(counts, [block, "t"]).groupBy(block, c).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("o"))
+        kept = F.size(c) - F.ceil(F.lit(least) * F.size(c) - 1e-9).cast("int") + 1
+        return ordered.select(block, c, F.explode(F.slice("o", 1, kept)["t"]).alias("t"))
+
+    met = rare(a, "a").join(rare(b, "b"), [block, "t"]).where(F.least(F.size("a"), F.size("b")) >= F.lit(least) * F.greatest(F.size("a"), F.size("b")) - 1e-9)
+    sets = met.select(block, "a", "b").distinct().withColumn("overlap", jaccard(F.col("a"), F.col("b"))).where(F.col("overlap") >= least)
+    pairs = sets.join(a, [block, "a"]).join(b, [block, "b"])
+    return pairs.groupBy(left_id, right_id, block).agg(F.max("overlap").alias("overlap"))
 
 
 def mutual(pairs: DataFrame, left_id: str, right_id: str) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from spanroute.operators import aggregates as A
+from spanroute.operators.ranks import nearest_rank
 from spanroute.operators import ranking as R
 
 from .bindings import BUILT, SQL, Tables, query
@@ -77,7 +78,7 @@ def a8(t: Tables):
 
 @query("A9_nearest_rank_p95", "SELECT user_id, list_sort(list(value))[(round_even(0.95 * (count(value) - 1), 0))::INT + 1] AS p95 FROM events GROUP BY user_id")
 def a9(t: Tables):
-    return t.read("events").groupBy("user_id").agg(A.nearest_rank("value", 0.95).alias("p95"))
+    return nearest_rank(t.read("events"), "user_id", "value", 0.95, "p95")
 
 
 @query("A10_span_reference", """

@@ -31,6 +31,24 @@ def s1_parts(t: Tables):
     return read_delimited(t.spark, path, rows.select("doc_id", "source", "text").schema)
 
 
+@query("S2_archived_catalogues", "SELECT 'o-' || s_nationkey AS onestop_id, 'N' || min(s_suppkey // 100) AS name, count(DISTINCT s_suppkey // 100) AS listings, count(*) AS feeds FROM supplier GROUP BY s_nationkey")
+def s2(t: Tables):
+    """Operators over a tar.gz for each tenth hundred suppliers, of a document for each hundred: once each, with all their feeds."""
+    path, key = fresh_path(t.spark), F.col("s_suppkey")
+    rows = t.read("supplier").select(F.floor(key / 100).alias("b"), F.concat(F.lit("f-"), key.cast("string")).alias("id"), F.concat(F.lit("o-"), F.col("s_nationkey").cast("string")).alias("o"))
+    lists = rows.groupBy("b", "o").agg(F.collect_list(F.struct(F.col("id").alias("feed_onestop_id"))).alias("f"))
+    operators = lists.groupBy("b").agg(F.collect_list(F.struct(F.col("o").alias("onestop_id"), F.concat(F.lit("N"), F.col("b").cast("string")).alias("name"), F.col("f").alias("associated_feeds"))).alias("operators"))
+    feeds = rows.groupBy("b").agg(F.collect_list(F.struct("id", F.lit("GTFS").alias("spec"))).alias("feeds"))
+    text = F.to_json(F.struct("feeds", "operators")).cast("binary").alias("content")
+    members = feeds.join(operators, "b").select(F.concat(F.lit("a"), F.floor(F.col("b") / 10).cast("string")).alias("archive"), F.concat(F.lit("feeds/"), F.lpad(F.col("b").cast("string"), 12, "0"), F.lit(".json")).alias("member"), text)
+    Z.write_archives(members, path, "tar.gz")
+    documents = S.read_archives(t.spark, path)
+    known = S.feeds_of(documents).select(F.col("onestop_id").alias("feed"))
+    operators = S.operators_of(documents)
+    listed = operators.select("onestop_id", F.explode("feeds").alias("feed")).join(known, "feed").groupBy("onestop_id").agg(F.count("*").alias("n"))
+    return S.merged_operators(operators).join(listed, "onestop_id").where(F.size("feeds") == F.col("n")).select("onestop_id", "name", "listings", F.col("n").alias("feeds"))
+
+
 @query("S3_catalogue_rows", "SELECT p_partkey, CASE WHEN p_size < 40 THEN p_retailprice END AS price, [p_type, p_brand] AS kinds, CASE p_partkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS flag FROM part")
 def s3(t: Tables):
     k = F.col("p_partkey") % 3
@@ -88,6 +106,22 @@ def s10(t: Tables):
     return S.stop_positions(raw, "lon", "lat").select("vec_id", F.round("lon", 6).alias("lon"))
 
 
+@query("S11_boarding_zones", """
+    SELECT 'z' || s_suppkey AS id, 5 AS corners FROM supplier WHERE s_suppkey % 5 > 0
+        AND s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_linenumber % 2 = 0 AND l_quantity <> 1)""")
+def s11(t: Tables):
+    """Zones of the suppliers with a row that lets riders board; a fifth of them reach beyond the range of coordinates."""
+    key = F.col("s_suppkey")
+    corners = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+    ring = F.array(*[F.array(F.when(key % 5 == 0, 200.0).otherwise(key % 90) + x, F.lit(float(y))) for x, y in corners])
+    feature = F.struct(F.concat(F.lit("z"), key.cast("string")).alias("id"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    documents = t.read("supplier").groupBy(F.floor(key / 100).alias("b")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("text"))
+    zone, odd = F.concat(F.lit("z"), F.col("l_suppkey").cast("string")), F.col("l_linenumber") % 2 == 1
+    times = t.read("lineitem").select(F.when(F.col("l_linenumber") % 4 == 0, zone).alias("location_id"), F.when(F.col("l_linenumber") % 4 != 0, zone).alias("stop_id"), F.when(odd | (F.col("l_quantity") == 1), "1").when(F.col("l_linenumber") % 4 == 2, "2").alias("pickup_type"))
+    zones = S.sound_zones(S.zone_rings(documents))
+    return S.boarding_zones(times, zones).select("id", F.size("ring").alias("corners"))
+
+
 @query("S14_pinned_inputs", "SELECT n_name AS name, sha256(n_name) AS digest FROM nation WHERE n_nationkey % 2 = 1")
 def s14(t: Tables):
     rows = t.read("nation").select(F.col("n_name").alias("name"), F.sha2("n_name", 256).alias("digest"), "n_nationkey")

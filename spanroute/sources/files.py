@@ -102,6 +102,26 @@ def feeds_of(documents: DataFrame) -> DataFrame:
     return listed.select("member", F.col("f.id").alias("onestop_id"), spec.alias("spec"), "f.name", F.col("f.urls").alias("urls"), F.col("f.operators").alias("operators")).where("onestop_id is not null and spec is not null")
 
 
+def operators_of(documents: DataFrame) -> DataFrame:
+    """A row per operator that documents (member, text) list: member, place in it, id, name, ids of its feeds."""
+    fields = "array<struct<onestop_id:string,name:string,associated_feeds:array<struct<feed_onestop_id:string>>>>"
+    listed = documents.select("member", F.posexplode(F.from_json("text", f"struct<operators:{fields}>")["operators"]).alias("place", "o"))
+    feeds = F.coalesce(F.filter(F.col("o.associated_feeds")["feed_onestop_id"], lambda f: f.isNotNull()), F.array().cast("array<string>"))
+    return listed.select("member", "place", F.col("o.onestop_id").alias("onestop_id"), F.col("o.name").alias("name"), feeds.alias("feeds")).where("onestop_id is not null")
+
+
+def merged_operators(operators: DataFrame) -> DataFrame:
+    """onestop_id, name of its first listing (by member and place), ``listings``, ``feeds`` of all of them; more than one is a collision."""
+    names = operators.groupBy("onestop_id").agg(F.min_by("name", F.struct("member", "place")).alias("name"), F.count("*").alias("listings"))
+    feeds = operators.select("onestop_id", F.explode("feeds").alias("feed")).distinct().groupBy("onestop_id").agg(F.sort_array(F.collect_list("feed")).alias("feeds"))
+    return names.join(feeds, "onestop_id", "left").withColumn("feeds", F.coalesce("feeds", F.array().cast("array<string>")))
+
+
+def repeated_feeds(feeds: DataFrame) -> DataFrame:
+    """onestop_id of feeds declared more than once, with the first and last member that does."""
+    return feeds.groupBy("onestop_id").agg(F.count("*").alias("n"), F.min("member").alias("first"), F.max("member").alias("last")).where("n > 1").drop("n")
+
+
 def catalogue_rows(rows: DataFrame, number: list[str], lists: list[str], flags: list[str]) -> DataFrame:
     """Typed columns of a catalogue's text: numbers or null, lists split at ``|``, flags of yes and no."""
     out = rows
@@ -170,6 +190,19 @@ def zone_rings(documents: DataFrame) -> DataFrame:
     return each.select(F.col("f.id").alias("id"), F.explode(rings).alias("r")).select("id", corners.alias("ring")).where(F.size("ring") >= 4)
 
 
+def sound_zones(rings: DataFrame) -> DataFrame:
+    """Rings (id, ring) of the zones all whose corners are finite and in range."""
+    good = F.forall("ring", lambda p: F.coalesce(p["x"].between(-180, 180) & p["y"].between(-90, 90), F.lit(False)))
+    return rings.join(rings.where(~good).select("id").distinct(), "id", "left_anti")
+
+
+def boarding_zones(stop_times: DataFrame, zones: DataFrame) -> DataFrame:
+    """Zones (id, ...) in which a row of stop_times lets riders board: by location_id, or by stop_id, and a pickup_type other than 1."""
+    board = stop_times.where(F.coalesce(F.trim("pickup_type"), F.lit("")) != "1")
+    ids = board.select(F.explode(F.array(F.trim("location_id"), F.trim("stop_id"))).alias("id")).distinct()
+    return zones.join(ids, "id", "left_semi")
+
+
 # --- answers and overrides -------------------------------------------------------------
 
 
