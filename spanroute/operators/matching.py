@@ -37,18 +37,17 @@ def similar(left: DataFrame, right: DataFrame, left_id: str, right_id: str, bloc
     """
     a = left.select(left_id, block, F.array_sort(F.array_distinct(tokens)).alias("a")).distinct()
     b = right.select(right_id, block, F.array_sort(F.array_distinct(tokens)).alias("b")).distinct()
-    each = lambda rows, c: rows.select(block, c).distinct().withColumn("t", F.explode(c))
-    counts = each(a, "a").select(block, "t").unionByName(each(b, "b").select(block, "t")).groupBy(block, "t").agg(F.count("*").alias("n"))
+    counts = b.select(block, F.explode("b").alias("t")).groupBy(block, "t").agg(F.count("*").alias("n"))
 
-    def rare(rows: DataFrame, c: str) -> DataFrame:
-        """Sets of a block with each of their rarest tokens."""
-        ordered = each(rows, c).join(counts, [block, "t"]).groupBy(block, c).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("o"))
+    def rare(rows: DataFrame, key: str, c: str) -> DataFrame:
+        """Records with each of their rarest tokens, by how many records of the right side have them."""
+        each = rows.withColumn("t", F.explode(c)).join(counts, [block, "t"], "left")
+        ordered = each.groupBy(key, block, c).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("o"))
         kept = F.size(c) - F.ceil(F.lit(least) * F.size(c) - 1e-9).cast("int") + 1
-        return ordered.select(block, c, F.explode(F.slice("o", 1, kept)["t"]).alias("t"))
+        return ordered.select(key, block, c, F.explode(F.slice("o", 1, kept)["t"]).alias("t"))
 
-    met = rare(a, "a").join(rare(b, "b"), [block, "t"]).where(F.least(F.size("a"), F.size("b")) >= F.lit(least) * F.greatest(F.size("a"), F.size("b")) - 1e-9)
-    sets = met.select(block, "a", "b").distinct().withColumn("overlap", jaccard(F.col("a"), F.col("b"))).where(F.col("overlap") >= least)
-    pairs = sets.join(a, [block, "a"]).join(b, [block, "b"])
+    met = rare(a, left_id, "a").join(rare(b, right_id, "b"), [block, "t"]).where(F.least(F.size("a"), F.size("b")) >= F.lit(least) * F.greatest(F.size("a"), F.size("b")) - 1e-9)
+    pairs = met.withColumn("overlap", jaccard(F.col("a"), F.col("b"))).where(F.col("overlap") >= least)
     return pairs.groupBy(left_id, right_id, block).agg(F.max("overlap").alias("overlap"))
 
 
