@@ -5,40 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanroute.sinks.scratch import written
+from . import tiles
 
 
 def shared_counts(rows: DataFrame, owner: str, element: str) -> DataFrame:
     """a, b, shared, own, other: for every two owners with an element in common, how many they share and have.
 
-    Elements that very many owners hold make many pairs of owners; the count of pairs is
-    that of owners with something in common, which is what is asked for.
+    Elements that very many owners hold make many pairs of owners; these are counted in
+    tiles, and the rows put out are the owners with something in common, which is what is asked for.
     """
-    one = rows.select(owner, element).distinct()
-    sizes = one.groupBy(owner).agg(F.count("*").alias("n"))
-    pairs = one.select(F.col(owner).alias("a"), element).join(one.select(F.col(owner).alias("b"), element), element).where("a <> b")
-    shared = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))
-    return shared.join(sizes.select(F.col(owner).alias("a"), F.col("n").alias("own")), "a").join(sizes.select(F.col(owner).alias("b"), F.col("n").alias("other")), "b").select("a", "b", "shared", "own", "other")
+    return tiles.shared(rows, owner, element)
 
 
 def containments(rows: DataFrame, owner: str, element: str, least: float, larger: float = 1.0) -> DataFrame:
     """a, b, shared, own, other: where b has ``larger`` times as many elements as a or more, and at least the share ``least`` of a's.
 
-    Of a's elements all but that share may be missing in b, so b must have one of so many
-    and one more, whichever they are: the rarest are taken, which few others have. Only
-    the pairs met there are counted over all elements of a.
+    All pairs with an element in common are counted in tiles, which put out only these.
     """
-    one = rows.select(owner, element).distinct()
-    sizes = one.groupBy(owner).agg(F.count("*").alias("n"))
-    often = one.groupBy(element).agg(F.count("*").alias("times"))
-    sized = written(one.join(sizes, owner).join(often, element).select(F.col(owner).alias("o"), F.col(element).alias("e"), "n", "times"))
-    rare = Window.partitionBy("o").orderBy("times", "e")
-    first = sized.withColumn("nth", F.row_number().over(rare)).where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1)
-    large = sized.select(F.col("o").alias("b"), "e", F.col("n").alias("other"))
-    met = first.select(F.col("o").alias("a"), "e", F.col("n").alias("own")).join(large, "e").where((F.col("a") != F.col("b")) & (F.col("other") >= larger * F.col("own")))
-    met = written(met.select("a", "b", "own", "other").distinct())
-    both = met.join(sized.select(F.col("o").alias("a"), "e"), "a").join(large.select("b", "e"), ["b", "e"])
-    return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("own").alias("own"), F.first("other").alias("other")).where(F.col("shared") >= least * F.col("own"))
+    return tiles.shared(rows, owner, element, least, larger)
 
 
 def contained(points: DataFrame, routes: DataFrame, owner: str, point: str, route: str, least_points: int = 2, least_routes: int = 5) -> DataFrame:
