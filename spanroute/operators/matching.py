@@ -131,9 +131,11 @@ def static_link(realtime: DataFrame, static: DataFrame, declared: DataFrame) ->
     said = listed.groupBy("rt_id").agg(F.count("*").alias("n"), F.min("static_id").alias("one"), F.count(near).alias("n_file"), F.min(near).alias("in_file"))
 
     def lone(key: str, name: str) -> DataFrame:
-        one = static.where(F.col(key).isNotNull()).select(key, "static_id").distinct()
-        met = realtime.select("rt_id", key).distinct().join(one, key).select("rt_id", "static_id").distinct()
-        return met.groupBy("rt_id").agg(F.min("static_id").alias(name), F.count("*").alias("n_" + name)).where(f"n_{name} = 1").select("rt_id", name)
+        # A key is counted before it meets others: all that have it may be very many on both sides.
+        one = static.where(F.col(key).isNotNull()).select(key, "static_id").distinct().groupBy(key).agg(F.min("static_id").alias(name), F.count("*").alias("_n"))
+        met = realtime.select("rt_id", key).distinct().join(one, key)
+        same = (F.max("_n") == 1) & F.min(name).eqNullSafe(F.max(name))
+        return met.groupBy("rt_id").agg(F.min(name).alias(name), same.alias("_same")).where("_same").select("rt_id", name)
 
     every = realtime.select("rt_id").distinct().join(said, "rt_id", "left").join(lone("file", "by_file"), "rt_id", "left").join(lone("host", "by_host"), "rt_id", "left")
     declared_to = F.when(F.col("n") == 1, F.col("one")).when(F.col("n_file") == 1, F.col("in_file"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spanroute.operators import matching as M
 from spanroute.operators import overlap as O
 from spanroute.operators import tiles as T
 
@@ -47,3 +48,12 @@ def test_containments_over_blocks(spark, sets):
     got = O.containments(rows, "o", "e", 0.8, 1.5).collect()
     assert {(int(r.a[1:]), int(r.b[1:]), r.shared, r.own, r.other) for r in got} == {(a, b, want[a, b], own[a], own[b]) for a, b in zip(*np.nonzero(hit), strict=True)}
     assert len(got) == hit.sum() > 30
+
+
+def test_static_links_of_a_file_that_very_many_have(spark):
+    rt = spark.range(3000).selectExpr("id as rt_id", "if(id < 2990, 0, id) as file", "id % 2 as host").union(spark.createDataFrame([(2995, 2996, 7)], "rt_id long, file long, host long"))
+    st = spark.range(3000).selectExpr("10000 + id as static_id", "if(id < 2990, 0, id) as file", "5 as host")
+    before = moved(spark)
+    got = {r.rt_id: (r.static_id, r.method) for r in M.static_link(rt, st, spark.createDataFrame([], "rt_id long, static_id long")).collect()}
+    assert got == {i: (10000 + i, "same_file") if i >= 2990 and i != 2995 else (None, "none") for i in range(3000)}
+    assert moved(spark) - before < 100_000  # nine million pairs have that file
