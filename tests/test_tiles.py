@@ -57,3 +57,22 @@ def test_static_links_of_a_file_that_very_many_have(spark):
     got = {r.rt_id: (r.static_id, r.method) for r in M.static_link(rt, st, spark.createDataFrame([], "rt_id long, static_id long")).collect()}
     assert got == {i: (10000 + i, "same_file") if i >= 2990 and i != 2995 else (None, "none") for i in range(3000)}
     assert moved(spark) - before < 100_000  # nine million pairs have that file
+
+
+def test_lines_beside_counted_in_tiles(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(900):
+        x, y = rng.uniform(-0.02, 0.02, 2)
+        w, h = rng.choice([0, 0.004, 0.05], 2) * rng.random(2)
+        rows.append((f"p{i % 2}", f"f{i % 37}", i, int(i % 3), "n" if i % 50 else None, float(x), float(x + w), float(y), float(y + h)))
+    rows += [("p0", "f1", 5000, 0, "n", None, 1.0, 0.0, 1.0)]
+    lines = spark.createDataFrame(rows, "place_id string, feed_id string, line_id long, family int, name string, xmin double, xmax double, ymin double, ymax double")
+    met = O.beside(lines)
+    assert sorted(T.beside_counts(lines).collect()) == sorted(met.groupBy("place_id", "a", "b").agg(F.count("*").alias("n")).collect())
+    for least in (0.1, 0.6):
+        assert sorted(T.beside_counts(lines, each=True, least=least).drop("n").collect()) == sorted(O.overlap_shares(lines, met, least).collect()) != []
+    close = spark.range(2400).selectExpr("'p' as place_id", "concat('f', id % 300) as feed_id", "id as line_id", "1 as family", "'n' as name", "id % 7 / 7000 as xmin", "id % 7 / 7000 as xmax", "0d as ymin", "0d as ymax")
+    before = moved(spark)
+    assert {r.share for r in T.beside_counts(close, each=True).collect()} == {1.0}
+    assert moved(spark) - before < 50_000  # nearly six million pairs of lines run beside each other
