@@ -76,3 +76,15 @@ def test_lines_beside_counted_in_tiles(spark):
     before = moved(spark)
     assert {r.share for r in T.beside_counts(close, each=True).collect()} == {1.0}
     assert moved(spark) - before < 50_000  # nearly six million pairs of lines run beside each other
+
+
+def test_lines_of_orders_in_tasks_of_a_bounded_size(spark, sf_small, monkeypatch):
+    from spanroute.plans import bindings as B
+
+    monkeypatch.setattr(B, "LINES", 300, raising=False)
+    t = B.Tables(spark, sf_small)
+    lines = t.read("lineitem").count()
+    assert t.facts().rdd.getNumPartitions() == -(-lines // 300) > 8
+    before = moved(spark)
+    t.pairs().collect()
+    assert moved(spark) - before < 2.6 * lines + 2 * t.read("orders").count()  # a row for each part and one for each order of a line were more
