@@ -134,9 +134,8 @@ def w11(t: Tables):
     diff AS ((SELECT * FROM old EXCEPT SELECT * FROM new) UNION ALL (SELECT * FROM new EXCEPT SELECT * FROM old))
     SELECT place_id, count(*) AS changed, rank() OVER (ORDER BY count(*) DESC, place_id)::INT AS nth FROM diff GROUP BY place_id""")
 def w12(t: Tables):
-    facts = t.facts()
-    old, new = (facts.where(F.col("build") == y).select("place_id", "feed_id", "tier").distinct() for y in (1999, 2000))
-    changed = old.exceptAll(new).union(new.exceptAll(old)).groupBy("place_id").agg(F.count("*").alias("changed"))
+    edges = t.facts().where(F.col("build").isin(1999, 2000)).groupBy("place_id", "feed_id", "tier").agg(*[F.max(F.col("build") == y).alias(n) for y, n in ((1999, "old"), (2000, "new"))])
+    changed = edges.where("old <> new").groupBy("place_id").agg(F.count("*").alias("changed"))
     # One row per place: a global order over these is small beside the edges.
     return changed.withColumn("nth", F.rank().over(Window.orderBy(F.desc("changed"), "place_id")))
 

@@ -88,3 +88,16 @@ def test_lines_of_orders_in_tasks_of_a_bounded_size(spark, sf_small, monkeypatch
     before = moved(spark)
     t.pairs().collect()
     assert moved(spark) - before < 2.6 * lines + 2 * t.read("orders").count()  # a row for each part and one for each order of a line were more
+
+
+def test_changed_edges_read_the_lines_once(spark, sf_small):
+    from spanroute import plans
+
+    assert plans.QUERIES["W12_change_ranking"](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+
+
+def test_cells_of_shapes_are_not_broadcast(spark, sf_small):
+    from spanroute import plans
+
+    plan = plans.QUERIES["G11_clear_of_borders"](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") >= 3
