@@ -132,7 +132,7 @@ def covers(points: DataFrame, shapes: DataFrame, point: str, shape: str, geometr
     grids = written(_grids(edges, shape))
     boxes = grids.select(F.col(shape), F.col("west").alias("xmin"), F.col("south").alias("ymin"), F.col("east").alias("xmax"), F.col("north").alias("ymax"))
     at = points.select(F.col(point), F.col(x).alias("px"), F.col(y).alias("py")).where("px is not null and py is not null")
-    near = at.withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py"))).join(cells_of_boxes(boxes), ["cx", "cy"])
+    near = at.withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py"))).join(cells_of_boxes(boxes).hint("merge"), ["cx", "cy"])
     near = near.where("px between xmin and xmax and py between ymin and ymax").select(point, "px", "py", shape)
     near = near.join(grids, shape).select(shape, point, "px", "py", _row(F.col("py")).alias("row"))
     dealt = _dealt_to_rows(edges.join(grids, shape)).select(shape, "row", *EDGE)
@@ -140,7 +140,7 @@ def covers(points: DataFrame, shapes: DataFrame, point: str, shape: str, geometr
     beside = (F.col("x1") - F.col("x0")) * (py - F.col("y0")) - (F.col("y1") - F.col("y0")) * (px - F.col("x0")) == 0
     on = beside & px.between(F.least("x0", "x1"), F.greatest("x0", "x1")) & py.between(F.least("y0", "y1"), F.greatest("y0", "y1"))
     crossed = F.when(_spans(py) & (px < _crossing(py)), 1).otherwise(0)
-    met = near.join(dealt, [shape, "row"]).groupBy(point, shape).agg(F.sum(crossed).alias("crossed"), F.max(on).alias("on"))
+    met = near.join(dealt.hint("merge"), [shape, "row"]).groupBy(point, shape).agg(F.sum(crossed).alias("crossed"), F.max(on).alias("on"))
     return met.where((F.col("on") | (F.col("crossed") % 2 == 1)) if edge else (~F.col("on") & (F.col("crossed") % 2 == 1))).select(point, shape)
 
 
@@ -409,8 +409,9 @@ def reached(points: DataFrame, shapes: DataFrame, point: str, shape: str, margin
         "ymin": F.greatest(F.col("py") - up, F.lit(-90.0)), "ymax": F.least(F.col("py") + up, F.lit(90.0)),
     })
     size = 0.25
+    # A shape's cells are many times what Spark takes their size for, which is the shape's: they must not be broadcast.
     dealt = _cells_of_edges(edges_of(rings_of(shapes, shape, geometry), shape), F.lit(size), F.lit(SNAP))
-    met = cells_of_boxes(boxes.select(point, "px", "py", "xmin", "ymin", "xmax", "ymax"), size).join(dealt, ["cx", "cy"])
+    met = cells_of_boxes(boxes.select(point, "px", "py", "xmin", "ymin", "xmax", "ymax"), size).join(dealt.hint("merge"), ["cx", "cy"])
 
     def away(lon: str) -> Column:
         return (F.pmod(F.col(lon) - F.col("px") + 180, F.lit(360.0)) - 180) * per * F.cos(F.radians("py"))
