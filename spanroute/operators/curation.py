@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanroute.sinks.scratch import written
+
 from .ranks import running
 
 
@@ -14,19 +16,17 @@ def apply_edits(edges: DataFrame, edits: DataFrame) -> DataFrame:
     Of the edits that meet an edge the most specific holds: both ids, the place, the feed.
     ``remove`` drops the edge, ``set`` gives it a tier; ``add`` makes the edge where it isn't.
     """
-    change = edits.where("action in ('remove', 'set')")
-    weight = 2 * F.col("e_place").isNotNull().cast("int") + F.col("e_feed").isNotNull().cast("int")
-    named = change.select("edit_id", F.col("feed_id").alias("e_feed"), F.col("place_id").alias("e_place"), "action", F.col("tier").alias("new_tier")).withColumn("weight", weight)
-    key = ["feed_id", "place_id", "tier"]
-    # Each kind of target is an equi join of its own; together they meet an edge a few times.
-    both = edges.join(named.where("e_feed is not null and e_place is not null"), (F.col("feed_id") == F.col("e_feed")) & (F.col("place_id") == F.col("e_place")))
-    feed = edges.join(named.where("e_feed is not null and e_place is null"), F.col("feed_id") == F.col("e_feed"))
-    place = edges.join(named.where("e_feed is null and e_place is not null"), F.col("place_id") == F.col("e_place"))
-    met = both.unionByName(feed).unionByName(place)
-    best = met.groupBy(*key).agg(F.max_by(F.struct("action", "new_tier"), F.struct(F.col("weight"), -F.col("edit_id"))).alias("e"))
-    left = edges.join(best, key, "left").where(F.coalesce(F.col("e.action") != "remove", F.lit(True)))
-    edited = left.select("feed_id", "place_id", F.coalesce("e.new_tier", "tier").alias("tier"))
-    return edited.union(edits.where("action = 'add'").select("feed_id", "place_id", "tier")).distinct()
+    # Edits of one target are alike but for their ids, so the first of them stands for all before they meet any edge.
+    change = edits.where("action in ('remove', 'set')").groupBy("feed_id", "place_id").agg(F.max_by(F.struct("action", F.col("tier").alias("new_tier")), F.struct(-F.col("edit_id"))).alias("e"))
+    both = change.where("feed_id is not null and place_id is not null").withColumnRenamed("e", "e_both")
+    feed = change.where("feed_id is not null and place_id is null").select("feed_id", F.col("e").alias("e_feed"))
+    place = written(change.where("feed_id is null and place_id is not null").select("place_id", F.col("e").alias("e_place")))  # few, as Spark then knows
+    rows = edges.select("feed_id", "place_id", "tier", F.lit(False).alias("added")).union(edits.where("action = 'add'").select("feed_id", "place_id", "tier", F.lit(True)))
+    met = rows.join(place, "place_id", "left").join(feed, "feed_id", "left").join(both, ["feed_id", "place_id"], "left")
+    # An edge without a tier is met by none, as in SQL.
+    met = met.withColumn("e", F.when(~F.col("added") & F.col("tier").isNotNull(), F.coalesce("e_both", "e_place", "e_feed")))
+    left = met.where(F.coalesce(F.col("e.action") != "remove", F.lit(True)))
+    return left.select("feed_id", "place_id", F.coalesce("e.new_tier", "tier").alias("tier")).distinct()
 
 
 def ambiguous_edits(edits: DataFrame) -> DataFrame:
