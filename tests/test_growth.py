@@ -2,7 +2,11 @@
 
 import random
 
+import numpy as np
+
+from spanroute.functions import wkb as W
 from spanroute.operators import curation as C
+from spanroute.operators import planar as P
 
 
 def most_rows(node):
@@ -37,3 +41,21 @@ def test_many_edits_of_one_place_meet_an_edge_once(spark):
     rows, most = executed(C.apply_edits(*frames))
     assert {tuple(r) for r in rows} == want and len(rows) == len(want)
     assert most <= len(edges) + len(edits)
+
+
+def test_copies_of_points_and_shapes_are_tested_once(spark):
+    def box(x0, y0, x1, y1):
+        return np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1)], float)
+
+    kinds = [(0, 0, 4, 4), (1, 0, 5, 4), (0, 1, 4, 5)]  # with a hole each, in which most points lie
+    shapes = [(i, bytes(W.encode([[box(*kinds[i % 3]), box(kinds[i % 3][0] + 0.5, kinds[i % 3][1] + 0.5, kinds[i % 3][2] - 0.5, kinds[i % 3][3] - 0.5)]]))) for i in range(60)] + [(60, None)]
+    points = [(i, 2.0 + (i % 20) / 16, 2.0) for i in range(300)] + [(300, 0.25, 2.0), (301, 0.25, 2.0), (302, None, 2.0)]
+    want = set()
+    for point, x, y in points:
+        for shape, _ in shapes[:60]:
+            x0, y0, x1, y1 = kinds[shape % 3]
+            if x is not None and x0 <= x <= x1 and y0 <= y <= y1 and not (x0 + 0.5 < x < x1 - 0.5 and y0 + 0.5 < y < y1 - 0.5):
+                want.add((point, shape))
+    rows, most = executed(P.covers(spark.createDataFrame(points, "p long, lon double, lat double"), spark.createDataFrame(shapes, "s long, geometry binary"), "p", "s"))
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want) and want
+    assert most <= 1000
