@@ -157,9 +157,10 @@ def enlist(rows: DataFrame, concordance: DataFrame, places: DataFrame, detached:
     values = F.array_distinct(F.filter(F.coalesce("values", F.array().cast("array<string>")), lambda v: v.isNotNull()))
     all_ = written(rows.select("key", "kind", values.alias("values")))
     open_ = all_.select("key", "kind", F.explode("values").alias("value"))
-    index = concordance.select("value", "place_id", F.lit(None).cast(all_.schema["key"].dataType).alias("minted")).distinct()
-    kinds = places.select(F.col("place_id").alias("_p"), F.lit(None).cast(all_.schema["key"].dataType).alias("_m"), F.col("kind").alias("_kind")).union(all_.select(F.lit(None).cast("string"), "key", "kind"))
-    settled, place = [], F.struct("place_id", "minted")
+    # A value brings its place's kind along, so that no pass looks kinds up among all rows.
+    index = concordance.join(places.select("place_id", F.col("kind").alias("_kind")), "place_id", "left")
+    index = index.select("value", "place_id", F.lit(None).cast(all_.schema["key"].dataType).alias("minted"), "_kind").distinct()
+    settled, place = [], F.struct("place_id", "minted", "_kind")
     while True:
         met = open_.join(index, "value", "left").withColumn("place", F.when(F.col("place_id").isNotNull() | F.col("minted").isNotNull(), place)).select("key", "kind", "value", "place")
         first = met.where("place is null").groupBy("value").agg(F.min("key").alias("first"))
@@ -169,14 +170,14 @@ def enlist(rows: DataFrame, concordance: DataFrame, places: DataFrame, detached:
         ready = written(seen.where("n > 1 or not waits"))
         one = ready.where("n = 1").select("key", "kind", "place.place_id", "place.minted", F.explode("values").alias("value"))
         gone = one.join(detached.select("place_id", "value").distinct(), ["place_id", "value"], "left_semi").select("key", F.lit(True).alias("gone")).distinct()
-        of = ready.join(kinds, F.col("place.place_id").eqNullSafe(F.col("_p")) & F.col("place.minted").eqNullSafe(F.col("_m")) & F.col("place").isNotNull(), "left").join(gone, "key", "left")
+        of = ready.join(gone, "key", "left")
         outcome = (
-            F.when(F.col("n") > 1, "conflict").when(F.col("n") == 0, "minted").when(~F.col("_kind").eqNullSafe(F.col("kind")), "kind").when(F.col("gone"), "detached").otherwise("identified")
+            F.when(F.col("n") > 1, "conflict").when(F.col("n") == 0, "minted").when(~F.col("place._kind").eqNullSafe(F.col("kind")), "kind").when(F.col("gone"), "detached").otherwise("identified")
         )
-        done = of.select("key", outcome.alias("outcome"), F.col("place.place_id").alias("place_id"), F.coalesce("place.minted", F.when(F.col("n") == 0, F.col("key"))).alias("minted"), "values")
+        done = of.select("key", outcome.alias("outcome"), F.col("place.place_id").alias("place_id"), F.coalesce("place.minted", F.when(F.col("n") == 0, F.col("key"))).alias("minted"), F.col("kind").alias("_kind"), "values")
         done = written(done)
         settled.append(done)
-        good = done.where("outcome in ('minted', 'identified')").select(F.explode("values").alias("value"), "place_id", "minted")
+        good = done.where("outcome in ('minted', 'identified')").select(F.explode("values").alias("value"), "place_id", "minted", "_kind")
         index = written(index.union(good).distinct())
         open_ = written(open_.join(done.select("key"), "key", "left_anti"))
         if open_.isEmpty():

@@ -6,6 +6,7 @@ import numpy as np
 
 from spanroute.functions import wkb as W
 from spanroute.operators import curation as C
+from spanroute.operators import hierarchy as H
 from spanroute.operators import planar as P
 
 
@@ -59,3 +60,13 @@ def test_copies_of_points_and_shapes_are_tested_once(spark):
     rows, most = executed(P.covers(spark.createDataFrame(points, "p long, lon double, lat double"), spark.createDataFrame(shapes, "s long, geometry binary"), "p", "s"))
     assert {tuple(r) for r in rows} == want and len(rows) == len(want) and want
     assert most <= 1000
+
+
+def test_passes_look_no_kinds_up_among_all_rows(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(H, "written", lambda rows, f=H.written: made.append(rows) or f(rows))
+    rows = spark.createDataFrame([(0, "city", ["v"]), (1, "region", ["v"]), (2, "city", ["x"])], "key long, kind string, values array<string>")
+    known, places = spark.createDataFrame([("v", "tp_1")], "value string, place_id string"), spark.createDataFrame([("tp_1", "city")], "place_id string, kind string")
+    got = H.enlist(rows, known, places, known.select("place_id", "value").limit(0), 1000)
+    assert {r.key: r.outcome for r in got.collect()} == {0: "identified", 1: "kind", 2: "minted"}
+    assert not [line for df in made for line in df._jdf.queryExecution().analyzed().toString().split("\n") if "Join" in line and "<=>" in line]
