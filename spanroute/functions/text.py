@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from pyspark.sql.types import ArrayType, StringType
 #: Legal forms that names of companies end in; fixed values of the domain.
 LEGAL = ["ag", "co", "gmbh", "inc", "llc", "ltd", "plc", "sa", "sl", "spa", "srl"]
 SHAPE = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)((?s).*)$"
+#: Texts of a batch that are taken apart together.
+SLICE = 64
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
 #: Causes of failed reads, tried in this order: words of the text, cause.
 CAUSES = [
@@ -81,10 +83,12 @@ def fold(name: str | None) -> list[str]:
     return sorted({w for w in _WORDS.findall(plain) if w not in LEGAL})
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def folded_tokens(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(ArrayType(StringType()))
+def folded_tokens(names: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Tokens of :func:`fold`; of a batch, only ``SLICE`` texts and their words are Python objects at a time."""
     for batch in names:
-        yield batch.map(fold)
+        done = [pa.array([fold(name) for name in batch.slice(at, SLICE).to_pylist()], pa.list_(pa.string())) for at in range(0, len(batch), SLICE)]
+        yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.string()))
 
 
 def name_key(name: Column) -> Column:

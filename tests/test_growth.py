@@ -1,9 +1,13 @@
 """Steps whose work is to grow no faster than their input: the rows that plans make, and results against plain versions."""
 
 import random
+import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
+from spanroute.functions import text as T
 from spanroute.functions import wkb as W
 from spanroute.operators import curation as C
 from spanroute.operators import hierarchy as H
@@ -70,3 +74,14 @@ def test_passes_look_no_kinds_up_among_all_rows(spark, monkeypatch):
     got = H.enlist(rows, known, places, known.select("place_id", "value").limit(0), 1000)
     assert {r.key: r.outcome for r in got.collect()} == {0: "identified", 1: "kind", 2: "minted"}
     assert not [line for df in made for line in df._jdf.queryExecution().analyzed().toString().split("\n") if "Join" in line and "<=>" in line]
+
+
+def test_words_of_a_batch_are_not_held_as_objects_together():
+    texts = [f"Straße {i} Éclair GmbH " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(2000)] + [None, ""]
+    batch, want = pa.array(texts, pa.string()), [T.fold(t) for t in texts]
+    tracemalloc.start()
+    (got,) = T.folded_tokens.func(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == want
+    assert peak < sum(sys.getsizeof(w) for words in want for w in words) / 5
