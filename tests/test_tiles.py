@@ -101,3 +101,12 @@ def test_cells_of_shapes_are_not_broadcast(spark, sf_small):
 
     plan = plans.QUERIES["G11_clear_of_borders"](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=merge") >= 3
+
+
+def test_days_of_trips_take_one_pass_for_calendars_and_one_for_exceptions(spark, sf_small):
+    from spanroute import plans
+
+    lines = spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+    before = moved(spark)
+    plans.QUERIES["T9_service_end"](spark, sf_small).collect()
+    assert moved(spark) - before < 3 * lines  # a calendar for each use of it moved nearly five times as many
