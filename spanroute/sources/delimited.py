@@ -10,9 +10,13 @@ splits are put together from their fragments.
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator
+from itertools import pairwise
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,6 +26,14 @@ from spanroute.sinks.scratch import written
 from .files import HeaderError
 
 MARK = b"\xef\xbb\xbf"  # fixed value: the byte order mark of UTF-8
+#: Bytes of lines that are Python objects at a time; one line or record may be longer.
+HELD = 1 << 20
+LINE = 64  # bytes that a line takes as an object besides its own
+SPLIT = pa.schema([("file", pa.string()), ("split", pa.int64()), ("header", pa.binary()), ("bytes", pa.int64()), ("ends_out", pa.bool_()), ("ends_in", pa.bool_()), ("begun_out", pa.int64()), ("begun_in", pa.int64())])
+PIECE = pa.schema([("file", pa.string()), ("split", pa.int64()), ("begins", pa.bool_()), ("text", pa.binary())])
+CELLS = pa.schema([("cells", pa.list_(pa.string()))])
+
+csv.field_size_limit(sys.maxsize)  # a cell may be longer than the 131,072 characters that the module allows
 
 
 class RowError(ValueError):
@@ -44,7 +56,7 @@ def inside_after(line: bytes, inside: bool) -> bool:
     return True
 
 
-def cells_of(record: bytes, where: str) -> list[str | None]:
+def cells_of(record: bytes | bytearray, where: str) -> list[str | None]:
     """Cells of a record, trimmed, blank ones null; none at all for a blank record."""
     try:
         (row,) = csv.reader([record.removesuffix(b"\r").decode()])
@@ -59,27 +71,35 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("line"))
 
 
-def _by_split(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, pd.DataFrame, bool]]:
-    """Runs of rows of one split, each with whether the split begins there."""
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch, bool]]:
+    """Runs of rows of one split, of some ``HELD`` bytes at most, each with whether the split begins there.
+
+    A batch has up to 10,000 lines, which may be long: it stays in Arrow, and one run at a time becomes Python objects.
+    """
     last = None
     for batch in batches:
-        keys = batch["file"].str.cat(batch["split"].astype(str), sep="\n")
-        for _, run in batch.groupby((keys != keys.shift()).cumsum(), sort=False):
-            key = run["file"].iloc[0], int(run["split"].iloc[0])
-            yield *key, run, key != last
+        if not batch.num_rows:
+            continue
+        file, split = batch.column("file"), batch.column("split")
+        lengths = pc.binary_length(batch.column("line")).to_numpy(zero_copy_only=False).astype(np.int64)
+        block = np.cumsum(lengths + LINE) // HELD
+        cut = (np.diff(block) != 0) | (np.diff(split.to_numpy()) != 0) | pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False)
+        for begin, end in pairwise([0, *(np.flatnonzero(cut) + 1).tolist(), batch.num_rows]):
+            key = file[begin].as_py(), split[begin].as_py()
+            yield *key, batch.slice(begin, end - begin), key != last
             last = key
 
 
-def _functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each split: the state after it and the records begun in it, from outside and from inside a cell."""
     at, out = None, None
     for file, split, run, begins in _by_split(batches):
         if begins:
             if at:
-                yield pd.DataFrame([out])
+                yield pa.RecordBatch.from_pylist([out], SPLIT)
             at, out = (file, split), {"file": file, "split": split, "header": None, "bytes": 0, "ends_out": False, "ends_in": True, "begun_out": 0, "begun_in": 0}
-            head: list[bytes] | None = [] if split == 0 else None
-        for n, line in enumerate(run["line"]):
+            head = bytearray() if split == 0 else None
+        for n, line in enumerate(run.column("line").to_pylist()):
             out["bytes"] += len(line) + 1
             if begins and n == 0 and split == 0:
                 line = line.removeprefix(MARK)
@@ -88,11 +108,11 @@ def _functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out["begun_in"] += filled and not out["ends_in"]
             out["ends_out"], out["ends_in"] = inside_after(line, out["ends_out"]), inside_after(line, out["ends_in"])
             if head is not None and (head or filled):
-                head.append(line)
+                head += line + b"\n"
                 if not out["ends_out"]:
-                    out["header"], head = b"\n".join(head), None
+                    out["header"], head = bytes(head[:-1]), None
     if at:
-        yield pd.DataFrame([out])
+        yield pa.RecordBatch.from_pylist([out], SPLIT)
 
 
 def splits_of(lines: DataFrame) -> DataFrame:
@@ -102,7 +122,7 @@ def splits_of(lines: DataFrame) -> DataFrame:
     turned once for each split since then that turns it. A window has one row per split of a file.
     """
     schema = "file string, split long, header binary, bytes long, ends_out boolean, ends_in boolean, begun_out long, begun_in long"
-    each = lines.mapInPandas(_functions, schema)
+    each = lines.mapInArrow(_functions, schema)
     turns = F.sum((F.col("ends_out") & ~F.col("ends_in")).cast("long")).over(Window.partitionBy("file").orderBy("split"))
     fixed = F.when(F.col("ends_out") == F.col("ends_in"), F.struct(F.col("ends_out").alias("state"), F.col("turns")))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,26 +137,27 @@ def splits_of(lines: DataFrame) -> DataFrame:
 def _records(width: int, fragments: bool):
     """Whole records of splits as cells or, instead, what lies before the first and after the last of them."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[bytes] = []
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bytearray()  # lines of the record being read, each with its end
         at, inside, first, headed = None, False, False, True
 
-        def rest() -> pd.DataFrame:
-            return pd.DataFrame({"file": [at[0]], "split": [at[1]], "begins": [not first], "text": [b"\n".join(held)]})
+        def rest() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"file": at[0], "split": at[1], "begins": not first, "text": bytes(held[:-1])}], PIECE)
 
         for file, split, run, begins in _by_split(batches):
             if begins:
                 if fragments and at and held:
                     yield rest()
-                at, held, inside = (file, split), [], bool(run["inside"].iloc[0])
+                at, held, inside = (file, split), bytearray(), run.column("inside")[0].as_py()
                 first, headed = inside, split > 0
             done = []
-            for n, line in enumerate(run["line"]):
+            for n, line in enumerate(run.column("line").to_pylist()):
                 if begins and n == 0 and split == 0:
                     line = line.removeprefix(MARK)
                 if not held and not inside and line in (b"", b"\r"):
                     continue
-                held.append(line)
+                if fragments or not first:
+                    held += line + b"\n"
                 inside = inside_after(line, inside)
                 if inside:
                     continue
@@ -146,12 +167,13 @@ def _records(width: int, fragments: bool):
                 elif not headed:
                     headed = True
                 elif not fragments:
-                    done.append(cells_of(b"\n".join(held), f"{file} from byte {split}"))
+                    held.pop()
+                    done.append(cells_of(held, f"{file} from byte {split}"))
                     if len(done[-1]) != width:
                         raise RowError(f"{file} from byte {split}: {len(done[-1])} cells for {width} columns")
-                held, first = [], False
+                held, first = bytearray(), False
             if done:
-                yield pd.DataFrame({"cells": done})
+                yield pa.RecordBatch.from_pydict({"cells": done}, CELLS)
         if fragments and at and held:
             yield rest()
 
@@ -194,19 +216,20 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, required:
     width = len(header)
     begun_inside = splits.where("inside").select("file", "split", "inside")
     known = lines.join(F.broadcast(begun_inside), ["file", "split"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
-    whole = known.mapInPandas(_records(width, False), "cells array<string>")
+    whole = known.mapInArrow(_records(width, False), "cells array<string>")
     at_ends = F.broadcast(splits.where("inside or ends").select("file", "split"))
-    pieces = known.join(at_ends, ["file", "split"]).mapInPandas(_records(width, True), "file string, split long, begins boolean, text binary")
+    pieces = known.join(at_ends, ["file", "split"]).mapInArrow(_records(width, True), "file string, split long, begins boolean, text binary")
     order = Window.partitionBy("file").orderBy("split", "begins")
     numbered = pieces.withColumn("record", F.sum(F.col("begins").cast("long")).over(order))
     together = numbered.groupBy("file", "record").agg(F.transform(F.array_sort(F.collect_list(F.struct("split", "begins", "text"))), lambda p: p["text"]).alias("texts"))
 
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [cells_of(b"\n".join(texts), file) for file, texts in zip(batch["file"], batch["texts"], strict=True)]
-            if any(len(r) != width for r in rows):
-                raise RowError(f"{batch['file'].iloc[0]}: a row that doesn't have {width} cells")
-            yield pd.DataFrame({"cells": rows})
+            for file, texts in zip(batch.column("file"), batch.column("texts"), strict=True):
+                row = cells_of(b"\n".join(texts.as_py()), file.as_py())
+                if len(row) != width:
+                    raise RowError(f"{file}: a row that doesn't have {width} cells")
+                yield pa.RecordBatch.from_pydict({"cells": [row]}, CELLS)
 
-    rows = whole.unionByName(together.mapInPandas(cells, "cells array<string>"))
+    rows = whole.unionByName(together.mapInArrow(cells, "cells array<string>"))
     return rows.select(*[F.get("cells", F.lit(header.index(f.name))).cast(f.dataType).alias(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])

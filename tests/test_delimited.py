@@ -3,11 +3,14 @@
 import csv
 import io
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql.types import StructType
 
+from spanroute.sources import delimited as D
 from spanroute.sources.delimited import RowError, inside_after, read_delimited
 from spanroute.sources.files import HeaderError
 
@@ -90,3 +93,20 @@ def test_refusals(spark, tmp_path):
 def test_states():
     for line, out, inn in [(b"a,b", False, True), (b'"', True, False), (b'a"b', False, False), (b'a,"b""', True, False), (b'x","', True, True), (b'""', False, True)]:
         assert (inside_after(line, False), inside_after(line, True)) == (out, inn)
+
+
+def test_cells_longer_than_the_limit_of_the_csv_module(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a,b\n1," + "é" * 150_000 + '\n2,"' + "x\n" * 100_000 + 'y"\n')
+    assert {(r.a, len(r.b)) for r in read_delimited(spark, str(tmp_path), TWO).collect()} == {("1", 150_000), ("2", 200_001)}
+
+
+@pytest.mark.parametrize("lines", [[b"1," + b"x" * 4000] * 10_000, [b'1,"'] + [b"xy"] * 400_000 + [b'"']])
+def test_lines_of_a_batch_are_not_held_as_objects_together(lines):
+    batch = pa.RecordBatch.from_pydict({"file": ["f"] * len(lines), "split": pa.array([9] * len(lines), pa.int64()), "line": pa.array(lines, pa.binary()), "inside": [False] * len(lines)})
+    for step, rows in ((D._functions, 1), (D._records(2, False), lines.count(lines[0])), (D._records(2, True), 0)):
+        tracemalloc.start()
+        got = sum(b.num_rows for b in step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got == rows
+        assert peak < 24 * D.HELD
