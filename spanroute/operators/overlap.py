@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanroute.sinks.scratch import written
+
 from . import tiles
 
 
@@ -28,7 +30,7 @@ def containments(rows: DataFrame, owner: str, element: str, least: float, larger
 def contained(points: DataFrame, routes: DataFrame, owner: str, point: str, route: str, least_points: int = 2, least_routes: int = 5) -> DataFrame:
     """a, b, rule: feed a lies in the larger feed b, by share of stops and routes or by all its routes."""
     p = containments(points, owner, point, 0.8, 1.5).where(F.col("own") >= least_points)
-    one = routes.select(owner, route).distinct()
+    one = written(routes.select(owner, route).distinct())
     met = p.join(one.select(F.col(owner).alias("a"), route), "a").join(one.select(F.col(owner).alias("b"), route), ["b", route]).groupBy("a", "b").agg(F.count("*").alias("r_shared"))
     both = p.join(met, ["a", "b"]).join(one.groupBy(F.col(owner).alias("a")).agg(F.count("*").alias("r_own")), "a")
     share = (F.col("shared") >= 0.9 * F.col("own")) & (F.col("r_shared") >= 0.9 * F.col("r_own"))

@@ -39,6 +39,31 @@ def test_shared_counts_over_blocks(spark, sets):
     assert moved(spark) - before < 10 * rows.count()  # a row for each pair and element in common would be 11 million
 
 
+@pytest.mark.parametrize("least", [0.0, 0.8])
+def test_shared_in_blocks_of_few_elements_and_in_slices(spark, sets, least):
+    held, rows = sets
+    small = rows.where("o is null or o < 'o00150'")
+    big = spark.range(250).selectExpr("'o9' as o", "id as e")
+    every = np.vstack([held[:150], np.ones((1, 250), np.float32)]).astype(np.int64)
+    want, own = every @ every.T, every.sum(1)
+    own[1] += 1
+    np.fill_diagonal(want, 0)
+    want[want < least * own[:, None]] = 0
+    of = {150: "o9"} | {i: f"o{i:05d}" for i in range(150)}
+    for side in (1 << 20, 60, 7):  # one block, slices of the owner with 250, and more of these than owners have elements
+        got = {(r.a, r.b): (r.shared, r.own, r.other) for r in T.shared(small.union(big), "o", "e", least, side=side).collect()}
+        assert got == {(of[i], of[j]): (want[i, j], own[i], own[j]) for i, j in zip(*np.nonzero(want), strict=True)}
+    named = small.union(big).selectExpr("o", "concat('e', e) as e")
+    assert {(r.a, r.b): r.shared for r in T.shared(named, "o", "e", least, side=60).collect()} == {k: v[0] for k, v in got.items()}
+
+
+def test_an_element_of_few_owners_goes_to_a_tile_for_each_block(spark):
+    rows = spark.range(200_000).selectExpr("id % 20000 as o", "pmod(hash(id), 10000) as e")  # in many more blocks of 1,024 than elements have owners
+    before = moved(spark)
+    assert T.shared(rows, "o", "e", 0.9).count() < 100
+    assert moved(spark) - before < 5 * 200_000  # a row for every two blocks with an element in common would come on top
+
+
 def test_containments_over_blocks(spark, sets):
     held, rows = sets
     want, own = held @ held.T, held.sum(1)
