@@ -122,6 +122,13 @@ def _spans(y: Column) -> Column:
     return (F.col("y0") > y) != (F.col("y1") > y)
 
 
+def _alike(shapes: DataFrame, shape: str, geometry: str) -> tuple[DataFrame, DataFrame]:
+    """shape, _as: each shape and the first of equal geometry; and the shapes that are the first."""
+    made = shapes.where(F.col(geometry).isNotNull()).groupBy(shape).agg(F.array_sort(F.collect_list(F.sha2(F.col(geometry), 256))).alias("_made"))
+    alike = written(made.join(made.groupBy("_made").agg(F.min(shape).alias("_as")), "_made").select(shape, "_as"))
+    return alike, shapes.join(alike.where(F.col(shape) == F.col("_as")).select(shape), shape, "left_semi")
+
+
 def covers(points: DataFrame, shapes: DataFrame, point: str, shape: str, geometry: str = "geometry", x: str = "lon", y: str = "lat", edge: bool = True) -> DataFrame:
     """point, shape: which shapes, with their holes and parts, cover which points; with ``edge`` false, those on an edge don't count.
 
@@ -129,9 +136,7 @@ def covers(points: DataFrame, shapes: DataFrame, point: str, shape: str, geometr
     shapes whose box holds it, then only the edges in its row of each, and the crossings of its ray are
     summed there; rings never travel with points. Ids of points are unique.
     """
-    made = shapes.where(F.col(geometry).isNotNull()).groupBy(shape).agg(F.array_sort(F.collect_list(F.sha2(F.col(geometry), 256))).alias("_made"))
-    alike = written(made.join(made.groupBy("_made").agg(F.min(shape).alias("_as")), "_made").select(shape, "_as"))
-    first = shapes.join(alike.where(F.col(shape) == F.col("_as")).select(shape), shape, "left_semi")
+    alike, first = _alike(shapes, shape, geometry)
     edges = written(edges_of(rings_of(first, shape, geometry), shape))
     grids = written(_grids(edges, shape))
     boxes = grids.select(F.col(shape), "south", "north", "rows", F.col("west").alias("xmin"), F.col("south").alias("ymin"), F.col("east").alias("xmax"), F.col("north").alias("ymax"))
@@ -420,18 +425,33 @@ def reached(points: DataFrame, shapes: DataFrame, point: str, shape: str, margin
     dealt = _cells_of_edges(edges_of(rings_of(shapes, shape, geometry), shape), F.lit(size), F.lit(SNAP))
     met = cells_of_boxes(boxes.select(point, "px", "py", "xmin", "ymin", "xmax", "ymax"), size).join(dealt.hint("merge"), ["cx", "cy"])
 
-    def away(lon: str) -> Column:
-        return (F.pmod(F.col(lon) - F.col("px") + 180, F.lit(360.0)) - 180) * per * F.cos(F.radians("py"))
-
-    ax, ay, bx, by = away("x0"), (F.col("y0") - F.col("py")) * per, away("x1"), (F.col("y1") - F.col("py")) * per
-    met = met.select(point, shape, ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(-(F.col("ax") * dx + F.col("ay") * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))))
-    near = met.where(F.hypot(F.col("ax") + along * dx, F.col("ay") + along * dy) <= margin_km).select(point, shape)
+    # As a column expression this is more than Java compiles, and it would be interpreted for each row.
+    @F.arrow_udf(BooleanType())
+    def close(px: pa.Array, py: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+        lon, lat, *ends = (np.asarray(c) for c in (px, py, x0, y0, x1, y1))
+        across = per * np.cos(np.radians(lat))
+        ax, bx = ((np.mod(e - lon + 180, 360.0) - 180) * across for e in ends[::2])
+        ay, by = ((e - lat) * per for e in ends[1::2])
+        dx, dy = bx - ax, by - ay
+        square = dx * dx + dy * dy
+        along = np.clip(-(ax * dx + ay * dy) / np.where(square == 0, 1.0, square), 0.0, 1.0)
+        return pa.array(np.hypot(ax + along * dx, ay + along * dy) <= margin_km)
+
+    near = met.where(close("px", "py", *EDGE)).select(point, shape)
     return near.union(covers(points, shapes, point, shape, geometry, x, y)).distinct()
 
 
-def clear(points: DataFrame, shapes: DataFrame, owner: str, point: str, shape: str, margin_km: float) -> DataFrame:
-    """point and owner of points that the shapes of one owner alone cover or come within ``margin_km`` of."""
-    met = reached(points, shapes, point, shape, margin_km).join(shapes.select(shape, owner), shape)
-    return met.groupBy(point).agg(F.count_distinct(owner).alias("_n"), F.min(owner).alias(owner)).where("_n = 1").select(point, owner)
+def clear(points: DataFrame, shapes: DataFrame, owner: str, point: str, shape: str, margin_km: float, geometry: str = "geometry", x: str = "lon", y: str = "lat") -> DataFrame:
+    """point and owner of points that the shapes of one owner alone cover or come within ``margin_km`` of.
+
+    Only the least and the greatest owner near a place matter, so places and shapes of equal geometry meet once, however many
+    points and owners have them.
+    """
+    alike, first = _alike(shapes, shape, geometry)
+    owners = shapes.select(shape, owner).join(alike, shape).groupBy("_as").agg(F.min(owner).alias("_least"), F.max(owner).alias("_most"))
+    at = points.select(point, F.struct(F.col(x).alias("x"), F.col(y).alias("y")).alias("_place"))
+    places = at.select("_place", F.col("_place.x").alias("_x"), F.col("_place.y").alias("_y")).where("_x is not null and _y is not null").distinct()
+    met = reached(places, written(first), "_place", shape, margin_km, geometry, "_x", "_y").withColumnRenamed(shape, "_as").join(owners, "_as")
+    ends = met.groupBy("_place").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    found = at.join(ends, "_place").groupBy(point).agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    return found.where("_least = _most").select(point, F.col("_least").alias(owner))

@@ -228,3 +228,16 @@ def test_member_unions_of_the_tables(spark, sf_small):
         holes = {(i, j) for i in range(-1, 71) for j in range(-1, 46)} - full - out
         assert not holes, "the smallest tables have no holes; larger ones are tested above"
         assert got[nation].area == len(full) and got[nation].holes == 0
+
+
+def test_places_and_equal_shapes_are_held_against_borders_once(spark):
+    from tests.test_tiles import moved
+
+    box = F.array(F.array(F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (3, 0), (3, 2), (0, 2))])))
+    far = F.array(F.array(F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((2, 0), (9, 0), (9, 2), (2, 2))])))
+    shapes = spark.range(400).select(F.col("id").alias("s"), F.when(F.col("id") < 399, 1).otherwise(2).alias("o"), P.encoded(F.when(F.col("id") < 399, box).otherwise(far)).alias("geometry"))
+    points = spark.range(400).selectExpr("id as p", "id % 4 + 0.8d as lon", "1d as lat").union(spark.createDataFrame([(1000, None, 1.0), (1001, 40.0, 1.0)], "p long, lon double, lat double"))
+    before = moved(spark)
+    got = {(r.p, r.o) for r in P.clear(points, shapes, "o", "p", "s", 40.0).collect()}
+    assert got == {(i, 2 if i % 4 == 3 else 1) for i in range(400) if i % 4 in (0, 3)}
+    assert moved(spark) - before < 10_000  # all points with all shapes that are near are over 100,000
